@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
-from functools import lru_cache
+from functools import cache
 
 import numpy as np
 import xxhash
@@ -54,11 +54,8 @@ def words(text: str | None) -> list[bytes]:
     return text.encode("utf-8", "surrogatepass").lower().split() if text else []
 
 
-_hash = lru_cache(maxsize=1 << 16)(xxhash.xxh64_intdigest)
-
-
 def word_hashes(tokens: list[bytes]) -> np.ndarray:
-    return np.fromiter(map(_hash, tokens), np.uint64, len(tokens))
+    return np.fromiter(map(xxhash.xxh3_64_intdigest, tokens), np.uint64, len(tokens))
 
 
 def mix(x: np.ndarray) -> np.ndarray:
@@ -83,3 +80,60 @@ def shingle_set(hashes: np.ndarray, n: int = SHINGLE) -> np.ndarray:
         for i in range(width):
             out = out * np.uint64(0x9E3779B97F4A7C15) + hashes[i : k - width + 1 + i]
         return np.unique(mix(out + np.uint64(width)))
+
+
+_P = 0x9E3779B97F4A7C15
+_SPACES = np.isin(np.arange(256), [*range(9, 14), 32])
+_MARKS = np.array([c < 128 and not chr(c).isalnum() for c in range(256)])
+
+
+@cache
+def _powers(bits: int, base: int) -> np.ndarray:
+    return np.cumprod(np.append(np.uint64(1), np.full(1 << bits, base, np.uint64)))
+
+
+def hashed_words(texts: list[str | None], marks: bool = False) -> tuple[np.ndarray, np.ndarray]:
+    """64-bit hashes of the words of all texts in a row, and the number of words of each text.
+
+    Words are those of ``words``; with marks, ASCII marks divide words as well. A word's hash is a polynomial of its bytes
+    modulo 2**64, as a difference of running sums divided by the power at which the word starts.
+    """
+    parts = [t.encode("utf-8", "surrogatepass").lower() if t else b"" for t in texts]
+    data = np.frombuffer(b"\n".join(parts) + b"\n", np.uint8)
+    gap = (_MARKS if marks else _SPACES)[data]
+    edge = np.diff(gap.astype(np.int8), prepend=1)
+    start, stop = np.flatnonzero(edge == -1), np.flatnonzero(edge == 1)
+    bits = max(16, len(data).bit_length())
+    with np.errstate(over="ignore"):
+        run = np.append(np.uint64(0), np.cumsum((data + np.uint64(1)) * _powers(bits, _P)[: len(data)]))
+        h = mix((run[stop] - run[start]) * _powers(bits, pow(_P, -1, 1 << 64))[start])
+    ends = np.cumsum([len(p) + 1 for p in parts])
+    return h, np.diff(np.searchsorted(start, ends), prepend=0)
+
+
+def shingle_sets(texts: list[str | None], n: int = SHINGLE) -> list[np.ndarray]:
+    """shingle_set of the words of each text."""
+    h, counts = hashed_words(texts)
+    if len(h) >= n:
+        with np.errstate(over="ignore"):
+            g = np.zeros(len(h) - n + 1, np.uint64)
+            for i in range(n):
+                g = g * np.uint64(_P) + h[i : len(h) - n + 1 + i]
+            g = mix(g + np.uint64(n))
+    out, at = [], 0
+    for k in counts:
+        out.append(np.unique(g[at : at + k - n + 1]) if k >= n else shingle_set(h[at : at + k], n))
+        at += k
+    return out
+
+
+def chunks(texts, most_bytes: int = 1 << 20):
+    """Ranges of texts that hold about most_bytes together, or one text."""
+    at, size = 0, 0
+    for i, t in enumerate(texts):
+        if size > most_bytes:
+            yield at, i
+            at, size = i, 0
+        size += len(t) if t else 0
+    if at < len(texts):
+        yield at, len(texts)

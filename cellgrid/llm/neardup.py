@@ -8,8 +8,8 @@ of their points (the maximum of register values).
 Documents of one set are one class. Classes that agree in all registers of a band meet in a bucket. Links are
 confirmed on the full sets:
 
-1. each class is compared with the smallest class that it meets in a bucket;
-2. twice, members of buckets that still hold several components are compared with a member of another component;
+1. of the smallest classes of its buckets, each class is compared with the one that it meets most often;
+2. members of buckets that still hold several components are compared with some members of other components;
 3. what is still apart is compared in blocks by the joint likelihood estimate, and pairs that can reach the threshold
    are confirmed. No pair that meets in a bucket and could join two components is left out.
 """
@@ -24,7 +24,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import NEAR, Scratch, mix, shingle_set, word_hashes, words
+from .common import NEAR, Scratch, chunks, mix, shingle_sets
 from .graph import components
 
 BANDS, ROWS = 32, 4  # a pair at similarity 0.75 is missed with probability (1 - 0.75**4)**32 = 5e-6
@@ -32,6 +32,7 @@ M = BANDS * ROWS
 BASE, RATE, TOP = 1.001, 20.0, 65535
 SLACK = 0.2  # five standard deviations of an estimate from 128 registers at 0.75
 BLOCK = 256
+PIVOTS = 4
 _GAMMA = np.append(-np.log(1 - np.arange(M) / M) / RATE, np.inf)
 _SPAN = 1 - np.exp(-RATE * np.diff(_GAMMA))
 
@@ -73,10 +74,10 @@ def joint_estimate(a: np.ndarray, b: np.ndarray, na: np.ndarray, nb: np.ndarray)
     return (lo + hi) / 2
 
 
-def _parts(batches: Iterator[pd.DataFrame], rows: int = 512) -> Iterator[pd.DataFrame]:
+def _parts(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for pdf in batches:
-        for i in range(0, len(pdf), rows):
-            yield pdf.iloc[i : i + rows]
+        for a, b in chunks(pdf["text"]):
+            yield pdf.iloc[a:b]
 
 
 def _digest(s: np.ndarray) -> tuple[int, int]:
@@ -86,7 +87,7 @@ def _digest(s: np.ndarray) -> tuple[int, int]:
 
 def _sketches(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for pdf in _parts(batches):
-        sets = [shingle_set(word_hashes(words(t))) for t in pdf["text"]]
+        sets = shingle_sets(list(pdf["text"]))
         registers = set_sketch(sets)
         digests = [_digest(s) for s in sets]
         yield pd.DataFrame({"id": pdf["id"], "n": [len(s) for s in sets], "c1": [d[0] for d in digests], "c2": [d[1] for d in digests], "registers": [r.astype(">u2").tobytes() for r in registers]})
@@ -94,12 +95,12 @@ def _sketches(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 
 def _sets(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for pdf in _parts(batches):
-        sets = [shingle_set(word_hashes(words(t))) for t in pdf["text"]]
+        sets = shingle_sets(list(pdf["text"]))
         yield pd.DataFrame({"id": pdf["id"], "s": [s.tobytes() for s in sets]})
 
 
 def _confirm(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    for pdf in _parts(batches):
+    for pdf in batches:
         keep = []
         for x, y in zip(pdf["sa"], pdf["sb"], strict=True):
             x, y = np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)
@@ -122,11 +123,14 @@ def _across(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             ia, ib = [np.array([x["id"] for x in side]) for side in (left, right)]
             ca, cb = [np.array([x["comp"] for x in side]) for side in (left, right)]
             na, nb = [np.array([x["n"] for x in side], np.float64) for side in (left, right)]
-            for i in range(len(ia)):
-                j = np.flatnonzero((cb != ca[i]) & (np.minimum(nb, na[i]) >= NEAR * np.maximum(nb, na[i])))
-                if len(j):
-                    j = j[joint_estimate(np.broadcast_to(ra[i], (len(j), M)), rb[j], np.full(len(j), na[i]), nb[j]) >= NEAR - SLACK]
-                    yield pd.DataFrame({"a": np.maximum(ib[j], ia[i]), "b": np.minimum(ib[j], ia[i])})
+            for i in range(0, len(ia), 32):
+                # equal registers alone estimate the similarity; the likelihood has the last word
+                equal = (ra[i : i + 32, None] == rb).sum(axis=2)
+                p, q = np.nonzero((equal >= (NEAR - 1.25 * SLACK) * M) & (cb != ca[i : i + 32, None]) & (np.minimum(nb, na[i : i + 32, None]) >= NEAR * np.maximum(nb, na[i : i + 32, None])))
+                p += i
+                near = joint_estimate(ra[p], rb[q], na[p], nb[q]) >= NEAR - SLACK
+                p, q = p[near], q[near]
+                yield pd.DataFrame({"a": np.maximum(ia[p], ib[q]), "b": np.minimum(ia[p], ib[q])})
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -162,22 +166,24 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         near = pairs.join(na, "a").join(nb, "b").filter(f"least(na, nb) >= {NEAR} * greatest(na, nb)").select("a", "b").distinct()
         return scratch.save(near.join(a, "a").join(b, "b").select("a", "b", "sa", "sb").mapInPandas(_confirm, f"a {t}, b {t}").distinct(), name)
 
-    links = confirmed(met.filter("rep > pivot").select(F.col("rep").alias("a"), F.col("pivot").alias("b")), "links-0")
-    label = components(scratch, links, "comp-0")
+    def likeliest(met_at: DataFrame) -> DataFrame:
+        """Of the partners (p) that a class meets, the one that it meets in most buckets."""
+        return met_at.groupBy("rep", "p").agg(F.count("*").alias("k")).groupBy("rep").agg(F.max_by("p", F.struct("k", "p")).alias("p"))
 
-    def apart() -> tuple[DataFrame, DataFrame]:
-        """Members with their component, and the buckets that hold several."""
+    links = confirmed(likeliest(members.filter("rep > pivot").select("rep", F.col("pivot").alias("p"))).select(F.col("rep").alias("a"), F.col("p").alias("b")), "links-0")
+    label = components(scratch, links, "comp-0")
+    for i in (1, 2):
         m = members.join(label.select(F.col("u").alias("rep"), "v"), "rep", "left").select("key", "rep", F.coalesce("v", "rep").alias("comp"))
-        return m, m.groupBy("key").agg(F.min("comp").alias("low"), F.max("comp").alias("high")).filter("low < high")
-
-    for i in (1, 2, 3):
-        m, several = apart()
-        some = scratch.save(m.join(several.select("key"), "key"), f"apart-{i}")
+        several = m.groupBy("key").agg(F.min("comp").alias("low"), F.max("comp").alias("high")).filter("low < high").select("key")
+        some = scratch.save(m.join(several, "key"), f"apart-{i}")
         if some.isEmpty():
             break
-        if i < 3:
-            pick = some.groupBy("key").agg(F.min_by("rep", F.xxhash64("rep", F.lit(i))).alias("p"), F.min_by("comp", F.xxhash64("rep", F.lit(i))).alias("pc"))
-            pairs = some.join(pick, "key").filter("comp <> pc").groupBy("rep").agg(F.min_by("p", F.xxhash64("p", F.lit(i))).alias("p")).select(F.col("rep").alias("a"), F.col("p").alias("b"))
+        if i == 1:
+            who = F.struct("rep", "comp")
+            pick = some.groupBy("key").agg(F.array_distinct(F.array(*[F.min_by(who, F.xxhash64("rep", F.lit(k))) for k in range(PIVOTS)])).alias("picks"))
+            partners = some.join(pick, "key").select("rep", "comp", F.explode("picks").alias("pick")).filter("comp <> pick.comp").groupBy("rep", F.col("pick.rep").alias("p")).agg(F.count("*").alias("k"))
+            best = partners.groupBy("rep").agg(F.array_distinct(F.array(F.max_by("p", F.struct("k", "p")), *[F.max_by("p", F.struct(F.pmod(F.xxhash64("p", F.lit(k)), F.lit(8)), "k", "p")) for k in range(PIVOTS)])).alias("ps"))
+            pairs = best.select(F.col("rep").alias("a"), F.explode("ps").alias("b"))
         else:
             main = some.groupBy("key", "comp").agg(F.count("*").alias("k")).groupBy("key").agg(F.max_by("comp", F.struct("k", "comp")).alias("main"), F.sum("k").alias("k"))
             item = F.struct(F.col("rep").alias("id"), "comp", "n", "registers")
@@ -186,8 +192,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
             blocks = placed.groupBy("key", "part").agg(F.collect_list("item").alias("block"))
             rest = placed.filter("other").groupBy("key", "part").agg(F.collect_list("item").alias("rest"))
             pairs = rest.select("key", "rest").join(blocks.select("key", "block"), "key").select("rest", "block").mapInPandas(_across, f"a {t}, b {t}").distinct()
-        links = scratch.save(links.union(confirmed(pairs, f"links-{i}")), f"all-{i}")
-        label = components(scratch, links, f"comp-{i}")
+        label = components(scratch, label.select(F.col("u").alias("a"), F.col("v").alias("b")).union(confirmed(pairs, f"links-{i}")), f"comp-{i}")
 
     reps = classes.select("c1", "c2", "rep").join(label.select(F.col("u").alias("rep"), "v"), "rep", "left").select("c1", "c2", F.coalesce("v", "rep").alias("component_id"))
     alone = F.when(F.col("n") > 0, F.coalesce("component_id", "id")).otherwise(F.col("id"))

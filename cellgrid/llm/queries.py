@@ -5,16 +5,58 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from . import neardup
-from .common import table
+from . import decontam, html, langid, mixing, neardup, passages, quality, topk, toxicity, warc
+from .common import Scratch, table
+
+
+def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def op2_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mix(table(spark, sf_dir, "documents"), mixing.label_weights(table(spark, sf_dir, "labels")))
+
+
+def op3_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return passages.repeated_passages(table(spark, sf_dir, "documents"))
+
+
+def op4_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontam.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
 def op5_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neardup.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op6_warc_revisits(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.archive_pages(table(spark, sf_dir, "pages"), Scratch(spark).path("warc"))
+
+
+def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return langid.language_id(table(spark, sf_dir, "documents"))
+
+
+def op8_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html.extract(table(spark, sf_dir, "pages"))
+
+
+def op9_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = topk.embedding_vectors(table(spark, sf_dir, "embeddings"))
+    return topk.top_k(vectors, F.col("vec_id") % topk.EVERY == 0)
+
+
+def op10_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op5_minhash_near_dedup,)
-}
-ORACLE_SQL: dict[str, str] = {}
+    f.__name__: f
+    for f in (
+        op1_toxicity, op2_mixing, op3_substring_dedup, op4_decontamination, op5_minhash_near_dedup, op6_warc_revisits,
+        op7_language_id, op8_html_extraction, op9_exact_top_k, op10_quality_classifier,
+    )
+}
+ORACLE_SQL: dict[str, str] = {"op2_mixing": mixing.SQL, "op6_warc_revisits": warc.SQL, "op9_exact_top_k": topk.SQL}

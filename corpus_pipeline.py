@@ -5,17 +5,47 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cellgrid.llm import neardup
+from cellgrid.llm import decontam, mixing, neardup, passages, toxicity
 from cellgrid.llm.common import Scratch, table
 
 
+def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the toxicity model rejects go."""
+    scored = toxicity.toxicity(docs, table(spark, sf_dir, "labels"))
+    return docs.join(scored.filter("toxic").select("doc_id").distinct(), "doc_id", "left_anti")
+
+
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near-duplicates stays."""
-    kept = neardup.near_duplicates(docs).filter("kept").select("doc_id").distinct()
-    return docs.join(kept, "doc_id", "left_semi")
+    gone = neardup.near_duplicates(docs).filter("not kept").select("doc_id").distinct()
+    return docs.join(gone, "doc_id", "left_anti")
+
+
+def substring_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Repeats of passages are cut out of the texts; every document stays."""
+    return passages.without_passages(docs)
+
+
+def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that hold a benchmark item go."""
+    found = decontam.contaminated(docs, table(spark, sf_dir, "benchmark"))
+    return docs.join(found.select("doc_id").distinct(), "doc_id", "left_anti")
+
+
+def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the mix takes, with the words it takes of each, repeats counted."""
+    mixed = mixing.mix(docs, mixing.label_weights(table(spark, sf_dir, "labels")))
+    taken = mixed.filter("taken > 0").groupBy("doc_id").agg(*[F.max(c).alias(c) for c in ("size", "source_size", "target", "taken")])
+    return docs.join(taken, "doc_id")
 
 
-STAGES = [("minhash near-dedup", near_dedup)]
+STAGES = [
+    ("toxicity", drop_toxic),
+    ("minhash near-dedup", near_dedup),
+    ("substring dedup", substring_dedup),
+    ("benchmark decontamination", decontaminate),
+    ("mixing to target weights", mix_sources),
+]
 ORACLE_SQL = None
 
 
@@ -23,4 +53,6 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     scratch, docs = Scratch(spark), table(spark, sf_dir, "documents")
     for i, (_, stage) in enumerate(STAGES):
         docs = scratch.save(stage(spark, docs, sf_dir), f"stage-{i}")
+        if i > 1:
+            scratch.drop(f"stage-{i - 2}")
     return docs
