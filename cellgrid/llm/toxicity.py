@@ -1,7 +1,8 @@
 """Toxicity by cumulative-link ordinal regression on sparse word features.
 
-Labels say only whether a document is toxic. Severity grades are made from them: words that are over-represented in
-toxic documents form a lexicon, and toxic documents are graded 1, 2, 3 by the thirds of their lexicon occurrences;
+Features are words and their prefixes, each by count and by density, screened by their excess in toxic documents. Labels
+say only whether a document is toxic. Severity grades are made from them: features that are mostly seen in toxic
+documents form a lexicon, and toxic documents are graded 1, 2, 3 by the thirds of their lexicon occurrences;
 documents that are not toxic have grade 0. One weight vector is shared by the ordered thresholds between grades.
 """
 
@@ -11,6 +12,7 @@ import math
 import re
 from collections import Counter
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pandas as pd
@@ -18,20 +20,43 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .ftrl import SAMPLE_ROWS, epochs, in_one_task, labelled_sample
+from .ftrl import epochs, in_one_task, labelled_sample
 
 GRADES = 4
-MIN_DOCS = 8  # labelled documents that must hold a word before it becomes a feature
+ROWS = 8000  # labelled rows that the model is fitted on at most
+MIN_DOCS = 8  # labelled documents that must hold a feature
 MODEL = "kind string, feature long, value double"
 _WORD = re.compile(r"\w+")
+PREFIXES = (4, 5, 6)
+SCREEN = 4.0  # a feature's excess in toxic documents, in standard deviations
 
 
 def _counts(text: str | None) -> Counter:
     return Counter(_WORD.findall(text.lower())) if text else Counter()
 
 
-def _key(word: str) -> int:
-    return xxhash.xxh64_intdigest(word.encode("utf-8", "surrogatepass")) - (1 << 63)
+@lru_cache(maxsize=1 << 15)
+def _keys(word: str) -> tuple[int, ...]:
+    """Features of a word: itself and its prefixes, which inflected and compound forms share."""
+    forms = [f"={word}", *(word[:k] for k in PREFIXES if len(word) > k)]
+    return tuple(xxhash.xxh3_64_intdigest(f.encode("utf-8", "surrogatepass")) - (1 << 63) for f in forms)
+
+
+def _row(counts: Counter, known: dict[str, tuple[int, ...]], at: dict[int, int]) -> dict[int, float]:
+    """Values of the features in ``at``: how often (even number) and how densely (odd number) each occurs."""
+    found: dict[int, int] = {}
+    for word, k in counts.items():
+        if (slots := known.get(word)) is None:
+            if len(known) > 1 << 17:
+                known.clear()
+            slots = known[word] = tuple(at[x] for x in _keys(word) if x in at)
+        for i in slots:
+            found[i] = found.get(i, 0) + k
+    n = sum(counts.values()) if found else 0
+    out = {}
+    for i, k in found.items():
+        out[2 * i], out[2 * i + 1] = math.log1p(k), math.log1p(200 * k / n)
+    return out
 
 
 def _sigmoid(x):
@@ -43,26 +68,30 @@ def _grade_probabilities(s: np.ndarray, cuts: np.ndarray) -> np.ndarray:
     return above[:, :-1] - above[:, 1:]
 
 
-def fit(sample: pd.DataFrame, l1: float = 0.002, l2: float = 1e-4, passes: int = 8) -> pd.DataFrame:
+def fit(sample: pd.DataFrame, l1: float = 0.001, l2: float = 1e-4, passes: int = 12) -> pd.DataFrame:
     """Weights, cuts and the decision threshold from (text, label) rows."""
     counts = [_counts(t) for t in sample["text"]]
     toxic = sample["label"].to_numpy() == 1
-    seen, seen_toxic = Counter(), Counter()
-    for c, y in zip(counts, toxic, strict=True):
-        seen.update(c.keys())
-        if y:
-            seen_toxic.update(c.keys())
-    rate = max(toxic.mean(), 1e-9)
-    vocabulary = sorted(w for w, k in seen.items() if k >= MIN_DOCS)
-    at = {w: i for i, w in enumerate(vocabulary)}
-    excess = {w: (seen_toxic[w] - seen[w] * rate) / math.sqrt(seen[w] * rate * (1 - rate) + 1e-9) for w in vocabulary}
-    lexicon = {w for w, x in excess.items() if x > 5 and seen_toxic[w] > 0.5 * seen[w]}
-    hits = np.array([sum(k for w, k in c.items() if w in lexicon) for c in counts])
+    keys = [np.unique(np.array([x for word in c for x in _keys(word)], np.int64)) for c in counts]
+    seen, k = np.unique(np.concatenate([*keys, np.zeros(0, np.int64)]), return_counts=True)
+    seen, k = seen[k >= MIN_DOCS], k[k >= MIN_DOCS]
+    in_toxic = np.zeros(len(seen), np.int64)
+    for own in (x for x, y in zip(keys, toxic, strict=True) if y):
+        place = np.searchsorted(seen, own)
+        place = place[(place < len(seen)) & (seen[np.minimum(place, len(seen) - 1)] == own)]
+        in_toxic[place] += 1
+    rate = toxic.mean() if len(toxic) else 0.0
+    excess = (in_toxic - k * rate) / np.sqrt(k * rate * (1 - rate) + 1e-9)
+    chosen = seen[excess > SCREEN]
+    at = {int(x): i for i, x in enumerate(chosen)}
+    lexicon = {i for i, x in enumerate(excess[excess > SCREEN]) if in_toxic[excess > SCREEN][i] > 0.5 * k[excess > SCREEN][i]}
+    values = [_row(c, {}, at) for c in counts]
+    hits = np.array([sum(math.expm1(v) for i, v in x.items() if i % 2 == 0 and i // 2 in lexicon) for x in values])
     thirds = np.quantile(hits[toxic], [1 / 3, 2 / 3]) if toxic.any() else np.zeros(2)
     grade = np.where(toxic, 1 + (hits[:, None] > thirds).sum(axis=1), 0)
 
-    rows = [(np.array([at[w] for w in c if w in at], np.int64), np.array([1 + math.log(k) for w, k in c.items() if w in at])) for c in counts]
-    w, acc = np.zeros(len(vocabulary)), np.full(len(vocabulary), 1e-8)
+    rows = [(np.array(list(x), np.int64), np.array(list(x.values()))) for x in values]
+    w, acc = np.zeros(2 * len(chosen)), np.full(2 * len(chosen), 1e-8)
     # cut[0] and the logarithms of the gaps between cuts are free, so the cuts keep their order
     gap, gap_acc = np.array([2.0, 0.0, 0.0]), np.full(GRADES - 1, 1e-8)
     for i in epochs(passes, len(rows)):
@@ -94,35 +123,29 @@ def fit(sample: pd.DataFrame, l1: float = 0.002, l2: float = 1e-4, passes: int =
     threshold = float(np.clip(options[best].mean(), 0.15, 1.5))
     used = np.flatnonzero(w)
     return pd.DataFrame({
-        "kind": ["weight"] * len(used) + ["cut"] * len(cuts) + ["threshold"],
-        "feature": [*(_key(vocabulary[i]) for i in used), *range(len(cuts)), 0],
+        "kind": [("often", "dense")[i % 2] for i in used] + ["cut"] * len(cuts) + ["threshold"],
+        "feature": [*(int(chosen[i // 2]) for i in used), *range(len(cuts)), 0],
         "value": [*w[used], *cuts, threshold],
     })
 
 
-def train(docs: DataFrame, labels: DataFrame, rows: int = SAMPLE_ROWS) -> list:
+def train(docs: DataFrame, labels: DataFrame, rows: int = ROWS) -> list:
     """docs: (id, text); labels: (id, label 0 or 1)."""
     return in_one_task(labelled_sample(docs, labels, rows), fit, MODEL)
 
 
 def score(docs: DataFrame, model: list) -> DataFrame:
     """(id, text) to (id, severity, grade, toxic)."""
-    weight = {r["feature"]: r["value"] for r in model if r["kind"] == "weight"}
+    chosen = sorted({r["feature"] for r in model if r["kind"] in ("often", "dense")})
+    at = {x: i for i, x in enumerate(chosen)}
+    weight = {2 * at[r["feature"]] + (r["kind"] == "dense"): r["value"] for r in model if r["kind"] in ("often", "dense")}
     cuts = np.array([r["value"] for r in sorted((r for r in model if r["kind"] == "cut"), key=lambda r: r["feature"])] or [1.0, 2.0, 3.0])
     threshold = next((r["value"] for r in model if r["kind"] == "threshold"), math.inf)
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        known: dict[str, float] = {}
+        known: dict[str, tuple[int, ...]] = {}
         for pdf in batches:
-            s = np.zeros(len(pdf))
-            for i, text in enumerate(pdf["text"]):
-                for word, k in _counts(text).items():
-                    if (x := known.get(word)) is None:
-                        if len(known) > 1 << 18:
-                            known.clear()
-                        x = known[word] = weight.get(_key(word), 0.0)
-                    if x:
-                        s[i] += x * (1 + math.log(k))
+            s = np.array([sum(weight.get(i, 0.0) * v for i, v in _row(_counts(t), known, at).items()) for t in pdf["text"]], np.float64)
             p = _grade_probabilities(s, cuts)
             severity = p @ np.arange(GRADES)
             yield pd.DataFrame({"id": pdf["id"], "severity": severity, "grade": p.argmax(axis=1), "toxic": severity >= threshold})
@@ -131,7 +154,7 @@ def score(docs: DataFrame, model: list) -> DataFrame:
     return docs.mapInPandas(run, f"id {t}, severity double, grade int, toxic boolean")
 
 
-def toxicity(docs: DataFrame, labels: DataFrame, rows: int = SAMPLE_ROWS) -> DataFrame:
+def toxicity(docs: DataFrame, labels: DataFrame, rows: int = ROWS) -> DataFrame:
     """Expected severity (0 to 3), likeliest grade and decision for each row of docs (doc_id, text, ...).
 
     labels: (doc_id, toxic). Null and empty texts have no features and get the severity of the cuts alone. Null ids are
