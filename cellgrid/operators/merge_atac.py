@@ -54,7 +54,9 @@ def with_counts(pairs: DataFrame, counts: DataFrame) -> DataFrame:
 def jaccard(pairs: DataFrame, regularise: float = 0.05, digits: int = 5) -> DataFrame:
     """Adds jaccard_frag = N / (N1 + N2 - N + 0.05), each bead having two sites per fragment; only above 0."""
     n, a, b = F.col("n_both"), 2 * F.col("n_barc1"), 2 * F.col("n_barc2")
-    return pairs.withColumn("n_barc1", a).withColumn("n_barc2", b).withColumn("jaccard_frag", F.round(n / (a + b - n + regularise), digits)).filter("jaccard_frag > 0")
+    score = F.round(n / (a + b - n + regularise), digits)
+    kept = [c for c in pairs.columns if c not in ("n_barc1", "n_barc2")]
+    return pairs.select(*kept, a.alias("n_barc1"), b.alias("n_barc2"), score.alias("jaccard_frag")).filter("jaccard_frag > 0")
 
 
 def bead_pair_jaccard(frags: DataFrame, method: str = "both", most_rows: int = 6, least_both: int = 4, digits: int = 0) -> DataFrame:

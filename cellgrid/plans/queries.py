@@ -810,7 +810,7 @@ def restrict_contigs(spark, d):
     return checks.restrict_contigs(A.frag(spark, d), sizes(spark, d).filter("chr in ('AF', 'NO')"))
 
 
-@query(f"WITH {A.PAIRS}, s AS (SELECT name FROM pairs WHERE NOT (flag & 128 <> 0 AND mapq = 25) GROUP BY name HAVING count(*) <> 2) SELECT 'unpaired' AS rule, count(*) AS n FROM s HAVING count(*) > 0")
+@query(f"WITH {A.PAIRS}, s AS (SELECT name FROM pairs WHERE NOT (flag & 128 <> 0 AND mapq = 25) GROUP BY name HAVING count(*) FILTER (flag & 64 <> 0) <> 1 OR count(*) FILTER (flag & 64 = 0) <> 1) SELECT 'unpaired' AS rule, count(*) AS n FROM s HAVING count(*) > 0")
 def check_pairs(spark, d):
     r = A.pairs(spark, d).withColumn("mate", F.when(S.has_flag("flag", 0x40), 1).otherwise(2)).filter("not (mate = 2 and mapq = 25)").withColumn("seq", F.lit("A")).withColumn("qual", F.lit("I"))
     return checks.check_pairs(r)
