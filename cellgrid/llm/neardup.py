@@ -33,6 +33,8 @@ BASE, RATE, TOP = 1.001, 20.0, 65535
 SLACK = 0.2  # five standard deviations of an estimate from 128 registers at 0.75
 BLOCK = 256
 PIVOTS = 4
+#: Members of a bucket from which on its blocks carry whole sets of up to WHOLE elements, so that they confirm links themselves.
+HOT, WHOLE = 64, 1024
 _GAMMA = np.append(-np.log(1 - np.arange(M) / M) / RATE, np.inf)
 _SPAN = 1 - np.exp(-RATE * np.diff(_GAMMA))
 
@@ -113,6 +115,17 @@ def _stacked(column: list) -> np.ndarray:
     return np.frombuffer(b"".join(bytes(x) for x in column), ">u2").reshape(-1, M)
 
 
+def _linked(left: list, right: list) -> tuple[np.ndarray, np.ndarray]:
+    """Numbers of the pairs of two blocks that are linked, from whole sets, as a product of membership matrices."""
+    a, b = ([np.frombuffer(x["s"], np.uint64) for x in side] for side in (left, right))
+    known, at = np.unique(np.concatenate([*a, *b]), return_inverse=True)
+    sizes = np.array([len(x) for x in (*a, *b)])
+    member = np.zeros((len(sizes), len(known)), np.float32)
+    member[np.repeat(np.arange(len(sizes)), sizes), at] = 1
+    both = (member[: len(a)] @ member[len(a) :].T).astype(np.int64)
+    return np.nonzero(100 * both >= round(100 * NEAR) * (sizes[: len(a), None] + sizes[len(a) :] - both))
+
+
 def _across(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     """Pairs of two blocks, of different components, whose estimate does not rule out the threshold."""
     for pdf in batches:
@@ -123,6 +136,11 @@ def _across(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             ia, ib = [np.array([x["id"] for x in side]) for side in (left, right)]
             ca, cb = [np.array([x["comp"] for x in side]) for side in (left, right)]
             na, nb = [np.array([x["n"] for x in side], np.float64) for side in (left, right)]
+            if all(x["s"] is not None for x in (*left, *right)) and max(na.max(), nb.max()) <= WHOLE:
+                p, q = _linked(left, right)
+                p, q = p[ca[p] != cb[q]], q[ca[p] != cb[q]]
+                yield pd.DataFrame({"a": np.maximum(ia[p], ib[q]), "b": np.minimum(ia[p], ib[q])})
+                continue
             for i in range(0, len(ia), 32):
                 # equal registers alone estimate the similarity; the likelihood has the last word
                 equal = (ra[i : i + 32, None] == rb).sum(axis=2)
@@ -186,9 +204,12 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
             pairs = best.select(F.col("rep").alias("a"), F.explode("ps").alias("b"))
         else:
             main = some.groupBy("key", "comp").agg(F.count("*").alias("k")).groupBy("key").agg(F.max_by("comp", F.struct("k", "comp")).alias("main"), F.sum("k").alias("k"))
-            item = F.struct(F.col("rep").alias("id"), "comp", "n", "registers")
+            item = F.struct(F.col("rep").alias("id"), "comp", "n", "registers", "s")
             part = F.pmod(F.xxhash64("rep"), F.greatest(F.lit(1), F.ceil(F.col("k") / BLOCK)))
-            placed = some.join(main, "key").join(classes.select("rep", "n", "registers"), "rep").select("key", part.alias("part"), (F.col("comp") != F.col("main")).alias("other"), item.alias("item"))
+            sized = some.join(main, "key").join(classes.select("rep", "n", "registers"), "rep")
+            whole = sized.filter((F.col("k") > HOT) & (F.col("n") <= WHOLE)).join(sets.select(F.col("id").alias("rep"), "s"), "rep")
+            rest_of = sized.filter((F.col("k") <= HOT) | (F.col("n") > WHOLE)).withColumn("s", F.lit(None).cast("binary"))
+            placed = whole.unionByName(rest_of).select("key", part.alias("part"), (F.col("comp") != F.col("main")).alias("other"), item.alias("item"))
             blocks = placed.groupBy("key", "part").agg(F.collect_list("item").alias("block"))
             rest = placed.filter("other").groupBy("key", "part").agg(F.collect_list("item").alias("rest"))
             pairs = rest.select("key", "rest").join(blocks.select("key", "block"), "key").select("rest", "block").mapInPandas(_across, f"a {t}, b {t}").distinct()
