@@ -8,10 +8,16 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
+def shared_dir(spark: SparkSession) -> str:
+    """The folder that the cluster shares; one is set here only where nobody has, as in tests."""
+    if path := spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir():
+        return path
+    spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="spark-"))
+    return spark.sparkContext.getCheckpointDir()
+
+
 def checkpoint(df: DataFrame, _: int = 0) -> DataFrame:
-    spark: SparkSession = df.sparkSession
-    if not spark.conf.get("spark.checkpoint.dir", None) and not spark.sparkContext.getCheckpointDir():
-        spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="spark-"))
+    shared_dir(df.sparkSession)
     return df.checkpoint()
 
 

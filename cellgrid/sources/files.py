@@ -127,13 +127,15 @@ def read_allowlist(spark: SparkSession, path) -> DataFrame:
     return lines.select("bead", F.row_number().over(Window.orderBy("_i")).alias("rank"))  # a list of cells
 
 
-def read_mtx(spark: SparkSession, mtx: str, barcodes: str, features: str) -> DataFrame:
+def read_mtx(spark: SparkSession, mtx: str | list[str], barcodes: str, features: str) -> DataFrame:
     """(cell, feature, n) of a coordinate matrix with its label files."""
     numbered = lambda path, name: spark.read.text(path).select(F.split("value", "\t")[0].alias(name), F.monotonically_increasing_id().alias("_m")).select(name, F.row_number().over(Window.orderBy("_m")).cast("long").alias("_i"))
     f = F.split(F.trim("value"), " +")
-    body = spark.read.text(mtx).filter(~F.col("value").startswith("%")).select(f.alias("f"), F.monotonically_increasing_id().alias("_m"))
-    first = body.agg(F.min("_m").alias("_first"))
-    triples = body.crossJoin(F.broadcast(first)).filter("_m > _first").select(F.col("f")[0].cast("long").alias("_f"), F.col("f")[1].cast("long").alias("_c"), F.col("f")[2].cast("long").alias("n"))  # one row
+    # the line of dimensions is the one right after the header in the file that has a header
+    head = F.col("value").startswith("%")
+    body = spark.read.text(mtx).select("value", F.input_file_name().alias("_p"), F.monotonically_increasing_id().alias("_m"))
+    dims = body.groupBy("_p").agg(F.count_if(head).alias("_h"), F.min(F.when(~head, F.col("_m"))).alias("_first")).filter("_h > 0").select(F.col("_first").alias("_m"))
+    triples = body.filter(~head).join(F.broadcast(dims), "_m", "left_anti").select(f.alias("f")).select(F.col("f")[0].cast("long").alias("_f"), F.col("f")[1].cast("long").alias("_c"), F.col("f")[2].cast("long").alias("n"))  # a line per file
     return triples.join(numbered(features, "feature").withColumnRenamed("_i", "_f"), "_f").join(numbered(barcodes, "cell").withColumnRenamed("_i", "_c"), "_c").select("cell", "feature", "n")
 
 
