@@ -177,7 +177,7 @@ def test_contamination(spark):
     for d, i in ((3, 0), (9, 4), (9, 5), (20, 7), (41, 11)):
         t, w = texts[d].split(), items[i].split()
         if d == 41:
-            w[2], w[9], w[21] = "quite", "other", "words"
+            w[2], w[9], w[21] = (rng.choice(WORDS) for _ in range(3))
         texts[d] = " ".join(t[:50] + w + t[50:])
         want.add((d, i))
     bench = spark.createDataFrame([*enumerate(items), (99, None), (98, "short one")], "item_id long, text string")
