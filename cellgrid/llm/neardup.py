@@ -220,3 +220,16 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     out = sketched.drop("registers").join(reps, ["c1", "c2"], "left").select("id", F.col("n").alias("n_shingles"), F.when(F.col("id").isNotNull(), alone).alias("component_id"))
     scratch.drop("members", "sets")
     return out.select(F.col("id").alias(id_col), "n_shingles", "component_id", (F.col("id").isNull() | (F.col("id") == F.col("component_id"))).alias("kept"))
+
+
+SQL = r"""
+WITH RECURSIVE w AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w FROM documents),
+g AS (SELECT doc_id, list_distinct(CASE WHEN len(w) >= 5 THEN list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' '))
+  WHEN len(w) > 0 THEN [array_to_string(w, ' ')] ELSE [] END) AS s FROM w),
+n AS (SELECT doc_id, len(s)::BIGINT AS n FROM g), s AS (SELECT doc_id, unnest(s) AS x FROM g),
+p AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS k FROM s a JOIN s b ON a.x = b.x AND a.doc_id < b.doc_id GROUP BY ALL),
+e AS (SELECT a, b FROM p JOIN n x ON a = x.doc_id JOIN n y ON b = y.doc_id WHERE 100 * k >= 75 * (x.n + y.n - k)),
+l AS (SELECT a, b FROM e UNION ALL SELECT b, a FROM e),
+r AS (SELECT doc_id AS d, doc_id AS c FROM n UNION SELECT l.b, r.c FROM r JOIN l ON l.a = r.d WHERE r.c < l.b)
+SELECT doc_id, n AS n_shingles, min(c) AS component_id, doc_id = min(c) AS kept FROM n JOIN r ON d = doc_id GROUP BY doc_id, n
+"""

@@ -59,4 +59,4 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op7_language_id, op8_html_extraction, op9_exact_top_k, op10_quality_classifier,
     )
 }
-ORACLE_SQL: dict[str, str] = {"op2_mixing": mixing.SQL, "op6_warc_revisits": warc.SQL, "op9_exact_top_k": topk.SQL}
+ORACLE_SQL: dict[str, str] = {"op2_mixing": mixing.SQL, "op5_minhash_near_dedup": neardup.SQL, "op6_warc_revisits": warc.SQL, "op9_exact_top_k": topk.SQL}
