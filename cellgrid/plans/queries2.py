@@ -250,3 +250,14 @@ def top_peaks(spark, d):
     best = top_k(A.peaks(spark, d), [], [F.desc("score"), "chr", "start"], 100)
     return best.withColumn("place", F.row_number().over(Window.orderBy(F.desc("score"), "chr", "start")).cast("long"))  # 100 rows
 
+
+
+_LOGLOG = Q._RANKED + ", c AS (SELECT sample, log10(rank) AS lx, log10(n) AS ly, max(log10(rank)) OVER s AS tx, max(log10(n)) OVER s AS ty FROM r WHERE n > 0 WINDOW s AS (PARTITION BY sample))"
+
+ORACLE_SQL["kneedle_loglog"] = _LOGLOG + """, b AS (SELECT sample, tx, tx - lx AS rx, ty - ly AS ry FROM c),
+q AS (SELECT *, (rx - min(rx) OVER s) / (max(rx) OVER s - min(rx) OVER s) AS x, (ry - min(ry) OVER s) / (max(ry) OVER s - min(ry) OVER s) AS y FROM b WINDOW s AS (PARTITION BY sample))
+SELECT sample, round(pow(10.0::DOUBLE, any_value(tx) - arg_max(rx, (y - x, -rx))))::BIGINT AS knee FROM q GROUP BY sample"""
+
+ORACLE_SQL["inflection"] = _LOGLOG + """, g AS (SELECT sample, floor(lx / greatest(tx, 1e-9::DOUBLE) * 50) AS b, avg(lx) AS lx, avg(ly) AS ly FROM c GROUP BY ALL),
+s AS (SELECT sample, b, lx, (lead(ly) OVER w - lag(ly) OVER w) / (lead(lx) OVER w - lag(lx) OVER w) AS s FROM g WINDOW w AS (PARTITION BY sample ORDER BY b))
+SELECT sample, round(pow(10.0::DOUBLE, arg_min(lx, (s, b))))::BIGINT AS inflection FROM s WHERE s IS NOT NULL GROUP BY sample"""

@@ -53,10 +53,19 @@ def read_fastq_files(spark: SparkSession, paths: list[str]) -> DataFrame:
 
 
 def read_fastq(spark: SparkSession, path: str | list[str]) -> DataFrame:
-    """(name, seq, qual, path) of FASTQ files in any store that Spark reads (S1). A record is split off at its head line."""
-    text = spark.read.option("lineSep", "\n@").text(path).withColumn("path", F.input_file_name())
-    lines = F.split(F.regexp_replace("value", "^@", ""), "\n")
-    return text.select(lines.alias("l"), "path").filter(F.size("l") >= 4).select(F.split(F.col("l")[0], " ")[0].alias("name"), F.col("l")[1].alias("seq"), F.col("l")[3].alias("qual"), "path")
+    """(name, seq, qual, path) of FASTQ files in any store that Spark reads.
+
+    Text is split where a line starts with @, which a quality line may do as well: such a record comes in two pieces, of
+    three lines and of one, and only these pieces are ordered within their file and put together again.
+    """
+    text = spark.read.option("lineSep", "\n@").text(path)
+    lines = F.split(F.regexp_replace(F.regexp_replace("value", "^@", ""), "\n$", ""), "\n")
+    pieces = text.select(lines.alias("l"), F.input_file_name().alias("path"), F.monotonically_increasing_id().alias("_i"))
+    w = Window.partitionBy("path").orderBy("_i")
+    torn = pieces.filter(F.size("l") < 4).withColumn("_next", F.lead("l").over(w)).filter(F.size("l") == 3)
+    torn = torn.select(F.concat("l", F.array(F.concat(F.lit("@"), F.col("_next")[0]))).alias("l"), "path")
+    whole = pieces.filter(F.size("l") >= 4).select("l", "path").unionByName(torn)
+    return whole.select(F.split(F.col("l")[0], " ")[0].alias("name"), F.col("l")[1].alias("seq"), F.col("l")[3].alias("qual"), "path")
 
 
 def merge_lanes(reads: DataFrame) -> DataFrame:
