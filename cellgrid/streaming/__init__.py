@@ -1 +1 @@
-
+"""Empty: every step of the pipelines that the operators come from is batch over files."""
