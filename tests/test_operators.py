@@ -124,3 +124,30 @@ def test_pair_mates_ignores_secondary(spark):
     rows = [("s", "c", "r", 99, 10, 50, 60, 100), ("s", "c", "r", 147, 80, 120, 60, -100), ("s", "c", "r", 99 + 256, 500, 540, 60, 0), ("s", "c", "x", 99, 1, 2, 60, 1)]
     got = atac.pair_mates(spark.createDataFrame(rows, "sample string, contig string, name string, flag int, pos long, end long, mapq int, tlen int")).collect()
     assert [(r.name, r.pos1, r.pos2, r.rev2) for r in got] == [("r", 10, 80, True)]
+
+
+def test_small_readers(spark, tmp_path):
+    write = lambda name, text: (tmp_path / name).write_text(text) and str(tmp_path / name)
+    bed = files.read_bed(spark, write("a.bed", "#c\nchr1\t5\t9\tx\t1.5\t+\nchr2\t1\t2\n")).collect()
+    assert [(r.chr, r.start, r.stop, r.name) for r in bed] == [("chr1", 5, 9, "x"), ("chr2", 1, 2, None)]
+    edge = files.read_edges(spark, write("e.tsv", "7\t4\t10\t1\nA\tC\t\tB\n")).collect()
+    assert [tuple(r) for r in edge] == [("7", "4", "10", "1"), ("A", "C", None, "B")]
+    rna = files.read_barcode_map(spark, write("m.tsv", "BeadBarcode,DropBarcode,nBeads\n1,xBC1N2,2\n")).collect()
+    atac_map = files.read_barcode_map(spark, write("n.tsv", "a\tc1\nb\tc1\n"), "atac").collect()
+    assert [tuple(r) for r in rna] == [("1", "xBC1N2", 2)]
+    assert {tuple(r) for r in atac_map} == {("a", "c1", 2), ("b", "c1", 2)}
+    assert [tuple(r) for r in files.read_allowlist(spark, write("l.csv", "x\ny\n")).collect()] == [("x", 1), ("y", 2)]
+    assert [tuple(r) for r in files.read_contigs(spark, write("g.fai", "chr1\t100\t0\t60\t61\n")).collect()] == [("chr1", 100)]
+    assert [tuple(r) for r in files.read_contigs(spark, write("g.fa", ">chr1 d\nACGT\n>chr2\nA\n")).collect()] == [("chr1", None), ("chr2", None)]
+    table = write("dup_metrics.txt", "# x\n## METRICS CLASS\tY\nLIBRARY\tREADS\tPERCENT\nlib\t10\t0.5\n")
+    assert {(r.metric, r.value) for r in files.parse_report(spark, "duplication", table).collect()} == {("READS", 10.0), ("PERCENT", 0.5)}
+    empty = [files.read_metrics(spark, [write("a.csv", "sample,process,metric,value\n"), write("b.csv", "sample,process,metric,value\ns,p,m,2\n")])]
+    assert [tuple(r) for r in empty[0].collect()] == [("s", "p", "m", 2.0)]
+
+
+def test_empty_tables(spark):
+    frags = spark.createDataFrame([], "chr string, start long, stop long, bead string, support long")
+    assert merge_atac.bead_pair_jaccard(frags).count() == 0
+    assert edges.merge_beads(spark.createDataFrame([], "bead1 string, umi1 string, bead2 string, umi2 string")).count() == 0
+    assert ranges.merge_intervals(frags, ["chr"]).count() == 0
+    assert ranges.subtract_intervals(frags, frags, ["chr"]).count() == 0
