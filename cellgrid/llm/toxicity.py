@@ -70,9 +70,8 @@ def _grade_probabilities(s: np.ndarray, cuts: np.ndarray) -> np.ndarray:
 
 def fit(sample: pd.DataFrame, l1: float = 0.001, l2: float = 1e-4, passes: int = 12) -> pd.DataFrame:
     """Weights, cuts and the decision threshold from (text, label) rows."""
-    counts = [_counts(t) for t in sample["text"]]
     toxic = sample["label"].to_numpy() == 1
-    keys = [np.unique(np.array([x for word in c for x in _keys(word)], np.int64)) for c in counts]
+    keys = [np.unique(np.array([x for word in _counts(t) for x in _keys(word)], np.int64)) for t in sample["text"]]
     seen, k = np.unique(np.concatenate([*keys, np.zeros(0, np.int64)]), return_counts=True)
     seen, k = seen[k >= MIN_DOCS], k[k >= MIN_DOCS]
     in_toxic = np.zeros(len(seen), np.int64)
@@ -80,12 +79,14 @@ def fit(sample: pd.DataFrame, l1: float = 0.001, l2: float = 1e-4, passes: int =
         place = np.searchsorted(seen, own)
         place = place[(place < len(seen)) & (seen[np.minimum(place, len(seen) - 1)] == own)]
         in_toxic[place] += 1
+    del keys
     rate = toxic.mean() if len(toxic) else 0.0
     excess = (in_toxic - k * rate) / np.sqrt(k * rate * (1 - rate) + 1e-9)
     chosen = seen[excess > SCREEN]
     at = {int(x): i for i, x in enumerate(chosen)}
     lexicon = {i for i, x in enumerate(excess[excess > SCREEN]) if in_toxic[excess > SCREEN][i] > 0.5 * k[excess > SCREEN][i]}
-    values = [_row(c, {}, at) for c in counts]
+    known: dict[str, tuple[int, ...]] = {}
+    values = [_row(_counts(t), known, at) for t in sample["text"]]  # texts are counted again rather than kept as counts
     hits = np.array([sum(math.expm1(v) for i, v in x.items() if i % 2 == 0 and i // 2 in lexicon) for x in values])
     thirds = np.quantile(hits[toxic], [1 / 3, 2 / 3]) if toxic.any() else np.zeros(2)
     grade = np.where(toxic, 1 + (hits[:, None] > thirds).sum(axis=1), 0)
