@@ -98,8 +98,14 @@ def hashed_words(texts: list[str | None], marks: bool = False) -> tuple[np.ndarr
     Words are those of ``words``; with marks, ASCII marks divide words as well. A word's hash is a polynomial of its bytes
     modulo 2**64, as a difference of running sums divided by the power at which the word starts.
     """
-    parts = [t.encode("utf-8", "surrogatepass").lower() if t else b"" for t in texts]
-    data = np.frombuffer(b"\n".join(parts) + b"\n", np.uint8)
+    h, counts, *_ = scanned_words(texts, marks)
+    return h, counts
+
+
+def scanned_words(texts: list[str | None], marks: bool = False) -> tuple[np.ndarray, ...]:
+    """hashed_words, with the bytes of all texts, one line end after each, and the positions where words start and stop."""
+    raw = np.frombuffer(b"".join((t.encode("utf-8", "surrogatepass") if t else b"") + b"\n" for t in texts), np.uint8)
+    data = raw + np.where((raw >= 65) & (raw <= 90), np.uint8(32), np.uint8(0))
     gap = (_MARKS if marks else _SPACES)[data]
     edge = np.diff(gap.astype(np.int8), prepend=1)
     start, stop = np.flatnonzero(edge == -1), np.flatnonzero(edge == 1)
@@ -107,8 +113,9 @@ def hashed_words(texts: list[str | None], marks: bool = False) -> tuple[np.ndarr
     with np.errstate(over="ignore"):
         run = np.append(np.uint64(0), np.cumsum((data + np.uint64(1)) * _powers(bits, _P)[: len(data)]))
         h = mix((run[stop] - run[start]) * _powers(bits, pow(_P, -1, 1 << 64))[start])
-    ends = np.cumsum([len(p) + 1 for p in parts])
-    return h, np.diff(np.searchsorted(start, ends), prepend=0)
+    lengths = [len(t) if t and t.isascii() else len(t.encode("utf-8", "surrogatepass")) if t else 0 for t in texts]
+    ends = np.cumsum(np.array(lengths, np.int64) + 1)
+    return h, np.diff(np.searchsorted(start, ends), prepend=0), raw, start, stop
 
 
 def shingle_sets(texts: list[str | None], n: int = SHINGLE) -> list[np.ndarray]:
