@@ -1,8 +1,8 @@
 """Substring dedup: passages that stand in several documents, found by MinHash banding of overlapping paragraphs.
 
 A copied passage may start in the middle of a line, so a paragraph is a stretch of ``WIDTH`` words from a sentence start.
-Its MinHash values are sliding minima over the document's shingle hashes. Paragraphs that agree in a band and stand in
-different documents are joined. Equal ones need no more than that; different ones are confirmed by the exact Jaccard
+Its MinHash values are sliding minima over the document's shingle hashes. Keys travel packed by range, so that those of several
+documents are found without a row for each key. Paragraphs that agree in a band and stand in different documents are joined. Equal ones need no more than that; different ones are confirmed by the exact Jaccard
 similarity of their shingle sets. Components of confirmed links are the passages; the occurrence in the smallest id stays.
 
 A passage holds several overlapping paragraphs, and each has ``BANDS`` chances: verbatim passages of WIDTH words from a
@@ -23,7 +23,12 @@ from .common import NEAR, SHINGLE, Scratch, chunks, mix, scanned_words
 from .graph import components
 
 WIDTH = 32
-BANDS, ROWS = 1, 2
+BANDS, ROWS = 6, 2  # paragraphs of similarity 0.75 meet with probability 1 - (1 - 0.75**2)**6 = 0.993
+FLUSH = 1 << 20  # keys that a task holds at once
+PART = 1 << 23  # bytes of text that are read together where shared keys are looked up
+SMALL = 16  # classes of a key that are compared pair by pair; larger keys go by pivots, then by blocks
+PIVOTS = 3
+BLOCK = 256
 
 
 def _minima(h: np.ndarray, at: np.ndarray, span: int) -> np.ndarray:
@@ -34,6 +39,28 @@ def _minima(h: np.ndarray, at: np.ndarray, span: int) -> np.ndarray:
     return np.minimum(h[at], h[at + span - width])
 
 
+def _shingled(w: np.ndarray) -> np.ndarray:
+    """Hashes of the shingles along the last axis, of word hashes of 32 bits."""
+    n = w.shape[-1] - SHINGLE + 1
+    g = np.zeros((*w.shape[:-1], n), np.uint64)
+    with np.errstate(over="ignore"):
+        for i in range(SHINGLE):
+            g = g * np.uint64(0x9E3779B97F4A7C15) + w[..., i : n + i]
+    return g
+
+
+def _band_keys(n: int, least) -> np.ndarray:
+    """Keys (n, BANDS); least(i) gives the n minima of the i-th hash."""
+    keys = np.zeros((n, BANDS), np.uint64)
+    with np.errstate(over="ignore"):
+        for b in range(BANDS):
+            key = np.full(n, b + 1, np.uint64)
+            for r in range(ROWS):
+                key = mix(key * np.uint64(0xD1342543DE82EF95) + least(b * ROWS + r + 1))
+            keys[:, b] = key
+    return keys.view(np.int64)
+
+
 def _titles(raw: np.ndarray, start: np.ndarray, stop: np.ndarray) -> np.ndarray:
     """Words that begin with a capital (of ASCII or the Latin-1 letters) and do not go on with one."""
     first, second = raw[start], raw[np.minimum(start + 1, len(raw) - 1)]
@@ -62,56 +89,114 @@ def paragraphs(texts: list[str | None]) -> tuple[np.ndarray, ...]:
     again = np.append(h[1:] == h[:-1], False) & ((place - run) % 16 == 0)
     left = np.cumsum(counts)[text] - place  # words up to the text's end
     at = np.flatnonzero((begins | far | again) & (left >= WIDTH))
-    keys = np.zeros((len(at), BANDS), np.uint64)
+    keys = np.zeros((0, BANDS), np.int64)
     if len(at):
-        with np.errstate(over="ignore"):
-            g = np.zeros(len(h) - SHINGLE + 1, np.uint64)
-            for i in range(SHINGLE):
-                g = g * np.uint64(0x9E3779B97F4A7C15) + h[i : len(h) - SHINGLE + 1 + i]
-            for b in range(BANDS):
-                key = np.full(len(at), b + 1, np.uint64)
-                for r in range(ROWS):
-                    key = mix(key * np.uint64(0xD1342543DE82EF95) + _minima(mix(g + np.uint64(b * ROWS + r + 1)), at, WIDTH - SHINGLE + 1))
-                keys[:, b] = key
-    return text[at], at, keys.view(np.int64), h, raw, start, stop
-
-
-def _keys(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """Distinct keys of each document."""
+        g = _shingled(h >> np.uint64(32))
+        keys = _band_keys(len(at), lambda i: _minima(mix(g + np.uint64(i)), at, WIDTH - SHINGLE + 1))
+    return text[at], at, keys, h, raw, start, stop
+
+
+def _keys(batches: Iterator[pd.DataFrame], parts: int) -> Iterator[pd.DataFrame]:
+    """(bucket, keys, docs): keys and the digests of the ids that hold them, packed. The bucket is a range of keys. Of the
+    documents of a part that share a key two are named at most, so a common key stays small."""
+    bounds = np.array([(i << 64) // parts for i in range(1, parts)], np.uint64)
+
+    def packed(held: list) -> pd.DataFrame:
+        key, doc = np.concatenate([k for k, _ in held]), np.concatenate([x for _, x in held])
+        order = np.argsort(key)
+        key, doc = key[order], doc[order]
+        same = key[1:] == key[:-1]
+        several = np.flatnonzero(np.append(same, False) | np.append(False, same))
+        keep = np.ones(len(key), bool)
+        if len(several):
+            k, x = key[several], doc[several]
+            x = x[np.lexsort((x, x % parts, k))]
+            doc[several] = x
+            new = (k[1:] != k[:-1]) | (x[1:] % parts != x[:-1] % parts)
+            keep[several] = np.append(True, new) | np.append(new, True)
+        key, doc = key[keep], doc[keep]
+        ends = np.append(np.searchsorted(key, bounds), len(key))
+        starts = np.append(0, ends[:-1])
+        full = np.flatnonzero(ends > starts)
+        return pd.DataFrame({"bucket": full.astype(np.int32), "keys": [key[starts[i] : ends[i]].tobytes() for i in full], "docs": [doc[starts[i] : ends[i]].tobytes() for i in full]})
+
+    held, n = [], 0
     for pdf in batches:
-        texts = list(pdf["text"])
+        texts, docs = list(pdf["text"]), pdf["doc"].to_numpy()
         for a, b in chunks(texts):
             text, _, keys, *_ = paragraphs(texts[a:b])
-            pairs = pd.DataFrame({"row": np.repeat(text, BANDS), "key": keys.ravel()}).drop_duplicates()
-            yield pd.DataFrame({"id": pdf["id"].to_numpy()[a + pairs["row"].to_numpy()], "key": pairs["key"].to_numpy()})
+            held.append((keys.view(np.uint64).ravel(), np.repeat(docs[a + text], BANDS)))
+            n += keys.size
+            if n > FLUSH:
+                yield packed(held)
+                held, n = [], 0
+    if n:
+        yield packed(held)
+
+
+def _shared(pdf: pd.DataFrame, parts: int) -> pd.DataFrame:
+    """(part, key): keys of one bucket that several documents hold, once for each part with such a document."""
+    key, doc = np.frombuffer(b"".join(pdf["keys"]), np.uint64), np.frombuffer(b"".join(pdf["docs"]), np.int64)
+    order = np.argsort(key)
+    key, doc = key[order], doc[order]
+    first = np.flatnonzero(np.append(True, key[1:] != key[:-1]))
+    several = np.minimum.reduceat(doc, first) < np.maximum.reduceat(doc, first)
+    mask = np.repeat(several, np.diff(np.append(first, len(key))))
+    key, part = key[mask], doc[mask] % parts
+    order = np.lexsort((part, key))
+    key, part = key[order], part[order]
+    new = np.append(True, (key[1:] != key[:-1]) | (part[1:] != part[:-1]))[: len(key)]
+    return pd.DataFrame({"part": part[new].astype(np.int32), "key": key[new].view(np.int64)})
+
+
+def _found(pdf: pd.DataFrame, shared: pd.DataFrame) -> pd.DataFrame:
+    """Paragraphs with a shared key, of one part: where they stand, their class (a digest of the words) and their words' hashes."""
+    texts, ids, wanted = list(pdf["text"]), pdf["id"].to_numpy(), np.unique(shared["key"].to_numpy())
+    out = [pd.DataFrame({"id": ids[:0], "start": np.zeros(0, np.int32), "stop": np.zeros(0, np.int32), "cls": np.zeros(0, np.int64), "words": []})]
+    for a, b in chunks(texts) if len(wanted) else ():
+        text, at, keys, h, raw, start, stop = paragraphs(texts[a:b])
+        row = np.flatnonzero((wanted[np.minimum(np.searchsorted(wanted, keys), len(wanted) - 1)] == keys).any(axis=1))
+        if not len(row):
+            continue
+        first = at[row]
+        chars = np.cumsum((raw & 0xC0) != 0x80)  # characters up to and with each byte
+        offset = np.append(0, np.cumsum([len(t) + 1 for t in texts[a:b]]))[text[row]]
+        window = np.lib.stride_tricks.sliding_window_view(h, WIDTH)[first]
+        out.append(pd.DataFrame({
+            "id": ids[a + text[row]],
+            "start": (chars[start[first]] - 1 - offset).astype(np.int32),
+            "stop": (chars[stop[first + WIDTH - 1] - 1] - offset).astype(np.int32),
+            "cls": [xxhash.xxh3_64_intdigest(w.tobytes()) - (1 << 63) for w in window],
+            "words": [w.tobytes() for w in (window >> np.uint64(32)).astype(np.uint32)],
+        }))
+    return pd.concat(out[1:] or out)
+
+
+def _words(column) -> np.ndarray:
+    return np.frombuffer(b"".join(bytes(x) for x in column), np.uint32).reshape(-1, WIDTH).astype(np.uint64)
 
 
-def _found(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """Paragraphs whose key is shared: where they stand, their class (a digest of the words) and their words' hashes."""
+def _class_keys(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for pdf in batches:
-        texts, shared, ids = list(pdf["text"]), list(pdf["keys"]), pdf["id"].to_numpy()
-        for a, b in chunks(texts):
-            text, at, keys, h, raw, start, stop = paragraphs(texts[a:b])
-            if not len(at):
-                continue
-            # a document's shared keys, as a set of (text, key) pairs
-            wanted = pd.MultiIndex.from_arrays([np.repeat(np.arange(b - a), [len(k) for k in shared[a:b]]), np.concatenate([np.asarray(k, np.int64) for k in shared[a:b]])])
-            hit = np.column_stack([pd.MultiIndex.from_arrays([text, keys[:, i]]).isin(wanted) for i in range(BANDS)])
-            row, band = np.nonzero(hit)
-            if not len(row):
-                continue
-            first = at[row]
-            chars = np.cumsum((raw & 0xC0) != 0x80)  # characters up to and with each byte
-            offset = np.append(0, np.cumsum([len(t) + 1 for t in texts[a:b]]))[text[row]]
-            window = np.lib.stride_tricks.sliding_window_view(h, WIDTH)[first]
-            yield pd.DataFrame({
-                "id": ids[a + text[row]],
-                "start": (chars[start[first]] - 1 - offset).astype(np.int32),
-                "stop": (chars[stop[first + WIDTH - 1] - 1] - offset).astype(np.int32),
-                "key": keys[row, band],
-                "cls": [xxhash.xxh3_64_intdigest(w.tobytes()) - (1 << 63) for w in window],
-                "words": [w.tobytes() for w in (window >> np.uint64(32)).astype(np.uint32)],
-            })
+        if len(pdf):
+            g = _shingled(_words(pdf["words"]))
+            keys = _band_keys(len(g), lambda i: mix(g + np.uint64(i)).min(axis=1))  # noqa: B023  it is called at once
+            yield pd.DataFrame({"key": keys.ravel(), "cls": np.repeat(pdf["cls"].to_numpy(), BANDS)})
+
+
+def _across(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """Similar classes of two blocks, of different components, as a product of membership matrices."""
+    for pdf in batches:
+        for left, right in zip(pdf["rest"], pdf["block"], strict=True):
+            ids, comp = (np.array([x[c] for x in (*left, *right)], np.int64) for c in ("cls", "comp"))
+            sets = np.sort(mix(_shingled(mix(_words([x["words"] for x in (*left, *right)])))), axis=1)
+            known, at = np.unique(sets, return_inverse=True)
+            member = np.zeros((len(ids), len(known)), np.float32)
+            member[np.repeat(np.arange(len(ids)), sets.shape[1]), at.ravel()] = 1
+            n, sizes = len(left), member.sum(axis=1).astype(np.int64)
+            both = (member[:n] @ member[n:].T).astype(np.int64)
+            p, q = np.nonzero((100 * both >= round(100 * NEAR) * (sizes[:n, None] + sizes[n:] - both)) & (comp[:n, None] != comp[n:]))
+            yield pd.DataFrame({"a": ids[p], "b": ids[n + q]})
 
 
 def _near(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -120,11 +205,7 @@ def _near(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             continue
         sides = []
         for c in ("wa", "wb"):
-            w = np.frombuffer(b"".join(pdf[c]), np.uint32).reshape(len(pdf), WIDTH).astype(np.uint64)
-            g = np.zeros((len(pdf), WIDTH - SHINGLE + 1), np.uint64)
-            with np.errstate(over="ignore"):
-                for i in range(SHINGLE):
-                    g = g * np.uint64(0x9E3779B97F4A7C15) + mix(w[:, i : WIDTH - SHINGLE + 1 + i])
+            g = _shingled(mix(_words(pdf[c])))
             g.sort(axis=1)
             sides.append(g)
         distinct = lambda g: 1 + (g[:, 1:] != g[:, :-1]).sum(axis=1)
@@ -147,33 +228,49 @@ def repeated_passages(docs: DataFrame) -> DataFrame:
     scratch = Scratch(spark)
     t = docs.schema["doc_id"].dataType.simpleString()
     d = docs.select(F.col("doc_id").alias("id"), F.col("text").cast("string").alias("text")).filter("id is not null and text is not null")
-    keys = scratch.save(d.mapInPandas(_keys, f"id {t}, key long"), "keys")
-    several = keys.groupBy("key").agg(F.min("id").alias("low"), F.max("id").alias("high")).filter("low < high").select("key")
-    suspects = scratch.save(keys.join(several, "key").groupBy("id").agg(F.collect_set("key").alias("keys")), "suspects")
-    found = scratch.save(d.join(suspects, "id").select("id", "text", "keys").mapInPandas(_found, f"id {t}, start int, stop int, key long, cls long, words binary"), "found")
-    scratch.drop("keys", "suspects")
-
-    # classes that share a key: the smallest is compared with each of the others, then components that still meet are
-    # compared again through other members, until no key holds components that have not been compared
+    d = d.withColumn("doc", F.xxhash64("id"))
+    parts = max(64, (d.agg(F.sum(F.octet_length("text"))).first()[0] or 0) // PART)
+    packed = d.select("doc", "text").mapInPandas(lambda x: _keys(x, parts), "bucket int, keys binary, docs binary")
+    shared = packed.groupBy("bucket").applyInPandas(lambda x: _shared(x, parts), "part int, key long")
+    placed = d.select(F.pmod("doc", F.lit(parts)).cast("int").alias("part"), "id", "text")
+    both = placed.groupBy("part").cogroup(shared.groupBy("part"))
+    found = scratch.save(both.applyInPandas(_found, f"id {t}, start int, stop int, cls long, words binary"), "found")
+
+    # classes that share a key: in small keys all pairs are compared; in large ones a pivot is compared with each of the
+    # others in turn, and then all members outside the largest component are compared with all others, block by block
     classes = scratch.save(found.groupBy("cls").agg(F.min("words").alias("words"), F.min("id").alias("first")), "classes")
-    members = scratch.save(found.select("key", "cls").distinct(), "members")
-    links, label, tried = None, None, None
-    for i in range(4):
-        m = members.withColumn("comp", F.col("cls")) if label is None else members.join(label.select(F.col("u").alias("cls"), "v"), "cls", "left").select("key", "cls", F.coalesce("v", "cls").alias("comp"))
-        open_keys = m.groupBy("key").agg(F.min_by("cls", F.xxhash64("cls", F.lit(i))).alias("p"), F.min_by("comp", F.xxhash64("cls", F.lit(i))).alias("pc"), F.min("comp").alias("low"), F.max("comp").alias("high")).filter("low < high")
-        pairs = m.join(open_keys, "key").filter("comp <> pc").select(F.col("cls").alias("a"), F.col("p").alias("b")).distinct()
-        if tried is not None:
-            pairs = pairs.join(tried, ["a", "b"], "left_anti")
-        pairs = scratch.save(pairs, f"pairs-{i}")
-        if pairs.isEmpty():
+    wa, wb = classes.select(F.col("cls").alias("a"), F.col("words").alias("wa")), classes.select(F.col("cls").alias("b"), F.col("words").alias("wb"))
+    exploded = scratch.save(classes.select("cls", "words").mapInPandas(_class_keys, "key long, cls long").distinct(), "exploded")
+    sizes = exploded.groupBy("key").agg(F.count("*").alias("k")).filter("k > 1")
+    members = scratch.save(exploded.join(sizes, "key"), "members")
+    scratch.drop("exploded")
+    few, many = members.filter(F.col("k") <= SMALL).select("key", "cls"), members.filter(F.col("k") > SMALL)
+
+    def near(pairs: DataFrame, name: str) -> DataFrame:
+        return scratch.save(pairs.join(wa, "a").join(wb, "b").mapInPandas(_near, "a long, b long"), name)
+
+    each = few.select("key", F.col("cls").alias("a")).join(few.select("key", F.col("cls").alias("b")), "key").filter("a > b").select("a", "b").distinct()
+    links = near(each, "links")
+    label = components(scratch, links, "comp")
+    for i in range(PIVOTS + 1):
+        m = many.join(label.select(F.col("u").alias("cls"), "v"), "cls", "left").select("key", "cls", "k", F.coalesce("v", "cls").alias("comp"))
+        open_keys = m.groupBy("key").agg(F.min_by(F.struct("cls", "comp"), F.xxhash64("cls", F.lit(i))).alias("p"), F.min("comp").alias("low"), F.max("comp").alias("high")).filter("low < high")
+        some = scratch.save(m.join(open_keys.select("key", "p"), "key"), f"open-{i}")
+        if some.isEmpty():
             break
-        tried = pairs if tried is None else tried.union(pairs)
-        wa, wb = classes.select(F.col("cls").alias("a"), F.col("words").alias("wa")), classes.select(F.col("cls").alias("b"), F.col("words").alias("wb"))
-        new = scratch.save(pairs.join(wa, "a").join(wb, "b").mapInPandas(_near, "a long, b long"), f"links-{i}")
-        links = new if links is None else links.union(new)
+        if i < PIVOTS:
+            new = near(some.filter("comp <> p.comp").select(F.col("cls").alias("a"), F.col("p.cls").alias("b")).distinct(), f"links-{i}")
+        else:
+            main = some.groupBy("key", "comp").agg(F.count("*").alias("n")).groupBy("key").agg(F.max_by("comp", F.struct("n", "comp")).alias("main"))
+            part = F.pmod(F.xxhash64("cls"), F.ceil(F.col("k") / BLOCK))
+            blocked = some.join(main, "key").join(classes.select("cls", "words"), "cls").select("key", part.alias("part"), (F.col("comp") != F.col("main")).alias("other"), F.struct("cls", "comp", "words").alias("item"))
+            blocks = blocked.groupBy("key", "part").agg(F.collect_list("item").alias("block"))
+            rest = blocked.filter("other").groupBy("key", "part").agg(F.collect_list("item").alias("rest"))
+            new = scratch.save(rest.select("key", "rest").join(blocks.select("key", "block"), "key").select("rest", "block").mapInPandas(_across, "a long, b long").distinct(), f"links-{i}")
+        links = links.union(new)
         label = components(scratch, links, f"comp-{i}")
 
-    named = classes.withColumn("passage", F.col("cls")) if label is None else classes.join(label.select(F.col("u").alias("cls"), F.col("v")), "cls", "left").withColumn("passage", F.coalesce("v", "cls"))
+    named = classes.join(label.select(F.col("u").alias("cls"), F.col("v")), "cls", "left").withColumn("passage", F.coalesce("v", "cls"))
     keeper = named.groupBy("passage").agg(F.min("first").alias("keeper"))
     owner = named.select("cls", "passage").join(keeper, "passage")
     spans = found.select("id", "start", "stop", "cls").distinct().join(owner, "cls")

@@ -149,6 +149,24 @@ def test_edited_passage_is_found(spark):
     assert {(r.doc_id, r.removed) for r in rows} == {(0, False), (1, True)}
 
 
+def test_edited_passages_match_brute_force(spark):
+    """Paragraphs at the required similarity, and one template in more variants than there are pivots."""
+    rng = random.Random(21)
+    texts = []
+    for _ in range(80):
+        w = sentence(rng, 32).capitalize().split()
+        texts += [" ".join(w), " ".join([*w[:28], "edited", *w[29:]])]  # 24 of 32 shingles are shared
+    base = sentence(rng, 32).capitalize().split()
+    base = sentence(rng, 25).capitalize()
+    for i in range(40):  # pairs of like variants; those of different pairs share most words but are not alike
+        w = [*base.split(), *(f"v{i}x{k}" for k in range(7))]
+        texts += [" ".join(w), " ".join([*w[:31], "edited"])]
+    sets = {i: shingles(t) for i, t in enumerate(texts)}
+    want = {i for i, c in components(sets).items() if i != c}
+    got = {r.doc_id for r in passages.repeated_passages(docs(spark, texts)).collect() if r.removed}
+    assert len(want) == 120 and got <= want and len(got) >= 0.97 * len(want)
+
+
 def test_sliding_minima():
     h = np.random.default_rng(1).integers(0, 1 << 60, 300).astype(np.uint64)
     at = np.arange(0, 260, 7)
