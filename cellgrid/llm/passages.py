@@ -11,6 +11,7 @@ sentence start are always found, and an edited passage is found through any of i
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator
 
 import numpy as np
@@ -24,6 +25,7 @@ from .graph import components
 
 WIDTH = 32
 BANDS, ROWS = 6, 2  # paragraphs of similarity 0.75 meet with probability 1 - (1 - 0.75**2)**6 = 0.993
+SPACING = 16  # each stretch of so many possible starts holds a start
 FLUSH = 1 << 20  # keys that a task holds at once
 PART = 1 << 23  # bytes of text that are read together where shared keys are looked up
 SMALL = 16  # classes of a key that are compared pair by pair; larger keys go by pivots, then by blocks
@@ -71,8 +73,8 @@ def _titles(raw: np.ndarray, start: np.ndarray, stop: np.ndarray) -> np.ndarray:
 
 def paragraphs(texts: list[str | None]) -> tuple[np.ndarray, ...]:
     """Paragraphs of all texts: (text number, first word, band keys (n, BANDS)), then word hashes and what scanned_words
-    returns after them. A paragraph starts at a sentence start, in a run of one word, or
-    where those are far apart, at a word chosen by its hash.
+    returns after them. A paragraph starts at a sentence start, in a run of one word, and in each SPACING words without a
+    sentence start at the one whose shingle has the least hash. What is chosen depends on the text alone.
     """
     h, counts, raw, start, stop = scanned_words(texts)
     if not len(h):
@@ -82,17 +84,30 @@ def paragraphs(texts: list[str | None]) -> tuple[np.ndarray, ...]:
     title, full_stop = _titles(raw, start, stop), raw[stop - 1] == 46
     begins = title & (opens | np.append(True, ~title[:-1] | full_stop[:-1]))
     place = np.arange(len(h))
-    last = np.maximum.accumulate(np.where(begins, place, np.where(opens, place - 1000, -1)))
-    far = (place - last > 16) & ((mix(h) & np.uint64(7)) == 0)
     # one word over and over: every 16th of the run
     run = np.maximum.accumulate(np.where(opens | np.append(True, h[1:] != h[:-1]), place, 0))
     again = np.append(h[1:] == h[:-1], False) & ((place - run) % 16 == 0)
     left = np.cumsum(counts)[text] - place  # words up to the text's end
-    at = np.flatnonzero((begins | far | again) & (left >= WIDTH))
-    keys = np.zeros((0, BANDS), np.int64)
-    if len(at):
-        g = _shingled(h >> np.uint64(32))
-        keys = _band_keys(len(at), lambda i: _minima(mix(g + np.uint64(i)), at, WIDTH - SHINGLE + 1))
+    fits = left >= WIDTH
+    if not fits.any():
+        return np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros((0, BANDS), np.int64), h, raw, start, stop
+    g = _shingled(h >> np.uint64(32))
+    # texts are kept apart by the WIDTH - 1 places at the end of each, where no paragraph fits
+    top = np.uint64(0xFFFFFFFFFFFFFFFF)
+    rank = np.full(len(h), top)
+    rank[: len(g)] = mix(g) >> np.uint64(1)
+    repeat = np.append(False, g[1:] == g[:-1]) & ~opens[: len(g)]
+    rank[: len(g)][repeat & fits[: len(g)]] = top >> np.uint64(1)  # last among those of a window
+    rank[begins] = 0
+    rank[~fits] = top
+    at = np.arange(len(h) - SPACING + 1)
+    least = _minima(rank, at, SPACING)
+    # a window counts if all of it fits, or if it starts a text in which fewer places fit
+    least[~(fits[: len(at)] & (fits[SPACING - 1 :] | opens[: len(at)]))] = 0
+    most = ~_minima(np.concatenate([np.full(SPACING - 1, top), ~least, np.full(SPACING - 1, top)]), np.arange(len(h)), SPACING)
+    chosen = (rank == most) & (rank < top >> np.uint64(1))
+    at = np.flatnonzero((begins | chosen | again) & fits)
+    keys = _band_keys(len(at), lambda i: _minima(mix(g + np.uint64(i)), at, WIDTH - SHINGLE + 1))
     return text[at], at, keys, h, raw, start, stop
 
 
@@ -216,11 +231,47 @@ def _near(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         yield pdf.loc[100 * shared >= round(100 * NEAR) * union, ["a", "b"]]
 
 
+_WORD = re.compile(r"[^\x20\t-\r]+")
+
+
+def _beside(text: str, at: int, right: bool) -> str:
+    """SPACING words that follow the place in the text or end there, with what divides them."""
+    side = text[at:] if right else text[:at][::-1]
+    ends = [m.end() for m, _ in zip(_WORD.finditer(side), range(SPACING))]  # noqa: B905
+    side = side[: ends[-1] if ends else 0]
+    return side if right else side[::-1]
+
+
+def _agreed(a: str, b: str, right: bool) -> int:
+    """Characters of a that hold the words in which a and b agree, from the place on."""
+    if not right:
+        a, b = a[::-1], b[::-1]
+    n = 0
+    for x, y in zip(_WORD.finditer(a), _WORD.finditer(b)):  # noqa: B905
+        if x[0].encode("utf-8", "surrogatepass").lower() != y[0].encode("utf-8", "surrogatepass").lower():
+            break
+        n = x.end()
+    return n
+
+
+def _asked(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    for pdf in batches:
+        rows = [(i, p["pos"], p["right"], _beside(t, p["pos"], p["right"])) for i, t, places in zip(pdf["id"], pdf["text"], pdf["places"], strict=True) for p in places]
+        yield pd.DataFrame(rows, columns=["id", "pos", "right", "beside"])
+
+
+def _moved(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    for pdf in batches:
+        n = np.array([_agreed(a, b, r) for a, b, r in zip(pdf["beside"], pdf["beside0"], pdf["right"], strict=True)], np.int32)
+        yield pdf[["id", "start", "stop", "keeper", "right"]].assign(n=n)
+
+
 def repeated_passages(docs: DataFrame) -> DataFrame:
     """(doc_id, start, stop, words, passage, keeper_doc_id, removed): paragraphs that stand in several documents.
 
     docs: (doc_id, text, ...). start and stop are character positions; overlapping paragraphs of one text are one row,
-    as long as they agree in keeper. ``removed`` is false in the document with the smallest id that holds the passage.
+    as long as they agree in keeper. What is removed goes word by word to the ends of the verbatim repeat, as the first
+    document that holds the paragraph at that end has it. A verbatim repeat of 48 words or more is always found. ``removed`` is false in the document with the smallest id that holds the passage.
     Repeats within one document, texts of fewer than 32 words, null or empty texts and rows without an id give no rows.
     Repeated rows of one document count once. An empty table gives an empty table. Texts are read whole.
     """
@@ -240,7 +291,7 @@ def repeated_passages(docs: DataFrame) -> DataFrame:
     # others in turn, and then all members outside the largest component are compared with all others, block by block
     classes = scratch.save(found.groupBy("cls").agg(F.min("words").alias("words"), F.min("id").alias("first")), "classes")
     wa, wb = classes.select(F.col("cls").alias("a"), F.col("words").alias("wa")), classes.select(F.col("cls").alias("b"), F.col("words").alias("wb"))
-    exploded = scratch.save(classes.select("cls", "words").mapInPandas(_class_keys, "key long, cls long").distinct(), "exploded")
+    exploded = scratch.save(classes.select("cls", "words").mapInPandas(_class_keys, "key long, cls long"), "exploded")
     sizes = exploded.groupBy("key").agg(F.count("*").alias("k")).filter("k > 1")
     members = scratch.save(exploded.join(sizes, "key"), "members")
     scratch.drop("exploded")
@@ -285,14 +336,33 @@ def repeated_passages(docs: DataFrame) -> DataFrame:
                 rows = []
                 for s in sorted(items, key=lambda s: (s["keeper"], s["start"], s["stop"])):
                     if rows and rows[-1][4] == s["keeper"] and s["start"] <= rows[-1][2]:
-                        rows[-1][2] = max(rows[-1][2], s["stop"])
+                        if s["stop"] > rows[-1][2]:
+                            rows[-1][2], rows[-1][6] = s["stop"], s["last"]
                     else:
-                        rows.append([id_, s["start"], s["stop"], s["passage"], s["keeper"], s["keeper"] != id_])
+                        rows.append([id_, s["start"], s["stop"], s["passage"], s["keeper"], s["opening"], s["last"]])
                 out += rows
-            yield pd.DataFrame(out, columns=["doc_id", "start", "stop", "passage", "keeper_doc_id", "removed"])
-
-    by_doc = spans.groupBy("id").agg(F.collect_list(F.struct("start", "stop", "passage", "keeper")).alias("items"))
-    return by_doc.mapInPandas(merge, f"doc_id {t}, start int, stop int, passage long, keeper_doc_id {t}, removed boolean")
+            yield pd.DataFrame(out, columns=["id", "start", "stop", "passage", "keeper", "opening", "last"])
+
+    def merged(spans: DataFrame, name: str) -> DataFrame:
+        by_doc = spans.groupBy("id").agg(F.collect_list(F.struct("start", "stop", "passage", "keeper", "opening", "last")).alias("items"))
+        return scratch.save(by_doc.mapInPandas(merge, f"id {t}, start int, stop int, passage long, keeper {t}, opening long, last long"), name)
+
+    # the words beside both ends of what goes are compared with those beside the same paragraph in its first document
+    now = merged(spans.withColumn("opening", F.col("cls")).withColumn("last", F.col("cls")), "merged")
+    ends = now.filter("keeper <> id").select("id", "start", "stop", "keeper", F.explode(F.array(
+        F.struct(F.lit(False).alias("right"), F.col("start").alias("pos"), F.col("opening").alias("cls")),
+        F.struct(F.lit(True).alias("right"), F.col("stop").alias("pos"), F.col("last").alias("cls")),
+    )).alias("e")).select("id", "start", "stop", "keeper", "e.*")
+    origin = found.groupBy("cls").agg(F.min(F.struct("id", "start", "stop")).alias("o"))
+    ends = scratch.save(ends.join(origin, "cls").filter("o.id <> id").select("id", "start", "stop", "keeper", "right", "pos", F.col("o.id").alias("id0"), F.when(F.col("right"), F.col("o.stop")).otherwise(F.col("o.start")).alias("pos0")), "ends")
+    places = ends.select("id", "pos", "right").union(ends.select("id0", "pos0", "right")).distinct().groupBy("id").agg(F.collect_list(F.struct("pos", "right")).alias("places"))
+    beside = scratch.save(d.join(places, "id").select("id", "text", "places").mapInPandas(_asked, f"id {t}, pos int, right boolean, beside string").groupBy("id", "pos", "right").agg(F.min("beside").alias("beside")), "beside")
+    compared = ends.join(beside, ["id", "pos", "right"]).join(beside.select(F.col("id").alias("id0"), F.col("pos").alias("pos0"), "right", F.col("beside").alias("beside0")), ["id0", "pos0", "right"])
+    moves = compared.select("id", "start", "stop", "keeper", "right", "beside", "beside0").mapInPandas(_moved, f"id {t}, start int, stop int, keeper {t}, right boolean, n int")
+    moves = moves.groupBy("id", "start", "stop", "keeper").agg(F.coalesce(F.max(F.when(~F.col("right"), F.col("n"))), F.lit(0)).alias("before"), F.coalesce(F.max(F.when(F.col("right"), F.col("n"))), F.lit(0)).alias("after"))
+    wider = now.join(moves, ["id", "start", "stop", "keeper"], "left").withColumn("start", F.col("start") - F.coalesce("before", F.lit(0))).withColumn("stop", F.col("stop") + F.coalesce("after", F.lit(0)))
+    out = merged(wider, "wider")
+    return out.select(F.col("id").alias("doc_id"), "start", "stop", "passage", F.col("keeper").alias("keeper_doc_id"), (F.col("keeper") != F.col("id")).alias("removed"))
 
 
 def without_passages(docs: DataFrame) -> DataFrame:

@@ -167,6 +167,40 @@ def test_edited_passages_match_brute_force(spark):
     assert len(want) == 120 and got <= want and len(got) >= 0.97 * len(want)
 
 
+def test_repeats_without_capitals(spark):
+    """Repeats of 51 words in lower case and in Cyrillic are found wherever they stand, and go whole."""
+    rng = random.Random(23)
+    texts, spans = [], {}
+    for i in range(60):
+        shared, cyrillic = sentence(rng, 51), str.maketrans("abdefgiklmnoprstux", "абдефгиклмнопрстуч")
+        for k in range(2):
+            before, after = f"left{i}x{k}", f"right{i}x{k}"
+            head, tail = sentence(rng, rng.randrange(40)), sentence(rng, rng.randrange(40))
+            text, part = " ".join(x for x in (head, before, shared, after, tail) if x), shared
+            if i % 3 == 0:
+                text, part = text.translate(cyrillic), part.translate(cyrillic)
+            spans[len(texts)] = (text.index(part), text.index(part) + len(part))
+            texts.append(text)
+    got = {r.doc_id: (r.start, r.stop) for r in passages.repeated_passages(docs(spark, texts)).collect() if r.removed}
+    assert sorted(got) == list(range(1, len(texts), 2))
+    for i, (start, stop) in got.items():
+        # whole, and at most the few words beside it that a similar paragraph may hold
+        assert start <= spans[i][0] and stop >= spans[i][1]
+        assert len(texts[i][start : spans[i][0]].split()) <= 8 and len(texts[i][spans[i][1] : stop].split()) <= 8
+
+
+def test_starts_depend_on_the_text_alone():
+    rng = random.Random(24)
+    texts = [" ".join(sentence(rng, rng.randrange(1, 30)) + rng.choice([" Abc", ". Abc", " x x x x x x x x"]) for _ in range(rng.randrange(6))) for _ in range(60)]
+    text, at, *_ = passages.paragraphs(texts)
+    first = np.append(0, np.cumsum([len(t.split()) for t in texts]))
+    for i, t in enumerate(texts):
+        own = passages.paragraphs([t])[1]
+        assert list(own) == list(at[text == i] - first[i])
+        fits = len(t.split()) - passages.WIDTH + 1
+        assert all(any(a <= x < a + passages.SPACING for x in own) for a in range(fits - passages.SPACING + 1))
+
+
 def test_sliding_minima():
     h = np.random.default_rng(1).integers(0, 1 << 60, 300).astype(np.uint64)
     at = np.arange(0, 260, 7)
