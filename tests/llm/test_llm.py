@@ -240,6 +240,21 @@ def test_contamination(spark):
     assert decontam.contaminated(docs(spark, texts), bench.limit(0)).count() == 0
 
 
+def test_short_items_and_the_whole_corpus(spark, monkeypatch):
+    """Items below 8 words are found word by word, and the latent space is fitted on every document."""
+    rng, seen = random.Random(25), []
+    fit = decontam.latent_space
+    monkeypatch.setattr(decontam, "latent_space", lambda d, *a: seen.append(d.count()) or fit(d, *a))
+    texts = [sentence(rng, 20) for _ in range(600)]
+    texts[7] += ". Who WROTE it? " + texts[8]
+    texts[9] += " who wrote"
+    texts[10] = "it " + texts[10] + " Why"
+    bench = spark.createDataFrame([(1, "Who wrote it?"), (2, "why"), (3, "?"), (4, sentence(rng, 20)), (5, "who wrote it")], "item_id long, text string")
+    got = decontam.contaminated(docs(spark, [*texts, None]), bench).collect()
+    assert sorted((r.doc_id, r.item_id) for r in got) == [(7, 1), (7, 5), (10, 2)]
+    assert seen == [600]
+
+
 # mixing
 
 
