@@ -36,6 +36,8 @@ CLOSES = {
     "optgroup": ({"option", "optgroup"}, {"select", "datalist"}),
     "body": ({"head"}, {"html"}),
 }
+#: Any other start tag, or text, closes an open head.
+IN_HEAD = frozenset("base basefont bgsound head html link meta noframes noscript script style template title".split())
 DEEPEST = 100  # elements that are nested deeper become siblings
 
 _MARK = re.compile(r"<!--.*?(?:-->|\Z)|<[!?][^>]*>?|</([a-zA-Z][^\s/>]*+)[^>]*>?|<([a-zA-Z][^\s/>]*+)((?:[^>\"']++|\"[^\"]*+\"|'[^']*+'|[\"'])*+)>?", re.S)
@@ -71,6 +73,8 @@ def build(page: str) -> Node:
         m = _MARK.search(page, at)
         text = page[at : m.start() if m else len(page)]
         if text:
+            if stack[-1].tag == "head" and _SPACE.sub("", text):
+                stack.pop()
             stack[-1].kids.append(entities.unescape(text))
         if not m:
             break
@@ -82,6 +86,8 @@ def build(page: str) -> Node:
             close({tag}, {"table", "#root"} if tag not in ("table", "html", "body", "div", "section", "article") else frozenset())
         elif m[2]:
             tag = m[2].lower()
+            if stack[-1].tag == "head" and tag not in IN_HEAD:
+                stack.pop()
             if tag in ENDS_P:
                 close({"p"}, {"table", "td", "th", "button", "li", "div", "caption"})
             if tag in CLOSES:
@@ -178,16 +184,26 @@ def _table(node: Node) -> list[str]:
     for cells in grid:
         for i in range(max(map(len, cells), default=0)):
             out.append(" | ".join((c[i] if i < len(c) else "").ljust(w) for c, w in zip(cells, widths, strict=False)).rstrip())
-    # what stands in a table outside its rows is visible too: it goes before, as browsers do
+    # what stands in a table outside its cells is visible too: it goes before, as browsers do
     loose = _Lines()
+    _outside(node, loose)
+    loose.end()
+    return loose.done + out
+
+
+def _outside(node: Node, loose: _Lines) -> None:
+    """What a table, a group of rows or a row holds besides rows and cells."""
     for k in node.kids:
         if isinstance(k, str):
             if k.strip():
                 loose.text(k)
-        elif k.tag not in ("tr", "thead", "tbody", "tfoot", "colgroup", "col"):
+        elif k.tag in ("tr", "thead", "tbody", "tfoot") and node.tag != "tr":
+            if visible(k):
+                loose.end()
+                _outside(k, loose)
+                loose.end()
+        elif not (node.tag == "tr" and k.tag in ("td", "th")):
             _render(k, loose)
-    loose.end()
-    return loose.done + out
 
 
 def _render(node: Node, out: _Lines, keep: bool = False) -> None:

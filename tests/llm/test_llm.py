@@ -375,6 +375,21 @@ def test_render(page, text):
     assert html.render(page) == text
 
 
+@pytest.mark.parametrize(
+    ("page", "text"),
+    [
+        ("<table><tr><form><td>text</td></form></tr></table>", "text"),
+        ("<table><tbody>a<tr>b<td>c</td><div>d</div></tr></tbody></table>", "a\nb\nd\nc"),
+        ("<table><tr hidden>a<td>b</td></tr><tr><td>c</td></tr></table>", "c"),
+        ("<html><head><title>t</title><h1>A</h1><p>B", "A\n\nB"),
+        ("<head><meta charset=x><title>t</title>\n<style>s</style>Text", "Text"),
+        ("<head><template><p>no</p></template><script>x</script></head><body>A", "A"),
+    ],
+)
+def test_render_without_optional_tags(page, text):
+    assert html.render(page) == text
+
+
 def test_render_survives_depth_and_noise(spark):
     assert "x" in html.render("<div>" * 5000 + "x")
     rng = random.Random(10)
