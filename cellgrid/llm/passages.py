@@ -289,8 +289,8 @@ def repeated_passages(docs: DataFrame) -> DataFrame:
 
     # classes that share a key: in small keys all pairs are compared; in large ones a pivot is compared with each of the
     # others in turn, and then all members outside the largest component are compared with all others, block by block
-    classes = scratch.save(found.groupBy("cls").agg(F.min("words").alias("words"), F.min("id").alias("first")), "classes")
-    wa, wb = classes.select(F.col("cls").alias("a"), F.col("words").alias("wa")), classes.select(F.col("cls").alias("b"), F.col("words").alias("wb"))
+    classes = scratch.save(found.groupBy("cls").agg(F.min("words").alias("words"), F.min("id").alias("first"), F.max("id").alias("final")), "classes")
+    wa, wb = [classes.select(F.col("cls").alias(c), F.col("words").alias(f"w{c}"), F.col("first").alias(f"f{c}"), F.col("final").alias(f"l{c}")) for c in "ab"]
     exploded = scratch.save(classes.select("cls", "words").mapInPandas(_class_keys, "key long, cls long"), "exploded")
     sizes = exploded.groupBy("key").agg(F.count("*").alias("k")).filter("k > 1")
     members = scratch.save(exploded.join(sizes, "key"), "members")
@@ -298,7 +298,8 @@ def repeated_passages(docs: DataFrame) -> DataFrame:
     few, many = members.filter(F.col("k") <= SMALL).select("key", "cls"), members.filter(F.col("k") > SMALL)
 
     def near(pairs: DataFrame, name: str) -> DataFrame:
-        return scratch.save(pairs.join(wa, "a").join(wb, "b").mapInPandas(_near, "a long, b long"), name)
+        # overlapping paragraphs of one document are no link, or what is similar to a repeat would spread along the text
+        return scratch.save(pairs.join(wa, "a").join(wb, "b").filter("least(fa, fb) < greatest(la, lb)").select("a", "b", "wa", "wb").mapInPandas(_near, "a long, b long"), name)
 
     each = few.select("key", F.col("cls").alias("a")).join(few.select("key", F.col("cls").alias("b")), "key").filter("a > b").select("a", "b").distinct()
     links = near(each, "links")
@@ -317,13 +318,13 @@ def repeated_passages(docs: DataFrame) -> DataFrame:
             blocked = some.join(main, "key").join(classes.select("cls", "words"), "cls").select("key", part.alias("part"), (F.col("comp") != F.col("main")).alias("other"), F.struct("cls", "comp", "words").alias("item"))
             blocks = blocked.groupBy("key", "part").agg(F.collect_list("item").alias("block"))
             rest = blocked.filter("other").groupBy("key", "part").agg(F.collect_list("item").alias("rest"))
-            new = scratch.save(rest.select("key", "rest").join(blocks.select("key", "block"), "key").select("rest", "block").mapInPandas(_across, "a long, b long").distinct(), f"links-{i}")
+            new = scratch.save(rest.select("key", "rest").join(blocks.select("key", "block"), "key").select("rest", "block").mapInPandas(_across, "a long, b long").distinct().join(wa.drop("wa"), "a").join(wb.drop("wb"), "b").filter("least(fa, fb) < greatest(la, lb)").select("a", "b"), f"links-{i}")
         links = links.union(new)
         label = components(scratch, links, f"comp-{i}")
 
     named = classes.join(label.select(F.col("u").alias("cls"), F.col("v")), "cls", "left").withColumn("passage", F.coalesce("v", "cls"))
     keeper = named.groupBy("passage").agg(F.min("first").alias("keeper"))
-    owner = named.select("cls", "passage").join(keeper, "passage")
+    owner = named.select("cls", "passage", "first").join(keeper, "passage")
     spans = found.select("id", "start", "stop", "cls").distinct().join(owner, "cls")
     # a class of one document (its key was shared by others that proved different) is no repeat
     held = spans.groupBy("passage").agg(F.max("id").alias("high"), F.min("id").alias("low")).filter("low < high").select("passage")
@@ -335,23 +336,28 @@ def repeated_passages(docs: DataFrame) -> DataFrame:
             for id_, items in zip(pdf["id"], pdf["items"], strict=True):
                 rows = []
                 for s in sorted(items, key=lambda s: (s["keeper"], s["start"], s["stop"])):
-                    if rows and rows[-1][4] == s["keeper"] and s["start"] <= rows[-1][2]:
-                        if s["stop"] > rows[-1][2]:
-                            rows[-1][2], rows[-1][6] = s["stop"], s["last"]
-                    else:
-                        rows.append([id_, s["start"], s["stop"], s["passage"], s["keeper"], s["opening"], s["last"]])
+                    if not rows or rows[-1][4] != s["keeper"] or s["start"] > rows[-1][2]:
+                        rows.append([id_, s["start"], s["stop"], s["passage"], s["keeper"], None, None, None, None])
+                    now = rows[-1]
+                    now[2] = max(now[2], s["stop"])
+                    if s["cls"] is not None and s["first"] != id_:
+                        if now[5] is None:
+                            now[5:7] = s["cls"], s["start"]
+                        if now[8] is None or s["stop"] > now[8]:
+                            now[7:9] = s["cls"], s["stop"]
                 out += rows
-            yield pd.DataFrame(out, columns=["id", "start", "stop", "passage", "keeper", "opening", "last"])
+            # as objects: digests are longer than a float holds, and some are null
+            yield pd.DataFrame(out, columns=["id", "start", "stop", "passage", "keeper", "opening", "opening_at", "last", "last_at"], dtype=object)
 
     def merged(spans: DataFrame, name: str) -> DataFrame:
-        by_doc = spans.groupBy("id").agg(F.collect_list(F.struct("start", "stop", "passage", "keeper", "opening", "last")).alias("items"))
-        return scratch.save(by_doc.mapInPandas(merge, f"id {t}, start int, stop int, passage long, keeper {t}, opening long, last long"), name)
+        by_doc = spans.groupBy("id").agg(F.collect_list(F.struct("start", "stop", "passage", "keeper", "cls", "first")).alias("items"))
+        return scratch.save(by_doc.mapInPandas(merge, f"id {t}, start int, stop int, passage long, keeper {t}, opening long, opening_at int, last long, last_at int"), name)
 
-    # the words beside both ends of what goes are compared with those beside the same paragraph in its first document
-    now = merged(spans.withColumn("opening", F.col("cls")).withColumn("last", F.col("cls")), "merged")
+    # the words beside the first and the last paragraph that another document holds too are compared with those there
+    now = merged(spans, "merged")
     ends = now.filter("keeper <> id").select("id", "start", "stop", "keeper", F.explode(F.array(
-        F.struct(F.lit(False).alias("right"), F.col("start").alias("pos"), F.col("opening").alias("cls")),
-        F.struct(F.lit(True).alias("right"), F.col("stop").alias("pos"), F.col("last").alias("cls")),
+        F.struct(F.lit(False).alias("right"), F.col("opening_at").alias("pos"), F.col("opening").alias("cls")),
+        F.struct(F.lit(True).alias("right"), F.col("last_at").alias("pos"), F.col("last").alias("cls")),
     )).alias("e")).select("id", "start", "stop", "keeper", "e.*")
     origin = found.groupBy("cls").agg(F.min(F.struct("id", "start", "stop")).alias("o"))
     ends = scratch.save(ends.join(origin, "cls").filter("o.id <> id").select("id", "start", "stop", "keeper", "right", "pos", F.col("o.id").alias("id0"), F.when(F.col("right"), F.col("o.stop")).otherwise(F.col("o.start")).alias("pos0")), "ends")
@@ -360,7 +366,7 @@ def repeated_passages(docs: DataFrame) -> DataFrame:
     compared = ends.join(beside, ["id", "pos", "right"]).join(beside.select(F.col("id").alias("id0"), F.col("pos").alias("pos0"), "right", F.col("beside").alias("beside0")), ["id0", "pos0", "right"])
     moves = compared.select("id", "start", "stop", "keeper", "right", "beside", "beside0").mapInPandas(_moved, f"id {t}, start int, stop int, keeper {t}, right boolean, n int")
     moves = moves.groupBy("id", "start", "stop", "keeper").agg(F.coalesce(F.max(F.when(~F.col("right"), F.col("n"))), F.lit(0)).alias("before"), F.coalesce(F.max(F.when(F.col("right"), F.col("n"))), F.lit(0)).alias("after"))
-    wider = now.join(moves, ["id", "start", "stop", "keeper"], "left").withColumn("start", F.col("start") - F.coalesce("before", F.lit(0))).withColumn("stop", F.col("stop") + F.coalesce("after", F.lit(0)))
+    wider = now.join(moves, ["id", "start", "stop", "keeper"], "left").withColumn("start", F.least("start", F.col("opening_at") - F.col("before"))).withColumn("stop", F.greatest("stop", F.col("last_at") + F.col("after"))).withColumn("cls", F.lit(None).cast("long")).withColumn("first", F.lit(None).cast(t))
     out = merged(wider, "wider")
     return out.select(F.col("id").alias("doc_id"), "start", "stop", "passage", F.col("keeper").alias("keeper_doc_id"), (F.col("keeper") != F.col("id")).alias("removed"))
 
