@@ -88,7 +88,7 @@ _MARKS = np.array([c < 128 and not chr(c).isalnum() for c in range(256)])
 
 
 @cache
-def _powers(bits: int, base: int) -> np.ndarray:
+def powers(bits: int, base: int) -> np.ndarray:
     return np.cumprod(np.append(np.uint64(1), np.full(1 << bits, base, np.uint64)))
 
 
@@ -111,8 +111,8 @@ def scanned_words(texts: list[str | None], marks: bool = False) -> tuple[np.ndar
     start, stop = np.flatnonzero(edge == -1), np.flatnonzero(edge == 1)
     bits = max(16, len(data).bit_length())
     with np.errstate(over="ignore"):
-        run = np.append(np.uint64(0), np.cumsum((data + np.uint64(1)) * _powers(bits, _P)[: len(data)]))
-        h = mix((run[stop] - run[start]) * _powers(bits, pow(_P, -1, 1 << 64))[start])
+        run = np.append(np.uint64(0), np.cumsum((data + np.uint64(1)) * powers(bits, _P)[: len(data)]))
+        h = mix((run[stop] - run[start]) * powers(bits, pow(_P, -1, 1 << 64))[start])
     lengths = [len(t) if t and t.isascii() else len(t.encode("utf-8", "surrogatepass")) if t else 0 for t in texts]
     ends = np.cumsum(np.array(lengths, np.int64) + 1)
     return h, np.diff(np.searchsorted(start, ends), prepend=0), raw, start, stop

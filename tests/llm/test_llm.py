@@ -150,21 +150,59 @@ def test_edited_passage_is_found(spark):
 
 
 def test_edited_passages_match_brute_force(spark):
-    """Paragraphs at the required similarity, and one template in more variants than there are pivots."""
+    """Passages of 50 words with a word changed anywhere, and one template in more variants than are compared at once."""
     rng = random.Random(21)
     texts = []
-    for _ in range(80):
-        w = sentence(rng, 32).capitalize().split()
-        texts += [" ".join(w), " ".join([*w[:28], "edited", *w[29:]])]  # 24 of 32 shingles are shared
-    base = sentence(rng, 32).capitalize().split()
-    base = sentence(rng, 25).capitalize()
-    for i in range(40):  # pairs of like variants; those of different pairs share most words but are not alike
-        w = [*base.split(), *(f"v{i}x{k}" for k in range(7))]
-        texts += [" ".join(w), " ".join([*w[:31], "edited"])]
+    for i in range(100):
+        w = sentence(rng, 50).split()
+        texts += [" ".join(w), " ".join([*w[: i % 50], "edited", *w[i % 50 + 1 :]])]
+    base = sentence(rng, 25)
+    for i in range(40):  # pairs of like variants; those of different pairs share half of their words but are not alike
+        w = [*base.split(), *(f"v{i}x{k}" for k in range(25))]
+        texts += [" ".join(w), " ".join([*w[:49], "edited"])]
     sets = {i: shingles(t) for i, t in enumerate(texts)}
     want = {i for i, c in components(sets).items() if i != c}
     got = {r.doc_id for r in passages.repeated_passages(docs(spark, texts)).collect() if r.removed}
-    assert len(want) == 120 and got <= want and len(got) >= 0.97 * len(want)
+    assert len(want) == 140 and got <= want and len(got) >= 0.9 * len(want)
+
+
+def test_edited_passages_in_long_texts(spark):
+    """Passages in which each word is replaced with the same probability, found where they are alike."""
+    rng = random.Random(22)
+    texts, want = [], set()
+    for i in range(120):
+        w = sentence(rng, rng.choice([60, 100, 200])).split()
+        edited = [rng.choice(WORDS) if rng.random() < 0.015 else x for x in w]
+        a, b = shingles(" ".join(w)), shingles(" ".join(edited))
+        if len(a & b) >= 0.75 * len(a | b):
+            want.add(2 * i + 1)
+        texts += [" ".join([sentence(rng, 80), *x, sentence(rng, 80)]) for x in (" ".join(w).split(), edited)]
+    got = {r.doc_id for r in passages.repeated_passages(docs(spark, texts)).collect() if r.removed}
+    assert len(want) > 90 and len(got & want) >= 0.9 * len(want) and all(i % 2 for i in got)
+
+
+def test_passages_of_odd_tables(spark):
+    """Texts of one id are kept apart and are no different documents; clashing columns, nulls and repeated rows do no harm."""
+    rng = random.Random(26)
+    shared, own = sentence(rng, 60), sentence(rng, 150)
+    texts = [shared + " " + sentence(rng, 30), own, sentence(rng, 20) + " " + shared, None, "", shared]
+    d = docs(spark, texts, [1, 5, 5, 6, None, None]).union(docs(spark, [texts[0]], [1]))
+    for c in ("cuts", "cut", "row", "text_digest", "doc", "start", "removed"):
+        d = d.withColumn(c, F.lit(c))
+    out = passages.without_passages(d)
+    assert out.columns == d.columns
+    rows = collections.Counter((r.doc_id, r.text, r.cuts, r.row) for r in out.collect())
+    assert rows == collections.Counter((i, t, "cuts", "row") for i, t in [(1, texts[0]), (1, texts[0]), (5, own), (5, " ".join(texts[2].split()[:20])), (6, None), (None, ""), (None, shared)])
+    alone = docs(spark, [shared, shared + " " + own], [1, 1])
+    assert passages.repeated_passages(alone).count() == 0
+
+
+def test_a_line_of_many_texts_is_no_passage(spark):
+    rng = random.Random(27)
+    line = sentence(rng, 12)
+    texts = [" ".join([sentence(rng, 60), line, sentence(rng, 60)]) for _ in range(150)]
+    texts[9] = texts[8]
+    assert {r.doc_id for r in passages.repeated_passages(docs(spark, texts)).collect()} == {8, 9}
 
 
 def test_repeats_without_capitals(spark):
@@ -191,14 +229,15 @@ def test_repeats_without_capitals(spark):
 
 def test_starts_depend_on_the_text_alone():
     rng = random.Random(24)
-    texts = [" ".join(sentence(rng, rng.randrange(1, 30)) + rng.choice([" Abc", ". Abc", " x x x x x x x x"]) for _ in range(rng.randrange(6))) for _ in range(60)]
-    text, at, *_ = passages.paragraphs(texts)
+    texts = [" ".join(sentence(rng, rng.randrange(1, 30)) + rng.choice([" Abc", ". Abc", " x x x x x x x x"]) for _ in range(rng.randrange(9))) for _ in range(60)]
+    text, at, side, *_ = passages.paragraphs(texts)
     first = np.append(0, np.cumsum([len(t.split()) for t in texts]))
     for i, t in enumerate(texts):
-        own = passages.paragraphs([t])[1]
-        assert list(own) == list(at[text == i] - first[i])
-        fits = len(t.split()) - passages.WIDTH + 1
-        assert all(any(a <= x < a + passages.SPACING for x in own) for a in range(fits - passages.SPACING + 1))
+        _, own, own_side, *_ = passages.paragraphs([t])
+        assert list(zip(own, own_side)) == list(zip(at[text == i] - first[i], side[text == i]))
+        places = own[own_side == 0]
+        last = len(t.split()) - passages.WIDTH - passages.SPACING + 1
+        assert all(any(a <= x < a + passages.SPACING for x in places) for a in range(last + 1))
 
 
 def test_sliding_minima():
