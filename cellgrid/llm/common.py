@@ -38,6 +38,10 @@ class Scratch:
         df.write.mode("overwrite").parquet(path := self.path(name))
         return self.spark.read.schema(df.schema).parquet(path)
 
+    def release(self) -> None:
+        """Has Spark delete the shuffle files of ended jobs: it does so when the driver's collector finds their handles."""
+        self.spark._jvm.System.gc()
+
     def path(self, name: str) -> str:
         return f"{self.root}/{name}"
 

@@ -1,10 +1,10 @@
 """Substring dedup: passages that stand in several documents, found by MinHash banding of overlapping paragraphs.
 
 A copied passage may start anywhere, so places are chosen by content: of each ``SPACING`` shingles in a row the one with the
-least hash. A paragraph is the stretch of ``WIDTH`` words that starts or ends with such a shingle. A band's key is that
-shingle with one MinHash value, a sliding minimum over the text's shingle hashes. Keys travel packed, so that those of
+least hash. A paragraph is the stretch of ``WIDTH`` words that starts with such a shingle. A band's key is that shingle
+with one MinHash value, a sliding minimum over the text's shingle hashes. Keys travel packed, so that those of
 several documents are found without a row for each key; a key that paragraphs of different words share is open. Paragraphs
-of equal words are one class. Classes that share an open key are compared by the exact Jaccard similarity of their shingle
+of equal words are one class, named by a 64-bit digest. Classes that share an open key are compared by the exact Jaccard similarity of their shingle
 sets (of 32-bit word hashes). Components of confirmed links are the passages; the occurrence in the smallest id stays.
 Repeats are then extended word by word to the ends of what both texts share.
 """
@@ -26,7 +26,6 @@ from .graph import components
 WIDTH = 39  # words; with one of them replaced, 30 of 40 shingles are shared
 SPACING = 12  # each verbatim repeat of WIDTH + SPACING - 1 = 50 words holds a whole paragraph
 BANDS = 2  # paragraphs of similarity 0.75 around one place meet with probability 1 - 0.25**2 = 0.938; most passages have several
-SIDES = 2  # paragraphs that start with a place, and that end with it
 FLUSH = 1 << 20  # keys that a task holds at once
 NAMED = 8  # holders of a key that a task names at once; where there are more, each is told that it is shared
 PART = 1 << 23  # bytes of text that are read together where shared keys are looked up
@@ -54,20 +53,18 @@ def _shingled(w: np.ndarray) -> np.ndarray:
 
 
 def paragraphs(texts: list[str | None]) -> tuple[np.ndarray, ...]:
-    """Paragraphs of all texts: (text number, first word, side, band keys (n, BANDS)), then word hashes and what
-    scanned_words returns after them. In a run of one word, every SPACING-th place is taken. What is chosen depends on the
-    text alone.
+    """Paragraphs of all texts: (text number, first word, band keys (n, BANDS)), then word hashes and what scanned_words
+    returns after them. In a run of one word, every SPACING-th place is taken. What is chosen depends on the text alone.
     """
     h, counts, raw, start, stop = scanned_words(texts)
     none = np.zeros(0, np.int64)
     if len(h) < WIDTH:
-        return none, none, none, np.zeros((0, BANDS), np.uint64), h, raw, start, stop
+        return none, none, np.zeros((0, BANDS), np.uint64), h, raw, start, stop
     text = np.repeat(np.arange(len(texts)), counts)
     begin = (np.cumsum(counts) - counts)[text]
     end = begin + counts[text]
     g = _shingled(h >> np.uint64(32))
     place, n = np.arange(len(g)), len(g)
-    whole = place + SHINGLE <= end[:n]
     run = np.maximum.accumulate(np.where((place == begin[:n]) | np.append(True, h[1:n] != h[: n - 1]), place, 0))
     again = (h[1 : n + 1] == h[:n]) & ((place - run) % SPACING == 0)
     top = np.uint64(0xFFFFFFFFFFFFFFFF)
@@ -78,28 +75,21 @@ def paragraphs(texts: list[str | None]) -> tuple[np.ndarray, ...]:
     least[at + SPACING + SHINGLE - 1 > end[: len(at)]] = 0  # windows lie within a text
     edge = np.full(SPACING - 1, top)
     most = ~_minima(np.concatenate([edge, ~least, edge]), place, SPACING)
-    at = np.flatnonzero((((rank == most) & (rank < top >> np.uint64(1))) | again) & whole)
-    sides = at[at + WIDTH <= end[at]], at[at + SHINGLE - WIDTH >= begin[at]]
-    first, side = np.concatenate([sides[0], sides[1] + (SHINGLE - WIDTH)]), np.repeat(np.arange(SIDES), [len(x) for x in sides])
-    keys, of = np.zeros((len(first), BANDS), np.uint64), g[np.concatenate(sides)]
+    at = np.flatnonzero((((rank == most) & (rank < top >> np.uint64(1))) | again) & (place + WIDTH <= end[:n]))
+    keys = np.zeros((len(at), BANDS), np.uint64)
     with np.errstate(over="ignore"):
         for b in range(BANDS):
-            least = _minima(mix(g + np.uint64(b + 1)), first, WIDTH - SHINGLE + 1)
-            keys[:, b] = mix((of + np.uint64(1)) * np.uint64(0xD1342543DE82EF95) + mix(least + (side * BANDS + b).astype(np.uint64)))
-    return text[first], first, side, keys, h, raw, start, stop
+            least = _minima(mix(g + np.uint64(b + 1)), at, WIDTH - SHINGLE + 1)
+            keys[:, b] = mix((g[at] + np.uint64(1)) * np.uint64(0xD1342543DE82EF95) + mix(least + np.uint64(b)))
+    return text[at], at, keys, h, raw, start, stop
 
 
-def _classes(h: np.ndarray, first: np.ndarray) -> np.ndarray:
-    """128-bit digests of the words of paragraphs."""
-    window = np.lib.stride_tricks.sliding_window_view(h, WIDTH)
-    return np.array([xxhash.xxh3_128_digest(window[i].tobytes()) for i in first], object)
-
-
-def _kinds(h: np.ndarray, at: np.ndarray) -> np.ndarray:
-    """16 bits that tell paragraphs of different words apart: the words' hashes, weighed by place."""
+def _classes(h: np.ndarray, at: np.ndarray) -> np.ndarray:
+    """Digests of the words of paragraphs: sums of the words' hashes, weighed by place."""
+    bits = max(16, len(h).bit_length())
     with np.errstate(over="ignore"):
-        run = np.append(np.uint64(0), np.cumsum(h * powers(max(16, len(h).bit_length()), _ODD)[: len(h)]))
-        return mix((run[at + WIDTH] - run[at]) * powers(max(16, len(h).bit_length()), pow(_ODD, -1, 1 << 64))[at]) >> np.uint64(48)
+        run = np.append(np.uint64(0), np.cumsum(h * powers(bits, _ODD)[: len(h)]))
+        return mix((run[at + WIDTH] - run[at]) * powers(bits, pow(_ODD, -1, 1 << 64))[at])
 
 
 def _packed(*columns: np.ndarray) -> bytes:
@@ -145,9 +135,9 @@ def _keys(batches: Iterator[pd.DataFrame], bits: int, shift: int) -> Iterator[pd
     for pdf in batches:
         texts, docs = list(pdf["text"]), pdf["doc"].to_numpy()
         for a, b in chunks(texts):
-            text, at, _, keys, h, *_ = paragraphs(texts[a:b])
+            text, at, keys, h, *_ = paragraphs(texts[a:b])
             if len(at):
-                keys = (keys >> np.uint64(16) << np.uint64(16)) | _kinds(h, at)[:, None]
+                keys = (keys >> np.uint64(16) << np.uint64(16)) | (_classes(h, at) >> np.uint64(48))[:, None]
                 held.append((keys.ravel(), np.repeat(docs[a + text], BANDS)))
                 n += keys.size
             if n > FLUSH:
@@ -191,28 +181,31 @@ def _found(pdf: pd.DataFrame, shared: pd.DataFrame, shift: int) -> pd.DataFrame:
     known, seen = np.union1d(*lists), set()
     out = [pd.DataFrame({c: np.zeros(0, object) for c in ("id", "doc", "start", "stop", "cls", "keys", "words")})]
     for a, b in chunks(texts) if len(known) else ():
-        text, at, side, keys, h, raw, start, stop = paragraphs(texts[a:b])
+        text, at, keys, h, raw, start, stop = paragraphs(texts[a:b])
         short = keys >> np.uint64(shift)
-        # those that end with a place only help to find what differs, equal ones are known by those that start with one
-        row = np.flatnonzero(_among(short, known).any(axis=1) & (side == 0) | _among(short, lists[1]).any(axis=1))
+        row = np.flatnonzero(_among(short, known).any(axis=1))
         if not len(row):
             continue
         first, short = at[row], short[row]
         chars = np.cumsum((raw & 0xC0) != 0x80)  # characters up to and with each byte
         offset = np.append(0, np.cumsum([len(t) + 1 if t else 1 for t in texts[a:b]]))[text[row]]
-        opened, cls = _among(short, lists[1]), _classes(h, first)
-        words = []
-        for i, c, o in zip(first, cls, opened.any(axis=1), strict=True):
-            words.append((h[i : i + WIDTH] >> np.uint64(32)).astype(np.uint32).tobytes() if o and c not in seen else None)
-            if o:
-                seen.add(c)
+        opened, cls = _among(short, lists[1]), _classes(h, first).view(np.int64)
+        some = opened.any(axis=1)
+        _, once = np.unique(cls, return_index=True)
+        once = [i for i in once[some[once]] if cls[i] not in seen]
+        seen.update(cls[once])
+        window = (np.lib.stride_tricks.sliding_window_view(h, WIDTH)[first[once]] >> np.uint64(32)).astype(np.uint32)
+        words, keyed = np.full(len(row), None, object), np.full(len(row), None, object)
+        words[once] = [w.tobytes() for w in window]
+        for i in np.flatnonzero(some):
+            keyed[i] = short[i, opened[i]].tolist()
         out.append(pd.DataFrame({
             "id": ids[a + text[row]],
             "doc": docs[a + text[row]],
             "start": (chars[start[first]] - 1 - offset).astype(np.int32),
             "stop": (chars[stop[first + WIDTH - 1] - 1] - offset).astype(np.int32),
             "cls": cls,
-            "keys": [k[o].tolist() if o.any() else None for k, o in zip(short, opened, strict=True)],
+            "keys": keyed,
             "words": words,
         }))
     return pd.concat(out[1:] or out)
@@ -226,7 +219,7 @@ def _across(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     """Similar classes of two blocks, of different components, as a product of membership matrices."""
     for pdf in batches:
         for left, right in zip(pdf["rest"], pdf["block"], strict=True):
-            ids, comp = (np.array([bytes(x[c]) for x in (*left, *right)], object) for c in ("cls", "comp"))
+            ids, comp = (np.array([x[c] for x in (*left, *right)], np.int64) for c in ("cls", "comp"))
             sets = np.sort(mix(_shingled(mix(_words([x["words"] for x in (*left, *right)])))), axis=1)
             known, at = np.unique(sets, return_inverse=True)
             member = np.zeros((len(ids), len(known)), np.float32)
@@ -321,7 +314,7 @@ def _grams(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 def _rarest(classes: DataFrame) -> DataFrame:
     """(key, cls): of each class (cls, words) as many of its rarest shingles that a class at the required similarity must hold
     one of them among its own. So a line that many texts share brings nothing together, and no similar pair is lost."""
-    grams = classes.mapInPandas(_grams, "cls binary, gram long")
+    grams = classes.mapInPandas(_grams, "cls long, gram long")
     counted = grams.join(grams.groupBy("gram").agg(F.count("*").alias("of")), "gram")
     own = Window.partitionBy("cls")
     place, size = F.row_number().over(own.orderBy("of", "gram")), F.count("*").over(own)
@@ -345,11 +338,18 @@ def _labels(scratch: Scratch, found: DataFrame, classes: DataFrame) -> DataFrame
     def near(pairs: DataFrame, name: str) -> DataFrame:
         wa, wb = [words.select(F.col("cls").alias(c), F.col("words").alias(f"w{c}")) for c in "ab"]
         pairs = pairs.filter(apart).select(F.col("cls").alias("a"), "b").distinct()
-        return scratch.save(pairs.join(wa, "a").join(wb, "b").select("a", "b", "wa", "wb").mapInPandas(_near, "a binary, b binary"), name)
+        return scratch.save(pairs.join(wa, "a").join(wb, "b").select("a", "b", "wa", "wb").mapInPandas(_near, "a long, b long"), name)
 
     def all_pairs(small: DataFrame) -> DataFrame:
         return small.join(as_b(small, "key", F.col("comp").alias("comp_b")), "key").filter("cls > b and comp <> comp_b")
 
+    def joined(label: DataFrame, new: DataFrame, name: str) -> DataFrame:
+        """label after links between components: only what they join is gone through again."""
+        full = classes.select("cls").join(label, "cls", "left").select("cls", F.coalesce("comp", "cls").alias("comp"))
+        a, b = full.toDF("a", "ca"), full.toDF("b", "cb")
+        moved = labelled(new.join(a, "a").join(b, "b").select(F.col("ca").alias("a"), F.col("cb").alias("b")), name).toDF("comp", "root")
+        return scratch.save(full.join(moved, "comp", "left").select("cls", F.coalesce("root", "comp").alias("comp")).filter("cls <> comp"), f"label-{name}")
+
     def still_apart(label: DataFrame, of: DataFrame, name: str) -> DataFrame:
         m = of.join(label, "cls", "left").withColumn("comp", F.coalesce("comp", "cls"))
         mixed = m.groupBy("key").agg(F.min("comp").alias("low"), F.max("comp").alias("high")).filter("low < high").select("key")
@@ -359,16 +359,17 @@ def _labels(scratch: Scratch, found: DataFrame, classes: DataFrame) -> DataFrame
         return components(scratch, links, name).select(F.col("u").alias("cls"), F.col("v").alias("comp"))
 
     members = scratch.save(grouped(keyed, classes), "members")
-    pivot = members.groupBy("key").agg(F.max(F.struct("n", "cls", "first", "final")).alias("p")).select("key", "p.cls", "p.first", "p.final")
+    # of the commonest classes of a key one is taken, the same in all three columns
+    first_by = F.shiftleft(F.least("n", F.lit(1 << 20)), 40) + F.col("cls").bitwiseAND(F.lit((1 << 40) - 1))
+    pivot = members.groupBy("key").agg(*[F.max_by(c, first_by).alias(c) for c in ("cls", "first", "final")])
     label = labelled(near(members.join(as_b(pivot, "key"), "key").filter("cls <> b"), "links-0"), "comp-0")
     some = still_apart(label, members, "apart-1")
     large = some.filter(F.col("k") > SMALL).select("cls", "first", "final", "comp").distinct()
     rare = scratch.save(grouped(_rarest(large.select("cls").join(words, "cls")), large), "rare")
     pairs = all_pairs(some.filter(F.col("k") <= SMALL)).unionByName(all_pairs(rare.filter(F.col("k") <= SMALL)), allowMissingColumns=True)
     new = near(pairs, "links-1")
-    old = label.select(F.col("cls").alias("a"), F.col("comp").alias("b"))
     if not new.isEmpty():
-        label = labelled(old.union(new), "comp-1")
+        label = joined(label, new, "comp-1")
     some = still_apart(label, rare.filter(F.col("k") > SMALL).drop("comp"), "apart-2")
     if some.isEmpty():
         return label
@@ -377,9 +378,9 @@ def _labels(scratch: Scratch, found: DataFrame, classes: DataFrame) -> DataFrame
     blocked = some.join(main, "key").join(words, "cls").select("key", part.alias("part"), (F.col("comp") != F.col("main")).alias("other"), F.struct("cls", "comp", "words").alias("item"))
     blocks = blocked.groupBy("key", "part").agg(F.collect_list("item").alias("block"))
     rest = blocked.filter("other").groupBy("key", "part").agg(F.collect_list("item").alias("rest"))
-    pairs = rest.select("key", "rest").join(blocks.select("key", "block"), "key").select("rest", "block").mapInPandas(_across, "a binary, b binary").distinct()
+    pairs = rest.select("key", "rest").join(blocks.select("key", "block"), "key").select("rest", "block").mapInPandas(_across, "a long, b long").distinct()
     new = scratch.save(pairs.withColumnRenamed("a", "cls").join(classes.drop("n"), "cls").join(as_b(classes), "b").filter(apart).select("cls", "b"), "links-2")
-    return label if new.isEmpty() else labelled(label.select("cls", F.col("comp").alias("b")).union(new).toDF("a", "b"), "comp-2")
+    return label if new.isEmpty() else joined(label, new.toDF("a", "b"), "comp-2")
 
 
 def _with_digest(docs: DataFrame) -> DataFrame:
@@ -407,9 +408,11 @@ def repeated_passages(docs: DataFrame) -> DataFrame:
     shared = packed.groupBy("told", "slot").applyInPandas(lambda k, x: _shared(k, x, bits, shift), "part int, open boolean, keys binary")
     placed = d.select(F.col("doc").bitwiseAND(F.lit((1 << bits) - 1)).cast("int").alias("part"), "id", "doc", "text")
     both = placed.groupBy("part").cogroup(shared.groupBy("part"))
-    found = scratch.save(both.applyInPandas(lambda x, y: _found(x, y, shift), f"id {t}, doc long, start int, stop int, cls binary, keys array<long>, words binary"), "found")
+    found = scratch.save(both.applyInPandas(lambda x, y: _found(x, y, shift), f"id {t}, doc long, start int, stop int, cls long, keys array<long>, words binary"), "found")
+    scratch.release()
     classes = scratch.save(found.groupBy("cls").agg(F.min("id").alias("first"), F.max("id").alias("final"), F.count("*").alias("n")), "classes")
     label = _labels(scratch, found, classes)
+    scratch.release()
 
     named = classes.join(label, "cls", "left").select("cls", "first", "final", F.coalesce("comp", "cls").alias("passage"))
     # a class of one document (its key was shared by others that proved different) is no repeat
@@ -419,7 +422,7 @@ def repeated_passages(docs: DataFrame) -> DataFrame:
 
     def merged(spans: DataFrame, name: str) -> DataFrame:
         by_doc = spans.groupBy("doc").agg(F.collect_list(F.struct("id", "start", "stop", "passage", "keeper", "cls", "first")).alias("items"))
-        return scratch.save(by_doc.mapInPandas(_spans, f"doc long, id {t}, start int, stop int, passage binary, keeper {t}, opening binary, opening_at int, last binary, last_at int"), name)
+        return scratch.save(by_doc.mapInPandas(_spans, f"doc long, id {t}, start int, stop int, passage long, keeper {t}, opening long, opening_at int, last long, last_at int"), name)
 
     # the words beside the first and the last paragraph that another document holds too are compared with those there
     now = merged(places_of.join(owner, "cls"), "merged")
@@ -427,17 +430,20 @@ def repeated_passages(docs: DataFrame) -> DataFrame:
         F.struct(F.lit(False).alias("right"), F.col("opening_at").alias("pos"), F.col("opening").alias("cls")),
         F.struct(F.lit(True).alias("right"), F.col("last_at").alias("pos"), F.col("last").alias("cls")),
     )).alias("e")).select("id", "doc", "start", "stop", "keeper", "e.*").filter("cls is not null")
-    origin = found.groupBy("cls").agg(F.min(F.struct("id", "doc", "start", "stop")).alias("o"))
-    ends = scratch.save(ends.join(origin, "cls").filter("o.id <> id").select("doc", "start", "stop", "keeper", "right", "pos", F.col("o.doc").alias("doc0"), F.when(F.col("right"), F.col("o.stop")).otherwise(F.col("o.start")).alias("pos0")), "ends")
+    # columns of one row: the aggregates see rows in one order. They are taken before the shuffle, as a class may be hot
+    first_place = found.groupBy("cls").agg(F.min("id").alias("id0"), F.min_by("doc", "id").alias("doc0"), F.min_by(F.shiftleft(F.col("start").cast("long"), 32) + F.col("stop"), "id").alias("at0"))
+    pos0 = F.when(F.col("right"), F.col("at0").bitwiseAND(F.lit((1 << 32) - 1))).otherwise(F.shiftright("at0", 32)).cast("int")
+    ends = scratch.save(ends.join(first_place, "cls").filter("id0 <> id").select("doc", "start", "stop", "keeper", "right", "pos", "doc0", pos0.alias("pos0")), "ends")
     places = ends.select("doc", "pos", "right").union(ends.select("doc0", "pos0", "right")).distinct().groupBy("doc").agg(F.collect_list(F.struct("pos", "right")).alias("places"))
     beside = scratch.save(d.join(places, "doc").select("doc", "text", "places").mapInPandas(_asked, "doc long, pos int, right boolean, beside string").dropDuplicates(["doc", "pos", "right"]), "beside")
     compared = ends.join(beside, ["doc", "pos", "right"]).join(beside.select(F.col("doc").alias("doc0"), F.col("pos").alias("pos0"), "right", F.col("beside").alias("beside0")), ["doc0", "pos0", "right"])
     moves = compared.select("doc", "start", "stop", "keeper", "right", "beside", "beside0").mapInPandas(_moved, f"doc long, start int, stop int, keeper {t}, right boolean, n int")
     moves = moves.groupBy("doc", "start", "stop", "keeper").agg(F.coalesce(F.max(F.when(~F.col("right"), F.col("n"))), F.lit(0)).alias("before"), F.coalesce(F.max(F.when(F.col("right"), F.col("n"))), F.lit(0)).alias("after"))
-    wider = now.join(moves, ["doc", "start", "stop", "keeper"], "left").withColumn("start", F.least("start", F.col("opening_at") - F.col("before"))).withColumn("stop", F.greatest("stop", F.col("last_at") + F.col("after"))).withColumn("cls", F.lit(None).cast("binary")).withColumn("first", F.lit(None).cast(t))
+    wider = now.join(moves, ["doc", "start", "stop", "keeper"], "left").withColumn("start", F.least("start", F.col("opening_at") - F.col("before"))).withColumn("stop", F.greatest("stop", F.col("last_at") + F.col("after"))).withColumn("cls", F.lit(None).cast("long")).withColumn("first", F.lit(None).cast(t))
     out = merged(wider, "wider")
+    scratch.release()
     scratch.drop("found", "classes", "words", "members", "links-0", "links-1", "links-2", "apart-1", "apart-2", "rare", "owner", "merged", "ends", "beside")
-    return out.select(F.col("id").alias("doc_id"), "start", "stop", F.hex("passage").alias("passage"), F.col("keeper").alias("keeper_doc_id"), (F.col("keeper") != F.col("id")).alias("removed"), F.col("doc").alias("text_digest"))
+    return out.select(F.col("id").alias("doc_id"), "start", "stop", "passage", F.col("keeper").alias("keeper_doc_id"), (F.col("keeper") != F.col("id")).alias("removed"), F.col("doc").alias("text_digest"))
 
 
 def without_passages(docs: DataFrame) -> DataFrame:
