@@ -15,9 +15,11 @@ SAMPLE_ROWS = 12_000
 
 
 def labelled_sample(docs: DataFrame, labels: DataFrame, rows: int = SAMPLE_ROWS) -> DataFrame:
-    """(id, text, label) of at most ``rows`` labelled documents. labels: (id, label), docs: (id, text)."""
+    """(id, text, label) of at most ``rows`` labelled documents. labels: (id, label), docs: (id, text). Of several texts of
+    one id the largest is taken, of several labels too, so that repeated rows stay within the bound."""
     chosen = labels.filter("id is not null and label is not null").groupBy("id").agg(F.max("label").alias("label")).orderBy(F.xxhash64("id"), "id").limit(rows)
-    return docs.join(F.broadcast(chosen), "id")  # at most ``rows`` ids and labels
+    joined = docs.join(F.broadcast(chosen), "id")  # at most ``rows`` ids and labels
+    return joined.groupBy("id", "label").agg(F.max("text").alias("text")).select("id", "text", "label")
 
 
 def in_one_task(sample: DataFrame, fit: Callable[[pd.DataFrame], pd.DataFrame], schema: str) -> list:

@@ -37,24 +37,28 @@ def targets(sizes: DataFrame) -> DataFrame:
     return levelled.select("source", "rows", "source_size", F.when(F.col("stops"), stop).otherwise(F.least(stop, F.col("weight") * shared)).alias("target"))
 
 
-def mix(docs: DataFrame, weights: DataFrame | None = None) -> DataFrame:
-    """(doc_id, source, size, source_size, target, taken), one row per row of docs (doc_id, text, source, ...).
+def mix(docs: DataFrame, weights: DataFrame | None = None, whole_rows: bool = False) -> DataFrame:
+    """(doc_id, source, size, source_size, target, taken), one row per row of docs (doc_id, text, source, ...); with
+    whole_rows also ``row``, a struct of all its columns.
 
     weights: (doc_id, weight), positive; the largest counts if an id has several, and 1 if it has none or it isn't
     positive. Whole documents are taken: ``taken`` is a multiple of ``size``, at most 3 times. A source's sum is within
     half a document of its target. A null or empty text has size 0, a null source is a source of its own, after the
-    others. Rows with equal or null ids are drawn separately. An empty table gives an empty table. Keys come from ids,
-    so every run agrees.
+    others. Rows with equal or null ids are drawn separately. An empty table gives an empty table. Keys come from ids and
+    texts, so every run agrees.
     """
-    d = docs.select("doc_id", "source", word_count(F.col("text").cast("string")).alias("size"))
+    text = F.col("text").cast("string")
+    # 52 bits of a digest, as a uniform variable that is never 0
+    digest = F.md5(F.concat_ws(" ", F.coalesce(F.col("doc_id").cast("string"), F.lit("")), F.coalesce(text, F.lit(""))))
+    u = (F.conv(F.substring(digest, 1, 13), 16, 10).cast("double") + 0.5) / 2.0**52
+    more_columns = [F.struct("*").alias("row")] if whole_rows else []
+    d = docs.select("doc_id", "source", word_count(text).alias("size"), u.alias("u"), *more_columns)
     if weights is not None:
         w = weights.filter("doc_id is not null and weight > 0").groupBy("doc_id").agg(F.max("weight").cast("double").alias("weight"))
         d = d.join(w, "doc_id", "left")
     else:
         d = d.withColumn("weight", F.lit(1.0))
-    # 52 bits of a digest, as a uniform variable that is never 0
-    u = (F.conv(F.substring(F.md5(F.coalesce(F.col("doc_id").cast("string"), F.lit(""))), 1, 13), 16, 10).cast("double") + 0.5) / 2.0**52
-    d = d.withColumn("key", -F.ln(u) / F.coalesce("weight", F.lit(1.0)))
+    d = d.withColumn("key", -F.ln("u") / F.coalesce("weight", F.lit(1.0)))
     sources = targets(d.groupBy("source").agg(F.count("*").alias("rows"), F.sum("size").alias("source_size")))
     s = sources.select(F.col("source").alias("s"), "rows", "source_size", "target")
     # as many key ranges as rows in each
@@ -68,7 +72,7 @@ def mix(docs: DataFrame, weights: DataFrame | None = None) -> DataFrame:
     epochs = F.coalesce(F.floor(F.col("target") / F.when(F.col("source_size") > 0, F.col("source_size"))), F.lit(0))
     rest = F.col("target") - epochs * F.col("source_size")
     more = (F.col("earlier") + within - F.col("size") / 2 <= rest) & (epochs < MOST)
-    return d.select("doc_id", "source", "size", "source_size", "target", (F.col("size") * (epochs + more.cast("long"))).cast("long").alias("taken"))
+    return d.select(*["row"] * whole_rows, "doc_id", "source", "size", "source_size", "target", (F.col("size") * (epochs + more.cast("long"))).cast("long").alias("taken"))
 
 
 def label_weights(labels: DataFrame) -> DataFrame:
@@ -79,7 +83,7 @@ def label_weights(labels: DataFrame) -> DataFrame:
 SQL = r"""
 WITH d AS (
   SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+'))::BIGINT AS size,
-    -ln((('0x' || substr(md5(coalesce(doc_id::VARCHAR, '')), 1, 13))::BIGINT + 0.5::DOUBLE) / 4503599627370496::DOUBLE) / coalesce(w.weight, 1.0)::DOUBLE AS key
+    -ln((('0x' || substr(md5(coalesce(doc_id::VARCHAR, '') || ' ' || coalesce(text, '')), 1, 13))::BIGINT + 0.5::DOUBLE) / 4503599627370496::DOUBLE) / coalesce(w.weight, 1.0)::DOUBLE AS key
   FROM documents LEFT JOIN (SELECT doc_id, max(CASE WHEN quality = 1 THEN 2.0 ELSE 0.5 END) AS weight FROM labels
     WHERE quality IS NOT NULL AND doc_id IS NOT NULL GROUP BY doc_id) w USING (doc_id)),
 s AS (SELECT source, sum(size)::BIGINT AS source_size,

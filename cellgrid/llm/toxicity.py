@@ -24,7 +24,8 @@ from .ftrl import epochs, in_one_task, labelled_sample
 
 GRADES = 4
 ROWS = 8000  # labelled rows that the model is fitted on at most
-MIN_DOCS = 8  # labelled documents that must hold a feature
+MIN_DOCS = 8  # labelled documents that must hold a feature; one for each 25 toxic rows if those are fewer, and two at least
+FOLDS = 2  # parts of the sample, each scored by a model of the others to choose the threshold
 MODEL = "kind string, feature long, value double"
 _WORD = re.compile(r"\w+")
 PREFIXES = (4, 5, 6)
@@ -68,31 +69,9 @@ def _grade_probabilities(s: np.ndarray, cuts: np.ndarray) -> np.ndarray:
     return above[:, :-1] - above[:, 1:]
 
 
-def fit(sample: pd.DataFrame, l1: float = 0.001, l2: float = 1e-4, passes: int = 12) -> pd.DataFrame:
-    """Weights, cuts and the decision threshold from (text, label) rows."""
-    toxic = sample["label"].to_numpy() == 1
-    keys = [np.unique(np.array([x for word in _counts(t) for x in _keys(word)], np.int64)) for t in sample["text"]]
-    seen, k = np.unique(np.concatenate([*keys, np.zeros(0, np.int64)]), return_counts=True)
-    seen, k = seen[k >= MIN_DOCS], k[k >= MIN_DOCS]
-    in_toxic = np.zeros(len(seen), np.int64)
-    for own in (x for x, y in zip(keys, toxic, strict=True) if y):
-        place = np.searchsorted(seen, own)
-        place = place[(place < len(seen)) & (seen[np.minimum(place, len(seen) - 1)] == own)]
-        in_toxic[place] += 1
-    del keys
-    rate = toxic.mean() if len(toxic) else 0.0
-    excess = (in_toxic - k * rate) / np.sqrt(k * rate * (1 - rate) + 1e-9)
-    chosen = seen[excess > SCREEN]
-    at = {int(x): i for i, x in enumerate(chosen)}
-    lexicon = {i for i, x in enumerate(excess[excess > SCREEN]) if in_toxic[excess > SCREEN][i] > 0.5 * k[excess > SCREEN][i]}
-    known: dict[str, tuple[int, ...]] = {}
-    values = [_row(_counts(t), known, at) for t in sample["text"]]  # texts are counted again rather than kept as counts
-    hits = np.array([sum(math.expm1(v) for i, v in x.items() if i % 2 == 0 and i // 2 in lexicon) for x in values])
-    thirds = np.quantile(hits[toxic], [1 / 3, 2 / 3]) if toxic.any() else np.zeros(2)
-    grade = np.where(toxic, 1 + (hits[:, None] > thirds).sum(axis=1), 0)
-
-    rows = [(np.array(list(x), np.int64), np.array(list(x.values()))) for x in values]
-    w, acc = np.zeros(2 * len(chosen)), np.full(2 * len(chosen), 1e-8)
+def _learn(rows: list, grade: np.ndarray, size: int, l1: float, l2: float, passes: int) -> tuple[np.ndarray, np.ndarray]:
+    """Weights and cuts from rows (feature numbers, values) and their grades, by AdaGrad steps with soft thresholds."""
+    w, acc = np.zeros(size), np.full(size, 1e-8)
     # cut[0] and the logarithms of the gaps between cuts are free, so the cuts keep their order
     gap, gap_acc = np.array([2.0, 0.0, 0.0]), np.full(GRADES - 1, 1e-8)
     for i in epochs(passes, len(rows)):
@@ -112,12 +91,47 @@ def fit(sample: pd.DataFrame, l1: float = 0.001, l2: float = 1e-4, passes: int =
         gap = np.clip(gap - 0.1 * dgap / np.sqrt(gap_acc), -8, 8)
         g = ds * val + l2 * w[idx]
         acc[idx] += g * g
-        rate_i = 0.2 / np.sqrt(acc[idx])
-        x = w[idx] - rate_i * g
-        w[idx] = np.sign(x) * np.maximum(np.abs(x) - rate_i * l1, 0)
-    cuts = np.cumsum(np.append(gap[0], np.exp(gap[1:])))
-    s = np.array([float(w[i] @ v) for i, v in rows]) if rows else np.zeros(0)
-    severity = _grade_probabilities(s, cuts) @ np.arange(GRADES)
+        rate = 0.2 / np.sqrt(acc[idx])
+        x = w[idx] - rate * g
+        w[idx] = np.sign(x) * np.maximum(np.abs(x) - rate * l1, 0)
+    return w, np.cumsum(np.append(gap[0], np.exp(gap[1:])))
+
+
+def _severity(rows: list, w: np.ndarray, cuts: np.ndarray) -> np.ndarray:
+    return _grade_probabilities(np.array([float(w[i] @ v) for i, v in rows]), cuts) @ np.arange(GRADES)
+
+
+def fit(sample: pd.DataFrame, l1: float = 0.001, l2: float = 1e-4, passes: int = 12) -> pd.DataFrame:
+    """Weights, cuts and the decision threshold from (text, label) rows."""
+    toxic = sample["label"].to_numpy() == 1
+    keys = [np.unique(np.array([x for word in _counts(t) for x in _keys(word)], np.int64)) for t in sample["text"]]
+    seen, k = np.unique(np.concatenate([*keys, np.zeros(0, np.int64)]), return_counts=True)
+    often = k >= min(MIN_DOCS, max(2, toxic.sum() // 25))
+    seen, k = seen[often], k[often]
+    in_toxic = np.zeros(len(seen), np.int64)
+    for own in (x for x, y in zip(keys, toxic, strict=True) if y):
+        place = np.searchsorted(seen, own)
+        place = place[(place < len(seen)) & (seen[np.minimum(place, len(seen) - 1)] == own)]
+        in_toxic[place] += 1
+    del keys
+    rate = toxic.mean() if len(toxic) else 0.0
+    above = (in_toxic - k * rate) / np.sqrt(k * rate * (1 - rate) + 1e-9) > SCREEN
+    chosen = seen[above]
+    at = {int(x): i for i, x in enumerate(chosen)}
+    lexicon = set(np.flatnonzero(in_toxic[above] > 0.5 * k[above]).tolist())
+    known: dict[str, tuple[int, ...]] = {}
+    values = [_row(_counts(t), known, at) for t in sample["text"]]  # texts are counted again rather than kept as counts
+    hits = np.array([sum(math.expm1(v) for i, v in x.items() if i % 2 == 0 and i // 2 in lexicon) for x in values])
+    thirds = np.quantile(hits[toxic], [1 / 3, 2 / 3]) if toxic.any() else np.zeros(2)
+    grade = np.where(toxic, 1 + (hits[:, None] > thirds).sum(axis=1), 0) if len(hits) else np.zeros(0, np.int64)
+
+    rows, size = [(np.array(list(x), np.int64), np.array(list(x.values()))) for x in values], 2 * len(chosen)
+    w, cuts = _learn(rows, grade, size, l1, l2, passes)
+    severity, fold = np.zeros(len(rows)), np.arange(len(rows)) % FOLDS
+    for f in range(FOLDS):
+        others, own = np.flatnonzero(fold != f), np.flatnonzero(fold == f)
+        if len(own):
+            severity[own] = _severity([rows[i] for i in own], *_learn([rows[i] for i in others], grade[others], size, l1, l2, passes))
     options = np.unique(np.append(np.quantile(severity, np.linspace(0, 1, 401)), 0.5)) if len(severity) else np.array([0.5])
     f1 = [2 * (toxic & (severity >= t)).sum() / max(1, toxic.sum() + (severity >= t).sum()) for t in options]
     best = np.flatnonzero(np.array(f1) >= max(f1) - 0.003)
@@ -136,7 +150,7 @@ def train(docs: DataFrame, labels: DataFrame, rows: int = ROWS) -> list:
 
 
 def score(docs: DataFrame, model: list) -> DataFrame:
-    """(id, text) to (id, severity, grade, toxic)."""
+    """(id, text) to (id, text_digest, severity, grade, toxic)."""
     chosen = sorted({r["feature"] for r in model if r["kind"] in ("often", "dense")})
     at = {x: i for i, x in enumerate(chosen)}
     weight = {2 * at[r["feature"]] + (r["kind"] == "dense"): r["value"] for r in model if r["kind"] in ("often", "dense")}
@@ -149,14 +163,15 @@ def score(docs: DataFrame, model: list) -> DataFrame:
             s = np.array([sum(weight.get(i, 0.0) * v for i, v in _row(_counts(t), known, at).items()) for t in pdf["text"]], np.float64)
             p = _grade_probabilities(s, cuts)
             severity = p @ np.arange(GRADES)
-            yield pd.DataFrame({"id": pdf["id"], "severity": severity, "grade": p.argmax(axis=1), "toxic": severity >= threshold})
+            yield pd.DataFrame({"id": pdf["id"], "text_digest": pdf["text_digest"], "severity": severity, "grade": p.argmax(axis=1), "toxic": severity >= threshold})
 
     t = docs.schema["id"].dataType.simpleString()
-    return docs.mapInPandas(run, f"id {t}, severity double, grade int, toxic boolean")
+    return docs.withColumn("text_digest", F.xxhash64("text")).mapInPandas(run, f"id {t}, text_digest long, severity double, grade int, toxic boolean")
 
 
 def toxicity(docs: DataFrame, labels: DataFrame, rows: int = ROWS) -> DataFrame:
-    """Expected severity (0 to 3), likeliest grade and decision for each row of docs (doc_id, text, ...).
+    """(doc_id, text_digest, severity, grade, toxic) for each row of docs (doc_id, text, ...): expected severity (0 to 3),
+    likeliest grade and decision; text_digest (xxhash64) tells texts of one id apart.
 
     labels: (doc_id, toxic). Null and empty texts have no features and get the severity of the cuts alone. Null ids are
     scored, but never learned from. Repeated rows are scored alike. Without labelled rows the severity is that of fixed

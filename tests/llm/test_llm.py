@@ -278,11 +278,9 @@ def test_contamination(spark):
     assert decontam.contaminated(docs(spark, texts), bench.limit(0)).count() == 0
 
 
-def test_short_items_and_the_whole_corpus(spark, monkeypatch):
-    """Items below 8 words are found word by word, and the latent space is fitted on every document."""
-    rng, seen = random.Random(25), []
-    fit = decontam.latent_space
-    monkeypatch.setattr(decontam, "latent_space", lambda d, *a: seen.append(d.count()) or fit(d, *a))
+def test_short_items(spark):
+    """Items below 8 words are found word by word."""
+    rng = random.Random(25)
     texts = [sentence(rng, 20) for _ in range(600)]
     texts[7] += ". Who WROTE it? " + texts[8]
     texts[9] += " who wrote"
@@ -290,7 +288,38 @@ def test_short_items_and_the_whole_corpus(spark, monkeypatch):
     bench = spark.createDataFrame([(1, "Who wrote it?"), (2, "why"), (3, "?"), (4, sentence(rng, 20)), (5, "who wrote it")], "item_id long, text string")
     got = decontam.contaminated(docs(spark, [*texts, None]), bench).collect()
     assert sorted((r.doc_id, r.item_id) for r in got) == [(7, 1), (7, 5), (10, 2)]
-    assert seen == [600]
+
+
+def test_sample_is_bounded(spark):
+    texts = spark.createDataFrame([(f"text {i % 60}",) for i in range(900)], "text string")
+    got = [r.text for r in decontam.bounded_sample(Scratch(spark), texts, 40).collect()]
+    assert len(got) == len(set(got)) == 40
+    assert decontam.bounded_sample(Scratch(spark), texts.limit(0), 40).count() == 0
+
+
+@pytest.mark.parametrize("edits", [0.0, 0.15])
+def test_contamination_matches_brute_force(spark, edits):
+    """All pairs by common subsequence, for items of 8 to 1,500 words, as they are and with words replaced; repeated rows,
+    null ids and two texts of one id among them."""
+    rng = random.Random(28)
+    items = [sentence(rng, n) for n in (8, 12, 24, 25, 40, 60, 90, 150, 300, 700, 1500) for _ in range(2)]
+    texts = [sentence(rng, 120) for _ in range(10)]
+    for w in map(str.split, items):
+        inner = [rng.choice(WORDS) if rng.random() < edits else x for x in w]
+        texts.append(" ".join([sentence(rng, rng.randrange(5, 90)), *inner, sentence(rng, rng.randrange(90))]))
+    want = set()
+    for d, t in enumerate(texts):
+        own = t.split()
+        for i, w in enumerate(map(str.split, items)):
+            region = max((decontam.common_subsequence(w, own[a : a + 2 * len(w)]) for a in range(0, len(own), max(4, len(w) // 4))), default=0)
+            if region >= 0.8 * len(w):
+                want.add((d, i))
+    d = docs(spark, [*texts, texts[-1], texts[-1], "", None], [*range(len(texts)), len(texts) - 1, None, 0, 1]).withColumn("item_id", F.lit("x")).withColumn("digest", F.lit(1))
+    got = [(r.doc_id, r.item_id) for r in decontam.contaminated(d, spark.createDataFrame([*enumerate(items)], "item_id long, text string")).collect()]
+    assert len(got) == len(set(got)) and (None, len(items) - 1) in got
+    named = {x for x in got if x[0] is not None}
+    assert len(want) >= len(items) * (1 if not edits else 0.5) and len(named & want) >= 0.95 * len(want)
+    assert all(d - 10 == i for d, i in named)
 
 
 # mixing
@@ -491,6 +520,37 @@ def test_sql(spark, data, name):
 # pipeline
 
 
+def test_stages_of_odd_tables(spark, data):
+    """Nulls, repeated rows, clashing columns and empty tables: each stage returns its rows with their columns."""
+    import corpus_pipeline as cp
+
+    rng = random.Random(30)
+    fine = sentence(rng, 60)
+    rows = [(None, fine, None, None), (None, fine, None, None), (1, None, "en", "a"), (2, "", "en", "a"), (3, sentence(rng, 50), "en", "b"), (3, sentence(rng, 50), "en", "b"), (4, "x " * 3000, None, "b")]
+    extra = ["size", "taken", "target", "toxic", "severity", "row", "g_id", "text_digest", "cuts", "rep", "id", "key", "gone_id"]
+    d = spark.createDataFrame(rows, DOC)
+    for c in extra:
+        d = d.withColumn(c, F.lit(c))
+    want = collections.Counter((r[0], r[1]) for r in rows)
+    for i, (name, stage) in enumerate(cp.STAGES):
+        got = stage(spark, d, data)
+        out = collections.Counter((r.doc_id, r.text) for r in got.collect())
+        if i < 4:
+            assert got.columns == d.columns and out == want, name
+        else:
+            assert not out - want and all(t for _, t in out) and set(got.columns) == {*d.columns, "source_size"}
+            assert sum(r.taken for r in got.collect()) >= 0.5 * sum(len((t or "").split()) * k for (_, t), k in want.items())
+        assert stage(spark, d.limit(0), data).count() == 0
+
+
+def test_rows_without_an_id_are_judged(spark, data):
+    import corpus_pipeline as cp
+
+    item = table(spark, data, "benchmark").first().text
+    d = docs(spark, ["word " * 30 + item, "clean words only"], [None, None]).union(table(spark, data, "documents").select("doc_id", "text", "lang", "source"))
+    assert [r.text for r in cp.decontaminate(spark, d, data).filter("doc_id is null").collect()] == ["clean words only"]
+
+
 def test_pipeline_stages(spark, data):
     """Each stage against a plain computation on what the stage before it kept."""
     import corpus_pipeline as cp
