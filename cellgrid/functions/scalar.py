@@ -100,20 +100,29 @@ def canonical_edge(bead1: C, umi1: C, bead2: C, umi2: C) -> Column:
 def assign_feature(tag: C, introns: bool = False, sep: str = ",") -> Column:
     """One gene and feature class for a read whose tag lists `gene_CLASS` hits; struct (gene, feature, hits).
 
-    Intron hits count only on request. Hits of exons or UTRs win over introns, an exon with a UTR of the same gene is a
-    UTR, and hits of several genes leave the read ambiguous. Without a gene, intergenic and (if not asked for) intronic
-    hits name the class. The class is what stands after the last underscore, so gene ids may hold underscores.
+    Of several hits, intronic ones count only on request. Hits of one gene are that gene's: its one class besides introns, or
+    UTR if it has both. Of several genes, the one with the only exon hit has priority; otherwise, and if no hit is left, the
+    read is ambiguous. A single hit names its gene; an intronic one names INTRON unless introns are asked for, and any
+    other tag (INTERGENIC) is returned as it is, both without a feature. The class is what stands after the last
+    underscore, so gene ids may hold underscores. A null tag gives nulls and no hits.
     """
-    parsed = F.transform(F.split(_c(tag), sep), lambda x: F.struct(F.regexp_extract(x, r"^(.*)_([^_]*)$", 1).alias("gene"), F.upper(F.regexp_extract(x, r"([^_]*)$", 1)).alias("kind")))
-    strong = F.filter(parsed, lambda x: x["kind"].isin("EXON", "UTR"))
-    weak = F.filter(parsed, lambda x: x["kind"] == "INTRON")
-    used = F.when(F.size(strong) > 0, strong).otherwise(weak if introns else F.slice(weak, 1, 0))
-    genes = F.array_distinct(F.transform(used, lambda x: x["gene"]))
-    kinds = F.array_distinct(F.transform(used, lambda x: x["kind"]))
-    none = F.when(F.size(weak) > 0, "INTRON").when(F.exists(parsed, lambda x: x["kind"] == "INTERGENIC"), "INTERGENIC")
-    gene = F.when(F.size(genes) == 1, genes[0]).when(F.size(genes) > 1, F.lit("Unassigned_Ambiguity")).otherwise(none)
-    feature = F.when(F.size(genes) > 1, F.lit(None).cast("string")).when(F.array_contains(kinds, "UTR"), "UTR").when(F.size(kinds) > 0, kinds[0]).otherwise(none)
-    return F.struct(gene.alias("gene"), feature.alias("feature"), F.size(genes).alias("hits"))
+    tag = _c(tag)
+    items = F.array_distinct(F.split(tag, sep))
+    kind = lambda x: F.regexp_extract(x, r"_(EXON|UTR|INTRON)$", 1)
+    gene_of = lambda x: F.regexp_replace(x, r"_(?:EXON|UTR|INTRON)$", "")
+    used = items if introns else F.filter(items, lambda x: kind(x) != "INTRON")
+    genes = F.array_distinct(F.transform(used, gene_of))
+    exons = F.filter(used, lambda x: kind(x) == "EXON")
+    strong = F.filter(used, lambda x: kind(x) != "INTRON")
+    several, one = F.size(F.split(tag, sep)) > 1, kind(tag)
+    first = F.when((F.size(genes) > 1) & (F.size(exons) == 1), exons[0]).when(F.size(genes) == 1, F.when(F.size(used) > 1, strong[0]).otherwise(used[0]))
+    both = (F.size(genes) == 1) & (F.size(strong) > 1)
+    known = one.isin("EXON", "UTR", "INTRON") if introns else one.isin("EXON", "UTR")
+    named = lambda x: F.when(x != "", x)
+    gene = F.when(several, F.coalesce(gene_of(first), F.lit("Unassigned_Ambiguous"))).when(known, gene_of(tag)).when(one == "INTRON", one).otherwise(tag)
+    feature = F.when(several, F.when(both, "UTR").otherwise(named(kind(first)))).when(known, one)
+    hits = F.when(tag.isNull(), 0).when(several, F.size(genes)).otherwise(known.cast("int"))
+    return F.struct(gene.alias("gene"), feature.alias("feature"), hits.alias("hits"))
 
 
 def assignment(gene: C, status: C) -> Column:

@@ -9,7 +9,6 @@ from pyspark.sql import functions as F
 
 from ..functions import scalar as S
 
-BOUND = 2_000_000
 
 
 def clean_tags(raw: DataFrame) -> DataFrame:

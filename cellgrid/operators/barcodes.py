@@ -76,10 +76,11 @@ def inflection(curve: DataFrame, x: str, y: str, bins: int = 50, keys: tuple[str
 
 def cells_rna(ranked: DataFrame, knees: DataFrame, override: int | None = None, keys: tuple[str, ...] = ("sample",), floor: int = 250, ceiling: int = 20_000, most: int = 10_000) -> DataFrame:
     """Barcodes that are called cells (W7): the override, else the knee; at least floor, and a knee of over ceiling is
-    taken for most. A sample of fewer barcodes than floor is called whole."""
+    taken for most. Where the knee failed (null, or no row), most barcodes are called. A sample that has fewer barcodes
+    than that is called whole. An empty table stays empty."""
     size = ranked.groupBy(*keys).agg(F.count("*").alias("_size"))
-    knee = F.lit(override) if override else F.when(F.col("knee") > ceiling, most).otherwise(F.greatest(F.col("knee"), F.lit(floor)))
-    take = size.join(knees, [*keys]).select(*keys, F.least(knee, F.col("_size")).alias("called"))
+    knee = F.lit(override) if override else F.when(F.col("knee").isNull() | (F.col("knee") > ceiling), most).otherwise(F.greatest(F.col("knee"), F.lit(floor)))
+    take = size.join(knees, [*keys], "left").select(*keys, F.least(knee, F.col("_size")).alias("called"))
     return ranked.join(F.broadcast(take), [*keys]).filter(F.col("rank") <= F.col("called"))
 
 

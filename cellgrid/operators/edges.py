@@ -62,7 +62,7 @@ def _cluster(batches: Iterator[pd.DataFrame], threshold: int) -> Iterator[pd.Dat
                 rows.append((bead1, a1, bead2, a2, a1, a2, -n))
                 while todo:
                     k = todo.pop()
-                    for j in range(k + 1, len(items)):
+                    for j in range(len(items)):
                         m, b1, b2 = items[j]
                         near = len(items[k][1]) == len(b1) and len(items[k][2]) == len(b2) and sum(x != y for x, y in zip(items[k][1] + items[k][2], b1 + b2, strict=True)) <= threshold
                         if j not in taken and near and -items[k][0] >= 2 * -m - 1:

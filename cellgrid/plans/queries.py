@@ -234,11 +234,11 @@ def kneedle(spark, d):
     return barcodes.kneedle(barcodes.rank_curve(A.bead_counts(spark, d)), "rank", "cum_fraction")
 
 
-@query(_RANKED + " SELECT r.sample, barcode, n, rank, fraction, cum_fraction, knee FROM r JOIN k USING (sample) WHERE rank <= greatest(knee, 250)")
+@query(_RANKED + " SELECT r.sample, barcode, n, rank, fraction, cum_fraction, knee FROM r LEFT JOIN k USING (sample) WHERE rank <= CASE WHEN knee IS NULL OR knee > 20000 THEN 10000 ELSE greatest(knee, 250) END")
 def cells_rna(spark, d):
     r = barcodes.rank_curve(A.bead_counts(spark, d))
     k = barcodes.kneedle(r, "rank", "cum_fraction")
-    return barcodes.cells_rna(r, k).join(F.broadcast(k), "sample").drop("called")  # a row per sample
+    return barcodes.cells_rna(r, k).join(F.broadcast(k), "sample", "left").drop("called")  # a row per sample
 
 
 @query()
@@ -299,15 +299,9 @@ def edge_metadata(spark, d):
     return edges.edge_metadata(A.edges(spark, d))
 
 
-_SPARSE = "sparse AS (SELECT a.l_partkey::VARCHAR AS x, b.l_partkey::VARCHAR AS y FROM lineitem a JOIN lineitem b ON a.l_orderkey = b.l_orderkey AND a.l_linenumber < b.l_linenumber WHERE a.l_orderkey % 100 = 0 AND a.l_partkey <> b.l_partkey)"
-
-
-@query(f"""WITH RECURSIVE {_SPARSE}, e AS (SELECT x, y FROM sparse UNION SELECT y, x FROM sparse),
-r AS (SELECT x AS bead, x AS droplet FROM e UNION SELECT e.y, r.droplet FROM r JOIN e ON e.x = r.bead WHERE r.droplet < e.y),
-c AS (SELECT bead, min(droplet) AS droplet FROM r GROUP BY bead)
-SELECT bead, droplet, count(*) OVER (PARTITION BY droplet) AS n_beads FROM c""")
+@query()
 def merge_beads(spark, d):
-    li = A.table(spark, d, "lineitem").filter("l_orderkey % 100 = 0")
+    li = A.table(spark, d, "lineitem")
     side = lambda i: li.select("l_orderkey", F.col("l_linenumber").alias(f"n{i}"), F.col("l_partkey").cast("string").alias(f"bead{i}"), F.lit("A").alias(f"umi{i}"))
     return edges.merge_beads(side(1).join(side(2), "l_orderkey").filter("n1 < n2").select(*edges.EDGE), 1)
 
@@ -626,13 +620,15 @@ def report_numbers(spark, d):
     return o.select("o_orderkey", S.signif(F.floor("o_totalprice").cast("double"), 3).alias("three"), S.cell_type((F.col("o_custkey") % 100) / 100, 0.9).alias("kind"), S.odd_below("o_custkey").alias("odd"))
 
 
-@query("""WITH t AS (SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, l_linenumber % 5 AS k FROM lineitem)
-SELECT l_orderkey, l_linenumber, CASE k WHEN 0 THEN 'G' || l_partkey WHEN 1 THEN 'G' || l_partkey WHEN 2 THEN 'Unassigned_Ambiguity' WHEN 3 THEN 'INTRON' ELSE 'INTERGENIC' END AS gene,
-  CASE k WHEN 0 THEN 'EXON' WHEN 1 THEN 'UTR' WHEN 3 THEN 'INTRON' WHEN 4 THEN 'INTERGENIC' END AS feature, CASE WHEN k < 2 THEN 1 WHEN k = 2 THEN 2 ELSE 0 END AS hits FROM t""")
+@query("""WITH t AS (SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, l_linenumber % 7 AS k FROM lineitem)
+SELECT l_orderkey, l_linenumber, CASE WHEN k IN (0, 1, 5) THEN 'G' || l_partkey WHEN k IN (2, 6) THEN 'Unassigned_Ambiguous' WHEN k = 3 THEN 'INTRON' ELSE 'INTERGENIC' END AS gene,
+  CASE WHEN k IN (0, 5) THEN 'EXON' WHEN k = 1 THEN 'UTR' END AS feature, CASE WHEN k < 2 THEN 1 WHEN k IN (2, 5) THEN 2 ELSE 0 END AS hits,
+  CASE WHEN k IN (0, 1, 5) THEN 'G' || l_partkey WHEN k IN (2, 6) THEN 'Unassigned_Ambiguous' WHEN k = 3 THEN 'H_x' || l_suppkey ELSE 'INTERGENIC' END AS gene_introns FROM t""")
 def assign_gene(spark, d):
-    g, h, k = F.concat(F.lit("G"), F.col("l_partkey").cast("string")), F.concat(F.lit("H_x"), F.col("l_suppkey").cast("string")), F.col("l_linenumber") % 5
-    tag = F.when(k == 0, F.concat(g, F.lit("_EXON,"), h, F.lit("_INTRON"))).when(k == 1, F.concat(g, F.lit("_EXON,"), g, F.lit("_UTR"))).when(k == 2, F.concat(g, F.lit("_EXON,"), h, F.lit("_EXON"))).when(k == 3, F.concat(h, F.lit("_INTRON"))).otherwise("x_INTERGENIC")
-    return A.table(spark, d, "lineitem").select("l_orderkey", "l_linenumber", S.assign_feature(tag).alias("a")).select("l_orderkey", "l_linenumber", "a.*")
+    g, h, k = F.concat(F.lit("G"), F.col("l_partkey").cast("string")), F.concat(F.lit("H_x"), F.col("l_suppkey").cast("string")), F.col("l_linenumber") % 7
+    tag = F.when(k == 0, F.concat(g, F.lit("_EXON,"), h, F.lit("_INTRON"))).when(k == 1, F.concat(g, F.lit("_EXON,"), g, F.lit("_UTR"))).when(k == 2, F.concat(g, F.lit("_EXON,"), h, F.lit("_EXON"))).when(k == 3, F.concat(h, F.lit("_INTRON")))
+    tag = tag.when(k == 5, F.concat(g, F.lit("_EXON,"), h, F.lit("_UTR"))).when(k == 6, F.concat(g, F.lit("_INTRON,"), h, F.lit("_INTRON"))).otherwise("INTERGENIC")
+    return A.table(spark, d, "lineitem").select("l_orderkey", "l_linenumber", S.assign_feature(tag).alias("a"), S.assign_feature(tag, True)["gene"].alias("gene_introns")).select("l_orderkey", "l_linenumber", "a.*", "gene_introns")
 
 
 # antibodies

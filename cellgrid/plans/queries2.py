@@ -92,12 +92,12 @@ def debarcode_counts(spark, d):
 # scalar functions
 
 
-@query("""WITH q AS (SELECT doc_id, length(t) AS n, t FROM (SELECT doc_id, upper(regexp_replace(substr(text, 1, 60), '[^a-zA-Z]', '', 'g')) AS t FROM documents)),
-c AS (SELECT doc_id, n, i, sum(56 - (ascii(substr(t, i::INT, 1)) - 33)) OVER (PARTITION BY doc_id ORDER BY i DESC) AS s FROM q, range(1, 61) r(i) WHERE i <= n),
+@query("""WITH q AS (SELECT doc_id, length(t) AS n, t FROM (SELECT doc_id, upper(regexp_replace(text, '[^a-zA-Z]', '', 'g')) AS t FROM documents)),
+c AS (SELECT doc_id, n, i, sum(56 - (ascii(substr(t, i::INT, 1)) - 33)) OVER (PARTITION BY doc_id ORDER BY i DESC) AS s FROM (SELECT *, unnest(range(1, n + 1)) AS i FROM q)),
 k AS (SELECT *, max((s < 0)::INT) OVER (PARTITION BY doc_id ORDER BY i DESC) AS done FROM c)
 SELECT q.doc_id, coalesce((SELECT arg_max(i - 1, (s, i)) FROM k WHERE k.doc_id = q.doc_id AND done = 0 AND s > 0), n)::INT AS keep FROM q""")
 def quality_cut(spark, d):
-    t = F.upper(F.regexp_replace(F.substring("text", 1, 60), "[^a-zA-Z]", ""))
+    t = F.upper(F.regexp_replace("text", "[^a-zA-Z]", ""))
     return A.table(spark, d, "documents").select("doc_id", S.quality_cut(t, 56).alias("keep"))
 
 

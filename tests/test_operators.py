@@ -69,6 +69,64 @@ def test_umi_correction(spark):
     assert got == {("a", "AAAA", "b", "CCCC"): (7, 2), ("a", "GGGG", "b", "CCCC"): (1, 0), ("a", "AAAA", "c", "TTTT"): (1, 0)}
 
 
+def test_umi_correction_follows_ties(spark):
+    """Equal counts form chains, whatever the order of the UMIs."""
+    umis = ["AAAA", "CCAA", "CTAA", "TAAA", "TCAA"]
+    got = edges.correct_edge_umis(spark.createDataFrame([("a", u, "b", "GGGG") for u in umis], edges.EDGE)).collect()
+    assert [(r.umi1, r.n, r.corrected) for r in got] == [("AAAA", 5, 4)]
+
+
+def test_merged_beads_match_union_find(spark):
+    rng = random.Random(31)
+    rows = [(f"b{rng.randrange(60):02}", f"u{rng.randrange(4)}", f"b{rng.randrange(60):02}", f"v{i}") for i in range(70)]
+    parent = {x: x for r in rows for x in (r[0], r[2]) if r[0] != r[2]}
+
+    def find(x):
+        return x if parent[x] == x else find(parent[x])
+
+    for a, _, b, _ in rows:
+        if a != b:
+            low, high = sorted((find(a), find(b)))
+            parent[high] = low
+    want = {x: find(x) for x in parent}
+    got = {r.bead: (r.droplet, r.n_beads) for r in edges.merge_beads(spark.createDataFrame(rows, edges.EDGE), 1).collect()}
+    assert got == {x: (d, sum(e == d for e in want.values())) for x, d in want.items()}
+
+
+def test_genes_of_reads(spark):
+    """Tags with introns left out and counted; ambiguous reads have no feature."""
+    amb = "Unassigned_Ambiguous"
+    cases = [
+        ("A_INTRON", ("INTRON", None), ("A", "INTRON")),
+        ("A_EXON", ("A", "EXON"), ("A", "EXON")),
+        ("A_x1_UTR", ("A_x1", "UTR"), ("A_x1", "UTR")),
+        ("INTERGENIC", ("INTERGENIC", None), ("INTERGENIC", None)),
+        ("A_EXON,B_UTR", ("A", "EXON"), ("A", "EXON")),
+        ("A_EXON,B_INTRON", ("A", "EXON"), ("A", "EXON")),
+        ("A_EXON,A_UTR", ("A", "UTR"), ("A", "UTR")),
+        ("A_EXON,A_INTRON", ("A", "EXON"), ("A", "EXON")),
+        ("A_UTR,B_INTRON", ("A", "UTR"), (amb, None)),
+        ("A_INTRON,B_INTRON", (amb, None), (amb, None)),
+        ("A_EXON,B_EXON", (amb, None), (amb, None)),
+        ("A_UTR,B_UTR", (amb, None), (amb, None)),
+        ("A_EXON,B_EXON,C_UTR", (amb, None), (amb, None)),
+        (None, (None, None), (None, None)),
+    ]
+    df = spark.createDataFrame([(t,) for t, *_ in cases], "tag string").select("tag", S.assign_feature("tag").alias("x"), S.assign_feature("tag", True).alias("y"))
+    got = {r.tag: ((r.x.gene, r.x.feature), (r.y.gene, r.y.feature)) for r in df.collect()}
+    assert got == {t: (x, y) for t, x, y in cases}
+
+
+def test_cells_without_a_knee(spark):
+    from cellgrid.operators import barcodes
+
+    ranked = spark.createDataFrame([(s, f"{s}{i}", i + 1) for s, n in (("a", 400), ("b", 400), ("c", 400), ("d", 30)) for i in range(n)], "sample string, barcode string, rank int")
+    knees = spark.createDataFrame([("a", None), ("c", 300), ("d", 5)], "sample string, knee int")
+    got = {r.sample: r["count"] for r in barcodes.cells_rna(ranked, knees).groupBy("sample").count().collect()}
+    assert got == {"a": 400, "b": 400, "c": 300, "d": 30}
+    assert {r.sample: r["count"] for r in barcodes.cells_rna(ranked, knees, most=350).groupBy("sample").count().collect()}["b"] == 350
+
+
 def test_ranges(spark):
     random.seed(5)
     iv = lambda n: [("c", s := random.randrange(500), s + random.randrange(1, 60)) for _ in range(n)]
