@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 SHINGLE = 5
 NEAR = 0.75
+RELEASE = 5  # tables saved between two releases
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -32,14 +33,18 @@ class Scratch:
     """Tables of one call, written to the shared folder so that a lost executor costs no recomputation."""
 
     def __init__(self, spark: SparkSession):
-        self.spark, self.root = spark, f"{shared_dir(spark).rstrip('/')}/llm-{uuid.uuid4().hex}"
+        self.spark, self.root, self.saved = spark, f"{shared_dir(spark).rstrip('/')}/llm-{uuid.uuid4().hex}", 0
 
     def save(self, df: DataFrame, name: str) -> DataFrame:
         df.write.mode("overwrite").parquet(path := self.path(name))
+        self.saved += 1
+        if self.saved % RELEASE == 0:
+            self.release()
         return self.spark.read.schema(df.schema).parquet(path)
 
     def release(self) -> None:
-        """Has Spark delete the shuffle files of ended jobs: it does so when the driver's collector finds their handles."""
+        """Has Spark delete the shuffle files of ended jobs: it does so when the driver's collector finds their handles. The
+        plans of those jobs go as well, so that many small jobs in a row do not fill the driver's heap."""
         self.spark._jvm.System.gc()
 
     def path(self, name: str) -> str:
