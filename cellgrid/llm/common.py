@@ -34,6 +34,7 @@ class Scratch:
 
     def __init__(self, spark: SparkSession):
         self.spark, self.root, self.saved = spark, f"{shared_dir(spark).rstrip('/')}/llm-{uuid.uuid4().hex}", 0
+        self.release()  # of what earlier calls have left
 
     def save(self, df: DataFrame, name: str) -> DataFrame:
         df.write.mode("overwrite").parquet(path := self.path(name))

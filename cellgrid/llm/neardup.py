@@ -218,7 +218,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     reps = classes.select("c1", "c2", "rep").join(label.select(F.col("u").alias("rep"), "v"), "rep", "left").select("c1", "c2", F.coalesce("v", "rep").alias("component_id"))
     alone = F.when(F.col("n") > 0, F.coalesce("component_id", "id")).otherwise(F.col("id"))
     out = sketched.drop("registers").join(reps, ["c1", "c2"], "left").select("id", F.col("n").alias("n_shingles"), F.when(F.col("id").isNotNull(), alone).alias("component_id"))
-    scratch.drop("members", "sets")
+    scratch.drop("members", "sets", "apart-1", "apart-2", "links-0", "links-1", "links-2")
     return out.select(F.col("id").alias(id_col), "n_shingles", "component_id", (F.col("id").isNull() | (F.col("id") == F.col("component_id"))).alias("kept"))
 
 
