@@ -10,7 +10,6 @@ from pyspark.sql import functions as F
 from ..functions import scalar as S
 
 
-
 def clean_tags(raw: DataFrame) -> DataFrame:
     """(sequence, label) from a two-column table in either order: the column of sequences is found by its letters."""
     a, b = raw.columns[:2]
@@ -26,9 +25,30 @@ def mismatch_map(tags: DataFrame) -> DataFrame:
 
 
 def min_edit_distance(tags: DataFrame) -> DataFrame:
-    """One row (min_distance) over all pairs of tags (F20). A panel has at most some hundred tags: the smaller is broadcast."""
-    b = tags.select(F.col("sequence").alias("s2"), F.col("label").alias("l2"))
-    return tags.join(F.broadcast(b), F.col("label") < F.col("l2")).agg(F.min(F.levenshtein("sequence", "s2")).alias("min_distance"))
+    """One row (min_distance): the least edit distance between sequences of two labels (F20); null with fewer labels.
+
+    Distances are tried from 0. Of two sequences within d edits, one of d + 1 even pieces of the first stands in the second
+    at most d places away, so only pairs that share such a piece are compared. Pieces get short only where no near pair
+    was found, and a panel without near pairs is small. Rows with a null in either column take no part.
+    """
+    t = tags.select("sequence", "label", F.length("sequence").alias("size")).dropna().distinct()
+    answer = lambda d: tags.sparkSession.range(1).select(F.lit(d).cast("int").alias("min_distance"))
+    shortest, longest, labels = t.agg(F.min("size"), F.max("size"), F.countDistinct("label")).first()
+    if labels < 2:
+        return answer(None)
+    for d in range(longest + 1):
+        low, high = shortest // (d + 1), -(-longest // (d + 1))
+        edge = lambda i: F.floor(i * F.col("size") / (d + 1)).cast("int")  # noqa: B023, E731
+        a = t.withColumn("i", F.explode(F.sequence(F.lit(0), F.lit(d)))).withColumn("at", edge(F.col("i")) + 1)
+        a = a.select("sequence", "label", "at", F.substr("sequence", F.col("at"), edge(F.col("i") + 1) + 1 - F.col("at")).alias("piece"))
+        b = t.withColumn("n", F.explode(F.sequence(F.lit(low), F.least(F.lit(high), F.col("size")))))
+        b = b.withColumn("at2", F.explode(F.sequence(F.lit(1), F.when(F.col("n") == 0, 1).otherwise(F.col("size") - F.col("n") + 1))))
+        b = b.select(F.col("sequence").alias("sequence2"), F.col("label").alias("label2"), "at2", F.substr("sequence", F.col("at2"), F.col("n")).alias("piece"))
+        near = (F.col("piece") == "") | (F.abs(F.col("at") - F.col("at2")) <= d)
+        met = a.join(b, "piece").filter((F.col("label") < F.col("label2")) & near)
+        if not met.filter(F.levenshtein("sequence", "sequence2") <= d).isEmpty():
+            return answer(d)
+    return answer(None)
 
 
 def unambiguous(mapped: DataFrame) -> DataFrame:

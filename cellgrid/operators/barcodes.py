@@ -9,6 +9,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from .numbering import numbered
+
 
 def count_curve(counts: DataFrame, keys: tuple[str, ...] = ("sample",)) -> DataFrame:
     """(keys, n, barcodes, rank_hi, cum): distinct counts in descending order with the last rank and the sum so far."""
@@ -21,14 +23,17 @@ def count_curve(counts: DataFrame, keys: tuple[str, ...] = ("sample",)) -> DataF
 def rank_curve(counts: DataFrame, keys: tuple[str, ...] = ("sample",)) -> DataFrame:
     """(keys, barcode, n, rank, fraction, cum_fraction), ties in order of barcodes.
 
-    A barcode's rank is the rank that its count ends above, plus its place among barcodes of that count.
+    Barcodes are numbered over the whole table by sorted ranges, so that neither a sample nor the barcodes of one count are
+    one task's; a rank is that number less the rows of the samples before. Sums come from the histogram. Barcodes without
+    a count, or without a key, have no rank.
     """
     curve = count_curve(counts, keys)
-    place = F.row_number().over(Window.partitionBy(*keys, "n").orderBy("barcode"))
-    above = F.col("rank_hi") - F.col("barcodes")
-    return counts.withColumn("_place", place).join(curve, [*keys, "n"]).select(
-        *keys, "barcode", "n", (above + F.col("_place")).alias("rank"), (F.col("n") / F.col("total")).alias("fraction"),
-        ((F.col("cum") - F.col("n") * (F.col("barcodes") - F.col("_place"))) / F.col("total")).alias("cum_fraction"),
+    at = numbered(counts.select(*keys, "barcode", "n").dropna(subset=[*keys, "n"]), [*keys, F.desc("n"), "barcode"], "_at")
+    first = at.groupBy(*keys).agg(F.min("_at").alias("_first"))
+    rank = F.col("_at") - F.col("_first") + 1
+    return at.join(first, [*keys]).join(curve, [*keys, "n"]).select(
+        *keys, "barcode", "n", rank.alias("rank"), (F.col("n") / F.col("total")).alias("fraction"),
+        ((F.col("cum") - F.col("n") * (F.col("rank_hi") - rank)) / F.col("total")).alias("cum_fraction"),
     )
 
 

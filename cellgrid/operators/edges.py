@@ -5,11 +5,12 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import pandas as pd
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import scalar as S
 from .graph import connected_components
+from .numbering import numbered
 
 EDGE = ["bead1", "umi1", "bead2", "umi2"]
 
@@ -111,13 +112,15 @@ def beads_per_cell(qc: DataFrame, cell: str = "cell") -> DataFrame:
 
 
 def append_unmerged(barcode_map: DataFrame, beads: DataFrame, sample: str) -> DataFrame:
-    """The map with a droplet for each bead that has none, numbered on, and all names padded to the new width."""
-    new = unmerged_beads(beads, barcode_map)
+    """The map with a droplet for each bead that has none, numbered on, and all names padded to the new width.
+
+    New droplets are numbered in the order of their beads, by sorted ranges."""
+    new = numbered(unmerged_beads(beads, barcode_map), ["bead"], "_place")
     number = F.regexp_extract("cell", r"BC0*(\d+)N\d+$", 1).cast("long")
     last = barcode_map.agg(F.coalesce(F.max(number), F.lit(0)).alias("last"))
-    numbered = new.crossJoin(F.broadcast(last)).select("bead", (F.col("last") + F.row_number().over(Window.orderBy("bead"))).alias("number"), F.lit(1).alias("n"))  # one row
+    added = new.crossJoin(F.broadcast(last)).select("bead", (F.col("last") + F.col("_place")).alias("number"), F.lit(1).alias("n"))  # one row
     old = barcode_map.select("bead", number.alias("number"), S.beads_in_drop("cell").alias("n"))
-    both = old.unionByName(numbered)
+    both = old.unionByName(added)
     width = both.agg(F.length(F.max("number").cast("string")).alias("width"))
     text = F.col("number").cast("string")
     name = F.concat(F.translate(F.lit(sample), "-_", ""), F.lit("BC"), F.repeat(F.lit("0"), F.col("width") - F.length(text)), text, F.lit("N"), F.col("n").cast("string"))
@@ -125,9 +128,10 @@ def append_unmerged(barcode_map: DataFrame, beads: DataFrame, sample: str) -> Da
 
 
 def map_with_synthetic(counts: DataFrame, barcode_map: DataFrame, sample: str) -> DataFrame:
-    """(cell, feature, n): counts by bead summed to cells; beads without a droplet get synthetic ids."""
+    """(cell, feature, n): counts by bead summed to cells; beads without a droplet get synthetic ids (W17), in the order of
+    the beads, by sorted ranges."""
     unknown = counts.select("bead").distinct().join(barcode_map.select("bead"), "bead", "left_anti")
-    made = unknown.select("bead", F.concat(F.lit(f"{sample}SYN"), F.row_number().over(Window.orderBy("bead")).cast("string")).alias("cell"))
+    made = numbered(unknown, ["bead"], "_place").select("bead", F.concat(F.lit(f"{sample}SYN"), F.col("_place").cast("string")).alias("cell"))
     both = barcode_map.select("bead", "cell").unionByName(made)
     return counts.join(both, "bead").groupBy("cell", "feature").agg(F.sum("n").alias("n"))
 

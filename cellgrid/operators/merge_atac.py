@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from ..functions import scalar as S
 from .graph import connected_components, first_independent_set
+from .numbering import numbered
 
 
 def nc_filter(frags: DataFrame, most: int = 6) -> DataFrame:
@@ -123,10 +124,11 @@ def merge_by_jaccard(counts: DataFrame, pairs: DataFrame, cut: float) -> DataFra
 def number_cells(groups: DataFrame, sample: str, order: list | None = None) -> DataFrame:
     """(bead, cell, n_beads) with droplet names, numbered by their order (U5). groups: (bead, droplet, n_beads).
 
-    Droplets are numbered through one window over one row per droplet.
+    Droplets are numbered by sorted ranges, one row per droplet, and names are padded to the width of the last number.
     """
-    drops = groups.select("droplet", "n_beads").distinct().withColumn("number", F.row_number().over(Window.orderBy(*(order or [F.desc("n_beads"), F.col("droplet")]))))
-    width = F.length(F.max("number").over(Window.partitionBy()).cast("string"))
+    drops = numbered(groups.select("droplet", "n_beads").distinct(), order or [F.desc("n_beads"), F.col("droplet")], "number")
+    drops = drops.crossJoin(F.broadcast(drops.agg(F.length(F.max("number").cast("string")).alias("width"))))  # one row
+    width = F.col("width")
     text = F.col("number").cast("string")
     padded = F.concat(F.repeat(F.lit("0"), width - F.length(text)), text)
     named = drops.select("droplet", F.concat(F.translate(F.lit(sample), "-_", ""), F.lit("BC"), padded, F.lit("N"), F.col("n_beads").cast("string")).alias("cell"))

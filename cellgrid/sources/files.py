@@ -2,54 +2,10 @@
 
 from __future__ import annotations
 
-import gzip
-from collections.abc import Iterator
-
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
-from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
-
-FASTQ = "name string, seq string, qual string, path string"
-
-
-class _File(InputPartition):
-    def __init__(self, path: str):
-        super().__init__(path)
-        self.path = path
-
-
-class FastqReader(DataSourceReader):
-    """One partition per file: gzip cannot be split, and records are four lines."""
-
-    def __init__(self, options: dict):
-        self.paths = [p for p in options["paths"].split("\n") if p]
-
-    def partitions(self) -> list[InputPartition]:
-        return [_File(p) for p in self.paths]
 
-    def read(self, partition: _File) -> Iterator[tuple]:
-        with (gzip.open if partition.path.endswith(".gz") else open)(partition.path, "rt") as f:
-            while head := f.readline():
-                seq, _, qual = f.readline().rstrip("\n"), f.readline(), f.readline().rstrip("\n")
-                yield head.rstrip("\n").removeprefix("@").split(" ")[0], seq, qual, partition.path
-
-
-class FastqSource(DataSource):
-    @classmethod
-    def name(cls) -> str:
-        return "fastq"
-
-    def schema(self) -> str:
-        return FASTQ
-
-    def reader(self, schema) -> DataSourceReader:
-        return FastqReader(self.options)
-
-
-def read_fastq_files(spark: SparkSession, paths: list[str]) -> DataFrame:
-    """(name, seq, qual, path) of FASTQ files that executors can open."""
-    spark.dataSource.register(FastqSource)
-    return spark.read.format("fastq").option("paths", "\n".join(paths)).load()
+from ..operators.numbering import numbered
 
 
 def read_fastq(spark: SparkSession, path: str | list[str]) -> DataFrame:
@@ -130,22 +86,28 @@ def read_barcode_map(spark: SparkSession, path, dialect: str = "rna") -> DataFra
     return m.join(m.groupBy("cell").agg(F.count("*").alias("n_beads")), "cell").select("bead", "cell", "n_beads")
 
 
+def line_numbers(spark: SparkSession, path, name: str = "n") -> DataFrame:
+    """(value, n): the lines of text files and their numbers from 1, by path and then by place, over all files."""
+    place = [F.col("_metadata.file_path").alias("_path"), F.col("_metadata.file_block_start").alias("_block"), F.monotonically_increasing_id().alias("_row")]
+    return numbered(spark.read.text(path).select("value", *place), ["_path", "_block", "_row"], name).select("value", name)
+
+
 def read_allowlist(spark: SparkSession, path) -> DataFrame:
-    """(bead, rank): line numbers from 1, by the line's place in its file."""
-    lines = spark.read.csv(path, schema="bead string").select("bead", F.monotonically_increasing_id().alias("_i"))
-    return lines.select("bead", F.row_number().over(Window.orderBy("_i")).alias("rank"))  # a list of cells
+    """(bead, rank): line numbers from 1, by the line's place in its file; what follows a comma, and empty lines, are left out."""
+    return line_numbers(spark, path, "rank").select(F.trim(F.split("value", ",")[0]).alias("bead"), "rank").filter("bead <> ''")
 
 
 def read_mtx(spark: SparkSession, mtx: str | list[str], barcodes: str, features: str) -> DataFrame:
-    """(cell, feature, n) of a coordinate matrix with its label files."""
-    numbered = lambda path, name: spark.read.text(path).select(F.split("value", "\t")[0].alias(name), F.monotonically_increasing_id().alias("_m")).select(name, F.row_number().over(Window.orderBy("_m")).cast("long").alias("_i"))
+    """(cell, feature, n) of a coordinate matrix with its label files (S11). Labels in several part files count in the order
+    of the files' names."""
+    labels = lambda path, name, i: line_numbers(spark, path, i).select(F.split("value", "\t")[0].alias(name), i)
     f = F.split(F.trim("value"), " +")
     # the line of dimensions is the one right after the header in the file that has a header
     head = F.col("value").startswith("%")
     body = spark.read.text(mtx).select("value", F.input_file_name().alias("_p"), F.monotonically_increasing_id().alias("_m"))
     dims = body.groupBy("_p").agg(F.count_if(head).alias("_h"), F.min(F.when(~head, F.col("_m"))).alias("_first")).filter("_h > 0").select(F.col("_first").alias("_m"))
     triples = body.filter(~head).join(F.broadcast(dims), "_m", "left_anti").select(f.alias("f")).select(F.col("f")[0].cast("long").alias("_f"), F.col("f")[1].cast("long").alias("_c"), F.col("f")[2].cast("long").alias("n"))  # a line per file
-    return triples.join(numbered(features, "feature").withColumnRenamed("_i", "_f"), "_f").join(numbered(barcodes, "cell").withColumnRenamed("_i", "_c"), "_c").select("cell", "feature", "n")
+    return triples.join(labels(features, "feature", "_f"), "_f").join(labels(barcodes, "cell", "_c"), "_c").select("cell", "feature", "n")
 
 
 def read_metrics(spark: SparkSession, path, schema: str = "sample string, process string, metric string, value double") -> DataFrame:
@@ -177,16 +139,14 @@ def parse_report(spark: SparkSession, kind: str, path) -> DataFrame:
 
 
 def write_mtx(counts: DataFrame, path: str) -> None:
-    """matrix, barcodes and features under a path, with ids from 1 in the order of the labels."""
-    ids = lambda c, i: counts.select(c).distinct().withColumn(i, F.row_number().over(Window.orderBy(c)))  # noqa: E731  labels, not counts
-    cells, features = ids("cell", "_c").persist(), ids("feature", "_f").persist()
-    cells.orderBy("_c").select("cell").coalesce(1).write.text(f"{path}/barcodes")
-    features.orderBy("_f").select("feature").coalesce(1).write.text(f"{path}/features")
+    """matrix, barcodes and features under a path, with ids from 1 in the order of the labels (S14). Labels come in part
+    files whose names keep that order."""
+    cells, features = (numbered(counts.select(c).distinct(), [c], i) for c, i in (("cell", "_c"), ("feature", "_f")))
+    cells.orderBy("_c").select("cell").write.text(f"{path}/barcodes")
+    features.orderBy("_f").select("feature").write.text(f"{path}/features")
     dims = f"{features.count()} {cells.count()} {counts.count()}"
     counts.sparkSession.range(1).select(F.concat(F.lit(f"%%MatrixMarket matrix coordinate integer general\n{dims}")).alias("value")).coalesce(1).write.text(f"{path}/matrix_head")
     counts.join(cells, "cell").join(features, "feature").select(F.concat_ws(" ", "_f", "_c", "n")).write.text(f"{path}/matrix")
-    cells.unpersist()
-    features.unpersist()
 
 
 def write_fragments(frags: DataFrame, path: str) -> None:

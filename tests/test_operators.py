@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from cellgrid.functions import scalar as S
-from cellgrid.operators import atac, edges, graph, merge_atac, ranges
+from cellgrid.operators import adt, atac, barcodes, edges, graph, merge_atac, numbering, ranges
 from cellgrid.sources import files
 
 
@@ -170,7 +170,6 @@ def test_sources(spark, tmp_path):
     (tmp_path / "s_flagstat.txt").write_text("12 + 0 in total (QC)\n10 + 0 mapped (83%)\n")
     fq = files.merge_lanes(files.read_fastq(spark, str(tmp_path / "*.fastq"))).collect()
     assert {(r.name, r.seq, r.qual, r["sample"], r.mate) for r in fq} == {("r1_x", "ACGT", "IIII", "A_S1", 1), ("r2_y", "TT", "@I", "A_S1", 1)}
-    assert {(r.name, r.seq) for r in files.read_fastq_files(spark, [str(tmp_path / "A_S1_L001_R1_001.fastq")]).collect()} == {("r1_x", "ACGT"), ("r2_y", "TT")}
     sam = files.read_sam(spark, str(tmp_path / "x.sam")).first()
     assert (sam.pos, sam.end, sam.XB, sam.XM, sam.tlen) == (10, 19, "bead", "umi", 30)
     assert tuple(files.read_gtf(spark, str(tmp_path / "x.gtf")).first())[:7] == ("chr1", 10, 20, "+", "exon", "g1", "n")
@@ -209,3 +208,54 @@ def test_empty_tables(spark):
     assert edges.merge_beads(spark.createDataFrame([], "bead1 string, umi1 string, bead2 string, umi2 string")).count() == 0
     assert ranges.merge_intervals(frags, ["chr"]).count() == 0
     assert ranges.subtract_intervals(frags, frags, ["chr"]).count() == 0
+
+
+def test_numbers_follow_the_order(spark):
+    """Numbers run over all ranges, with ties, nulls and an empty table."""
+    rng = random.Random(7)
+    rows = [(rng.choice([None, *range(50)]), i) for i in range(3000)]
+    df = spark.createDataFrame(rows, "a int, b int").repartition(7)
+    got = {r.k: (r.a, r.b) for r in numbering.numbered(df, ["a", "b"], "k").collect()}
+    assert [got[i + 1] for i in range(len(rows))] == sorted(rows, key=lambda r: (r[0] is not None, r[0] or 0, r[1]))
+    empty = numbering.numbered(df.filter("b < 0"), ["a"], "k")
+    assert empty.columns == ["a", "b", "k"] and empty.isEmpty()
+
+
+def test_rank_curve_with_many_ties(spark):
+    rng = random.Random(8)
+    rows = [(s, f"b{i:04d}", rng.choice([1, 1, 1, 1, 2, 9])) for s in "xy" for i in range(rng.randrange(300, 600))]
+    want = {}
+    for s in "xy":
+        mine, total, so_far = sorted((-n, b) for t, b, n in rows if t == s), sum(n for t, _, n in rows if t == s), 0
+        for i, (n, b) in enumerate(mine, 1):
+            so_far -= n
+            want[s, b] = (-n, i, pytest.approx(-n / total), pytest.approx(so_far / total))
+    got = barcodes.rank_curve(spark.createDataFrame([*rows, ("x", "none", None)], "sample string, barcode string, n long")).collect()
+    assert len(got) == len(want)
+    assert {(r["sample"], r.barcode): (r.n, r["rank"], r.fraction, r.cum_fraction) for r in got} == want
+
+
+def test_lines_of_several_files(spark, tmp_path):
+    """Labels are numbered over part files, in the order of their names, and by place within each."""
+    (tmp_path / "b").mkdir()
+    for part, lines in (("part-0", ["c1", "c2"]), ("part-1", ["c3"]), ("part-2", ["c4", "c0"])):
+        (tmp_path / "b" / part).write_text("".join(f"{x}\n" for x in lines))
+    assert {(r.value, r.n) for r in files.line_numbers(spark, str(tmp_path / "b")).collect()} == {("c1", 1), ("c2", 2), ("c3", 3), ("c4", 4), ("c0", 5)}
+    assert sorted((r["rank"], r.bead) for r in files.read_allowlist(spark, str(tmp_path / "b")).collect()) == [(1, "c1"), (2, "c2"), (3, "c3"), (4, "c4"), (5, "c0")]
+
+
+def test_min_edit_distance_matches_all_pairs(spark):
+    def distance(a, b):
+        row = list(range(len(b) + 1))
+        for i, x in enumerate(a, 1):
+            row, last = [i], row
+            for j, y in enumerate(b, 1):
+                row.append(min(row[-1] + 1, last[j] + 1, last[j - 1] + (x != y)))
+        return row[-1]
+
+    rng = random.Random(9)
+    for lengths in ((6, 7, 8), (10,), (15,), (1, 4)):
+        tags = [("".join(rng.choice("ACGT") for _ in range(rng.choice(lengths))), f"t{i}") for i in range(rng.randrange(2, 9))]
+        want = min(distance(a, b) for a, x in tags for b, y in tags if x < y)
+        assert adt.min_edit_distance(spark.createDataFrame([*tags, (None, "z")], "sequence string, label string")).first()[0] == want
+    assert adt.min_edit_distance(spark.createDataFrame([("ACGT", "a")], "sequence string, label string")).first()[0] is None
