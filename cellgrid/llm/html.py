@@ -29,9 +29,9 @@ CLOSES = {
     "tr": ({"tr", "td", "th", "caption", "colgroup"}, {"table"}),
     "td": ({"td", "th"}, {"tr", "table"}),
     "th": ({"td", "th"}, {"tr", "table"}),
-    "tbody": ({"tbody", "thead", "tfoot", "caption", "colgroup"}, {"table"}),
-    "thead": ({"tbody", "thead", "tfoot", "caption", "colgroup"}, {"table"}),
-    "tfoot": ({"tbody", "thead", "tfoot", "caption", "colgroup"}, {"table"}),
+    "tbody": ({"tbody", "thead", "tfoot", "tr", "td", "th", "caption", "colgroup"}, {"table"}),
+    "thead": ({"tbody", "thead", "tfoot", "tr", "td", "th", "caption", "colgroup"}, {"table"}),
+    "tfoot": ({"tbody", "thead", "tfoot", "tr", "td", "th", "caption", "colgroup"}, {"table"}),
     "option": ({"option"}, {"select", "datalist"}),
     "optgroup": ({"option", "optgroup"}, {"select", "datalist"}),
     "body": ({"head"}, {"html"}),
@@ -43,6 +43,8 @@ DEEPEST = 100  # elements that are nested deeper become siblings
 _MARK = re.compile(r"<!--.*?(?:-->|\Z)|<[!?][^>]*>?|</([a-zA-Z][^\s/>]*+)[^>]*>?|<([a-zA-Z][^\s/>]*+)((?:[^>\"']++|\"[^\"]*+\"|'[^']*+'|[\"'])*+)>?", re.S)
 _ATTRIBUTE = re.compile(r"([^\s\"'<>/=]+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?")
 _HIDDEN = re.compile(r"(?:^|;)\s*(?:display\s*:\s*none|visibility\s*:\s*(?:hidden|collapse))\b", re.I)
+_UNPAINTED = re.compile(r"(?:^|;)\s*visibility\s*:\s*(?:hidden|collapse)\b", re.I)
+_PAINTED = re.compile(r"(?:^|;)\s*visibility\s*:\s*visible\b", re.I)
 _SPACE = re.compile(r"[ \t\n\r\f]+")
 
 
@@ -92,7 +94,7 @@ def build(page: str) -> Node:
                 close({"p"}, {"table", "td", "th", "button", "li", "div", "caption"})
             if tag in CLOSES:
                 names, until = CLOSES[tag]
-                for _ in range(3 if tag == "tr" else 2 if tag == "optgroup" else 1):
+                for _ in range(3 if tag in ("tr", "tbody", "thead", "tfoot") else 2 if tag == "optgroup" else 1):
                     close(names, until)
             if tag in ("td", "th") and stack[-1].tag in ("table", "tbody", "thead", "tfoot"):
                 row = Node("tr", {})
@@ -109,6 +111,26 @@ def build(page: str) -> Node:
     return root
 
 
+def _unhide(node: Node, painted: bool = True) -> bool:
+    """Settles visibility, which is inherited: an unpainted element that holds a painted one stays, without its own text.
+    Says whether anything of the node is painted."""
+    style = node.attrs.get("style", "")
+    unpainted = bool(_UNPAINTED.search(style))
+    painted = (painted or bool(_PAINTED.search(style))) and not unpainted
+    held = [_unhide(k, painted) for k in node.kids if isinstance(k, Node)]
+    if painted:
+        return True
+    node.kids = [k for k in node.kids if isinstance(k, Node)]
+    if any(held):
+        if unpainted:
+            node.attrs["style"] = _UNPAINTED.sub("", style)
+        node.attrs.pop("alt", None)
+        node.attrs.pop("value", None)
+        return True
+    node.attrs["hidden"] = ""
+    return False
+
+
 def visible(node: Node) -> bool:
     a = node.attrs
     return not (node.tag in UNSEEN or "hidden" in a or (a and _HIDDEN.search(a.get("style", ""))) or (node.tag == "input" and a.get("type", "").lower() == "hidden"))
@@ -161,24 +183,40 @@ class _Lines:
         self.gap |= gap
 
 
-def _rows(node: Node) -> Iterator[Node]:
+def _rows(node: Node) -> Iterator[tuple[Node, Node]]:
+    """Rows with the table or group of rows that they stand in."""
     for k in node.kids:
         if isinstance(k, Node) and visible(k):
             if k.tag == "tr":
-                yield k
+                yield node, k
             elif k.tag in ("thead", "tbody", "tfoot"):
                 yield from _rows(k)
 
 
+def _span(cell: Node, name: str, most: int) -> int:
+    """A span as browsers read it: at least 1, at most their limit; a rowspan of 0 reaches to the end of the group."""
+    text = cell.attrs.get(name, "").strip()
+    n = min(int(text[:9]), most) if text.isascii() and text.isdigit() else 1
+    return n or (most if name == "rowspan" else 1)
+
+
 def _table(node: Node) -> list[str]:
     grid, out = [], []
-    for row in _rows(node):
-        cells = []
+    group, taken = None, {}  # how many more rows of the group a cell above takes, by column
+    for part, row in _rows(node):
+        if part is not group:
+            group, taken = part, {}
+        cells, after = [], {}
         for k in row.kids:
             if isinstance(k, Node) and k.tag in ("td", "th") and visible(k):
+                while len(cells) in taken:
+                    cells.append([])
+                down, wide = _span(k, "rowspan", 65_534), min(_span(k, "colspan", 1000), 100)
+                if down > 1:
+                    after |= dict.fromkeys(range(len(cells), len(cells) + wide), down - 1)
                 cells.append(lines_of(k))
-                span = k.attrs.get("colspan", "1")
-                cells += [[]] * (min(int(span), 100) - 1 if span.isascii() and span.isdigit() else 0)
+                cells += [[]] * (wide - 1)
+        taken = {c: n - 1 for c, n in taken.items() if n > 1} | after
         grid.append(cells)
     widths = [max((len(x) for cells in grid if i < len(cells) for x in cells[i]), default=0) for i in range(max(map(len, grid), default=0))]
     for cells in grid:
@@ -255,7 +293,10 @@ def lines_of(node: Node) -> list[str]:
 
 
 def render(page: str | None) -> str:
-    lines = lines_of(build(page)) if page else []
+    root = build(page) if page else Node("#root", {})
+    if page and "visibility" in page.lower():
+        _unhide(root)
+    lines = lines_of(root)
     return "\n".join(lines).strip("\n")
 
 

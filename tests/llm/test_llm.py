@@ -451,6 +451,14 @@ def test_render(page, text):
         ("<html><head><title>t</title><h1>A</h1><p>B", "A\n\nB"),
         ("<head><meta charset=x><title>t</title>\n<style>s</style>Text", "Text"),
         ("<head><template><p>no</p></template><script>x</script></head><body>A", "A"),
+        ("<table><tr><td rowspan=2>a<td>b<tr><td>c<tr><td>d<td>e</table>", "a | b\n  | c\nd | e"),
+        ("<table><tr><td>a<td rowspan=0>b<td>c<tr><td>d<td>e<tbody><tr><td>f<td>g</table>", "a | b | c\nd |   | e\nf | g"),
+        ("<table><tr><td rowspan=2 colspan=2>a<td>b<tr><td>c</table>", "a |  | b\n  |  | c"),
+        ("<table><tr><td rowspan=x colspan=>a<td rowspan=-1>b<tr><td>c<td>d</table>", "a | b\nc | d"),
+        ("<div style='visibility:hidden'>no<p style='visibility:visible'>yes</p><img alt=no></div>", "yes"),
+        ("<div style='visibility: hidden'><b>no</b><ul><li>no<li style='visibility:visible'>yes</ul></div>", "- yes"),
+        ("<div style='display:none'>no<p style='visibility:visible'>no</p></div>a", "a"),
+        ("<p style='visibility:visible'>a<b style='VISIBILITY:collapse'>no</b> visibility", "a visibility"),
     ],
 )
 def test_render_without_optional_tags(page, text):
