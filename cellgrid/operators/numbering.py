@@ -24,3 +24,8 @@ def numbered(df: DataFrame, order: list[Column | str], name: str) -> DataFrame:
     starts = sizes.select("_part", before.alias("_before"))
     place = F.col("_at").bitwiseAND(F.lit((1 << _BITS) - 1))
     return at.withColumn("_part", part).join(F.broadcast(starts), "_part").select(*df.columns, (F.col("_before") + place + 1).alias(name))
+
+
+def in_ranges(df: DataFrame, order: list[Column | str], name: str) -> DataFrame:
+    """df with the number of the range that a row is dealt to, in the given order; checkpointed, for the same reason."""
+    return checkpoint(df.repartitionByRange(*order).withColumn(name, F.spark_partition_id()))

@@ -10,6 +10,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from .numbering import in_ranges
+
 
 def _binned(df: DataFrame, size: int, closed: bool) -> DataFrame:
     last = F.col("stop") if closed else F.greatest(F.col("stop") - 1, F.col("start"))
@@ -52,23 +54,39 @@ def assign_features(reads: DataFrame, features: DataFrame, min_share: float = 0.
 
 
 def merge_intervals(df: DataFrame, keys: list[str]) -> DataFrame:
-    """Unions of overlapping or adjacent intervals of each key."""
-    w = Window.partitionBy(*keys).orderBy("start", "stop")
-    reach = F.max("stop").over(w.rowsBetween(Window.unboundedPreceding, -1))
-    island = F.sum(F.when(F.col("start") <= reach, 0).otherwise(1)).over(w)
-    return df.withColumn("_island", island).groupBy(*keys, "_island").agg(F.min("start").alias("start"), F.max("stop").alias("stop"), F.count("*").alias("n")).drop("_island")
+    """(keys, start, stop, n): unions of overlapping or adjacent intervals of each key (W13); an empty table gives none.
+
+    A contig is swept in sorted ranges: each starts from the farthest stop of the ranges before it, and the pieces that a
+    union has in several ranges are put together at the end.
+    """
+    at = in_ranges(df.select(*keys, "start", "stop"), [*keys, "start", "stop"], "_part")
+    w, over = Window.partitionBy(*keys, "_part").orderBy("start", "stop"), Window.partitionBy(*keys).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    parts = at.groupBy(*keys, "_part").agg(F.max("stop").alias("_top")).select(*keys, "_part", F.max("_top").over(over).alias("_before"))
+    reach = F.greatest("_before", F.max("stop").over(w.rowsBetween(Window.unboundedPreceding, -1)))
+    new = at.join(parts, [*keys, "_part"]).withColumn("_new", F.when(F.col("start") <= reach, 0).otherwise(1)).withColumn("_piece", F.sum("_new").over(w))
+    pieces = new.groupBy(*keys, "_part", "_piece").agg(F.min("start").alias("start"), F.max("stop").alias("stop"), F.count("*").alias("n"))
+    ahead = pieces.groupBy(*keys, "_part").agg(F.max("_piece").alias("_k")).select(*keys, "_part", F.coalesce(F.sum("_k").over(over), F.lit(0)).alias("_ahead"))
+    islands = pieces.join(ahead, [*keys, "_part"]).withColumn("_island", F.col("_ahead") + F.col("_piece"))
+    return islands.groupBy(*keys, "_island").agg(F.min("start").alias("start"), F.max("stop").alias("stop"), F.sum("n").alias("n")).drop("_island")
 
 
 def subtract_intervals(a: DataFrame, b: DataFrame, keys: list[str]) -> DataFrame:
-    """Stretches that a covers and b does not, for each key, as maximal intervals."""
+    """Stretches that a covers and b does not, for each key, as maximal intervals.
+
+    Depths are summed in sorted ranges of positions; each starts from the depths at the end of the ranges before it.
+    """
     events = None
     for df, da, db in ((a, 1, 0), (b, 0, 1)):
         for at, sign in (("start", 1), ("stop", -1)):
             e = df.select(*keys, F.col(at).alias("pos"), F.lit(da * sign).alias("da"), F.lit(db * sign).alias("db"))
             events = e if events is None else events.unionByName(e)
-    w = Window.partitionBy(*keys).orderBy("pos")
-    sums = events.groupBy(*keys, "pos").agg(F.sum("da").alias("da"), F.sum("db").alias("db"))
-    swept = sums.select(*keys, F.col("pos").alias("start"), F.lead("pos").over(w).alias("stop"), F.sum("da").over(w).alias("a"), F.sum("db").over(w).alias("b"))
+    sums = in_ranges(events.groupBy(*keys, "pos").agg(F.sum("da").alias("da"), F.sum("db").alias("db")), [*keys, "pos"], "_part")
+    w, order = Window.partitionBy(*keys, "_part").orderBy("pos"), Window.partitionBy(*keys).orderBy("_part")
+    earlier = order.rowsBetween(Window.unboundedPreceding, -1)
+    parts = sums.groupBy(*keys, "_part").agg(F.sum("da").alias("_da"), F.sum("db").alias("_db"), F.min("pos").alias("_pos"))
+    parts = parts.select(*keys, "_part", *[F.coalesce(F.sum(f"_{c}").over(earlier), F.lit(0)).alias(f"_{c}") for c in ("da", "db")], F.lead("_pos").over(order).alias("_next"))
+    depth = lambda c: F.col(f"_{c}") + F.sum(c).over(w)
+    swept = sums.join(parts, [*keys, "_part"]).select(*keys, F.col("pos").alias("start"), F.coalesce(F.lead("pos").over(w), F.col("_next")).alias("stop"), depth("da").alias("a"), depth("db").alias("b"))
     return merge_intervals(swept.filter("a > 0 and b <= 0 and stop > start").select(*keys, "start", "stop"), keys).select(*keys, "start", "stop")
 
 

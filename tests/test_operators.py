@@ -259,3 +259,23 @@ def test_min_edit_distance_matches_all_pairs(spark):
         want = min(distance(a, b) for a, x in tags for b, y in tags if x < y)
         assert adt.min_edit_distance(spark.createDataFrame([*tags, (None, "z")], "sequence string, label string")).first()[0] == want
     assert adt.min_edit_distance(spark.createDataFrame([("ACGT", "a")], "sequence string, label string")).first()[0] is None
+
+
+@pytest.mark.parametrize("coalesce", ["true", "false"])
+def test_intervals_match_bases(spark, coalesce):
+    """Unions and differences against sets of bases, with long intervals that reach over several ranges."""
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", coalesce)
+    try:
+        rng = random.Random(12)
+        make = lambda n, most: [(rng.choice("cd"), s, s + rng.randrange(1, most)) for s in (rng.randrange(3000) for _ in range(n))]
+        a, b = [*make(150, 20), ("c", 100, 2500)], make(60, 30)
+        bases = lambda rows: {(c, i) for c, s, e in rows for i in range(s, e)}
+        df_a, df_b = (spark.createDataFrame(x, "chr string, start long, stop long") for x in (a, b))
+        merged = ranges.merge_intervals(df_a, ["chr"]).collect()
+        assert bases([(r.chr, r.start, r.stop) for r in merged]) == bases(a) and sum(r.n for r in merged) == len(a)
+        assert not {(r.chr, r.start) for r in merged} & {(r.chr, r.stop) for r in merged}
+        left = [tuple(r) for r in ranges.subtract_intervals(df_a, df_b, ["chr"]).collect()]
+        assert bases(left) == bases(a) - bases(b) and sum(e - s for _, s, e in left) == len(bases(left))
+        assert not {(c, s) for c, s, _ in left} & {(c, e) for c, _, e in left}
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
