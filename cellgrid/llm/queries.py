@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontam, html, langid, mixing, neardup, passages, quality, topk, toxicity, warc
+from . import decontam, html, langid, mixing, neardup, passages, quality, rules, topk, toxicity, warc
 from .common import Scratch, table
 
 
@@ -52,11 +52,17 @@ def op10_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op13_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    digest = "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "lost_words"
+    return rules.clean_lines(table(spark, sf_dir, "documents")).select(*digest)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
         op1_toxicity, op2_mixing, op3_substring_dedup, op4_decontamination, op5_minhash_near_dedup, op6_warc_revisits,
         op7_language_id, op8_html_extraction, op9_exact_top_k, op10_quality_classifier,
+        op13_quality_rules,
     )
 }
-ORACLE_SQL: dict[str, str] = {"op2_mixing": mixing.SQL, "op5_minhash_near_dedup": neardup.SQL, "op6_warc_revisits": warc.SQL, "op9_exact_top_k": topk.SQL}
+ORACLE_SQL: dict[str, str] = {"op2_mixing": mixing.SQL, "op5_minhash_near_dedup": neardup.SQL, "op6_warc_revisits": warc.SQL, "op9_exact_top_k": topk.SQL, "op13_quality_rules": rules.SQL}
