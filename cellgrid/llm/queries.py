@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontam, html, langid, mixing, neardup, negatives, passages, quality, rules, topk, toxicity, warc
+from . import decontam, html, langid, mixing, neardup, negatives, passages, quality, repair, rules, topk, toxicity, warc
 from .common import Scratch, table
 
 
@@ -52,6 +52,11 @@ def op10_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op11_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    conversations = table(spark, sf_dir, "conversations")
+    return repair.repair(repair.damage(conversations), conversations.select("conv_id"))
+
+
 def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
     vectors = negatives.labelled_vectors(table(spark, sf_dir, "embeddings"))
     return negatives.hard_negatives(vectors, F.col("vec_id") % negatives.EVERY == 0)
@@ -67,7 +72,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     for f in (
         op1_toxicity, op2_mixing, op3_substring_dedup, op4_decontamination, op5_minhash_near_dedup, op6_warc_revisits,
         op7_language_id, op8_html_extraction, op9_exact_top_k, op10_quality_classifier,
-        op12_hard_negatives, op13_quality_rules,
+        op11_conversation_repair, op12_hard_negatives, op13_quality_rules,
     )
 }
-ORACLE_SQL: dict[str, str] = {"op2_mixing": mixing.SQL, "op5_minhash_near_dedup": neardup.SQL, "op6_warc_revisits": warc.SQL, "op9_exact_top_k": topk.SQL, "op12_hard_negatives": negatives.SQL, "op13_quality_rules": rules.SQL}
+ORACLE_SQL: dict[str, str] = {"op2_mixing": mixing.SQL, "op5_minhash_near_dedup": neardup.SQL, "op6_warc_revisits": warc.SQL, "op9_exact_top_k": topk.SQL, "op11_conversation_repair": repair.SQL, "op12_hard_negatives": negatives.SQL, "op13_quality_rules": rules.SQL}
