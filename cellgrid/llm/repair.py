@@ -25,7 +25,7 @@ from .common import Scratch
 #: Costs of edits; Keep costs nothing.
 REROLE, DELETE, INSERT, TRUNCATED = 1, 2, 5, 5
 #: Rows and characters of a piece, at most (but for one row).
-PIECE, PIECE_CHARS = 4096, 1 << 20
+PIECE, PIECE_CHARS = 4096, 1 << 18
 #: States: nothing yet, after a system row, after a user row, after an assistant row. An end is fine in the first and the last.
 NONE, SYSTEM, USER, ASSISTANT = range(4)
 NEVER = 1 << 40
@@ -147,7 +147,7 @@ def repaired(roles: list[str], texts: list[str], audit: bytes, path: np.ndarray)
     return out
 
 
-def _pack(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+def _pack(batches: Iterator[pd.DataFrame], piece: int) -> Iterator[pd.DataFrame]:
     """Rows in order to pieces of conversations. One that begins and ends within the range, in one piece, is solved at once."""
     key, rows, chars, place, part = None, [], 0, 0, -1
 
@@ -175,7 +175,7 @@ def _pack(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
                 if rows:
                     out.append(flush(True))
                 key, alone = k, True
-            elif len(rows) >= PIECE or chars > PIECE_CHARS:
+            elif len(rows) >= piece or chars > PIECE_CHARS:
                 out.append(flush(False))
             rows.append((role, text, fault))
             chars += len(text)
@@ -248,9 +248,9 @@ def _numbered(pieces: DataFrame) -> DataFrame:
     return pieces.join(sizes.select("part", before.alias("before")), "part").withColumn("at", F.col("before") + F.col("place"))
 
 
-def repair(rows: DataFrame, keys: DataFrame | None = None) -> DataFrame:
+def repair(rows: DataFrame, keys: DataFrame | None = None, piece: int = PIECE) -> DataFrame:
     """One row per conversation of rows (conv_id, turn, role, text): conv_id, n_rows, gaps, blank, duplicate, truncated, illegal,
-    cost, audit, repaired_sha256. keys (conv_id): conversations that are returned even without rows.
+    cost, audit, repaired_sha256. keys (conv_id): conversations that are returned even without rows. piece: rows that are repaired at once, at most.
 
     Rows are taken by turn, nulls first, and at one turn by role and text; copies stand together. Nulls in role and text are
     one space, a null conv_id is a conversation of its own. The first fault of a row counts: blank, duplicate (role and
@@ -276,7 +276,7 @@ def repair(rows: DataFrame, keys: DataFrame | None = None) -> DataFrame:
     judged = same.select("key", "turn", "role", "text", F.posexplode(copies).alias("copy", "fault"))
     order = ["key", "turn", "role", "text", "copy"]
     dealt = judged.repartitionByRange(*order).sortWithinPartitions(*order).withColumn("part", F.spark_partition_id())
-    packed = scratch.save(dealt.select("key", "part", "role", "text", "fault").mapInPandas(_pack, _PACKED), "pieces")
+    packed = scratch.save(dealt.select("key", "part", "role", "text", "fault").mapInPandas(lambda it: _pack(it, piece), _PACKED), "pieces")
 
     pieces = scratch.save(_numbered(packed.select("key", "part", "place", "whole", "first", "last")).select("at", "key", "part", "place", "whole", "first", "last"), "places")
     cut_up = pieces.filter("not whole").select("at", "key", "part", "place")
