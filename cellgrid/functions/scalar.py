@@ -214,18 +214,21 @@ def trim_adapter(seq: C, adapter: str, overlap: int = 5, rounds: int = 4) -> Col
 
 
 def quality_cut(qual: C, cutoff: int = 20) -> Column:
-    """How many bases stay when the 3' end is trimmed where the sum of (cutoff - quality) from the end is largest."""
-    q = _c(qual)
-    codes = F.transform(F.sequence(F.length(q), F.lit(1), F.lit(-1)), lambda i: F.struct(i.alias("i"), (F.ascii(F.substring(q, i, F.lit(1))) - 33).alias("q")))
-    zero = F.struct(F.lit(0).alias("sum"), F.lit(0).alias("best"), F.length(q).alias("keep"), F.lit(False).alias("done"))
+    """How many bases stay when the 3' end is trimmed where the sum of (cutoff - quality) from the end is largest.
+
+    The codes are made once and folded from the end, so the work grows with the length. Of equal sums the longer read
+    stays; an empty read keeps 0 bases, a null one null.
+    """
+    codes = F.reverse(F.regexp_extract_all(_c(qual), F.lit("(?s)."), F.lit(0)))
+    zero = F.struct(F.lit(0).alias("sum"), F.lit(0).alias("best"), F.lit(0).alias("cut"), F.lit(0).alias("i"), F.lit(False).alias("done"))
 
     def step(a, x):
-        s = a["sum"] + cutoff - x["q"]
+        s, i = a["sum"] + cutoff - (F.ascii(x) - 33), a["i"] + 1
         done = a["done"] | (s < 0)
         better = ~done & (s > a["best"])
-        return F.struct(s.alias("sum"), F.when(better, s).otherwise(a["best"]).alias("best"), F.when(better, x["i"] - 1).otherwise(a["keep"]).alias("keep"), done.alias("done"))
+        return F.struct(s.alias("sum"), F.when(better, s).otherwise(a["best"]).alias("best"), F.when(better, i).otherwise(a["cut"]).alias("cut"), i.alias("i"), done.alias("done"))
 
-    return F.when(F.length(q) == 0, 0).otherwise(F.aggregate(codes, zero, step, lambda a: a["keep"]))
+    return F.aggregate(codes, zero, step, lambda a: a["i"] - a["cut"])
 
 
 # F23-F25

@@ -141,9 +141,9 @@ def beads_of_reads(reads: DataFrame, pos: int = 0) -> DataFrame:
 
 def read_qc(reads: DataFrame) -> DataFrame:
     """(pos, n, mean_quality, share of each base): per-cycle figures of (seq, qual)."""
-    q = reads.select(F.posexplode(F.regexp_extract_all("seq", F.lit("(.)"), 1)).alias("pos", "base"), "qual")
-    code = F.ascii(F.substring("qual", F.col("pos") + 1, F.lit(1))) - 33
-    return q.groupBy("pos").agg(F.count("*").alias("n"), F.avg(code).alias("mean_quality"), *[F.avg((F.col("base") == b).cast("double")).alias(b) for b in "ACGTN"])
+    each = lambda c: F.regexp_extract_all(c, F.lit("(?s)."), F.lit(0))
+    q = reads.select(F.posexplode(F.arrays_zip(each("seq").alias("base"), each("qual").alias("qual"))).alias("pos", "b")).select("pos", "b.base", (F.ascii("b.qual") - 33).alias("code"))
+    return q.groupBy("pos").agg(F.count("*").alias("n"), F.avg("code").alias("mean_quality"), *[F.avg((F.col("base") == b).cast("double")).alias(b) for b in "ACGTN"])
 
 
 def mean_cycle_quality(per_cycle: DataFrame) -> DataFrame:

@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .numbering import numbered
+from .numbering import in_ranges, numbered
 
 
 def count_curve(counts: DataFrame, keys: tuple[str, ...] = ("sample",)) -> DataFrame:
@@ -102,21 +102,38 @@ def cells_atac(ranked: DataFrame, methods: list[DataFrame], override: int | None
 
 
 def thin_curve(curve: DataFrame, x: str, y: str, n: int, keys: tuple[str, ...] = ("sample",)) -> DataFrame:
-    """About n points of a curve, even along its length, with the first and the last (W18). Points at one x count once."""
-    w = Window.partitionBy(*keys).orderBy(x)
-    span = curve.groupBy(*keys).agg(*[F.greatest(F.max(c) - F.min(c), F.lit(1e-12)).alias(f"_s{i}") for i, c in enumerate((x, y))])
-    c = curve.join(F.broadcast(span), [*keys])
-    part = F.sqrt(F.pow((F.col(x) - F.lag(x).over(w)) / F.col("_s0"), 2) + F.pow((F.col(y) - F.lag(y).over(w)) / F.col("_s1"), 2))
-    c = c.withColumn("_part", F.coalesce(part, F.lit(0.0))).withColumn("_at", F.sum("_part").over(w))
-    ends = Window.partitionBy(*keys)
-    c = c.withColumn("_bucket", F.floor(F.col("_at") / (F.max("_at").over(ends) / n))).withColumn("_last", F.col(x) == F.max(x).over(ends))
-    first = F.row_number().over(Window.partitionBy(*keys, "_bucket").orderBy(x)) == 1
-    return c.withColumn("_first", first).filter("_first or _last").select(*curve.columns)
+    """About n points of a curve, even along its length, with the first and those of the last x.
+
+    Points are taken in order of x and y, in sorted ranges: a range starts from the last point and the length of the ranges
+    before it, so a sample is many tasks. Lengths are measured with x and y scaled to their spans, and rounded to 9 digits
+    of the total, so that how points are dealt to ranges can't matter. Points with a null x or y are left out.
+    """
+    fine = curve.dropna(subset=[*keys, x, y])
+    span = fine.groupBy(*keys).agg(*[F.greatest(F.max(c) - F.min(c), F.lit(1e-12)).alias(f"_s{i}") for i, c in enumerate((x, y))], F.max(x).alias("_end"))
+    at = in_ranges(fine, [*keys, x, y], "_part")
+    w, by_part = Window.partitionBy(*keys, "_part").orderBy(x, y), Window.partitionBy(*keys).orderBy("_part")
+    point = F.struct(x, y)
+    length = lambda a: F.sqrt(F.pow((F.col(x) - a[x]) / F.col("_s0"), 2) + F.pow((F.col(y) - a[y]) / F.col("_s1"), 2))
+    edge = at.groupBy(*keys, "_part").agg(F.max(point).alias("_tail")).select(*keys, "_part", F.lag("_tail").over(by_part).alias("_from"))  # a row a range
+    parts = at.join(edge, [*keys, "_part"]).join(span, [*keys]).withColumn("_step", F.coalesce(length(F.coalesce(F.lag(point).over(w), F.col("_from"))), F.lit(0.0)))
+    sums = parts.groupBy(*keys, "_part").agg(F.sum("_step").alias("_sum"))
+    before = F.coalesce(F.sum("_sum").over(by_part.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0.0))
+    starts = sums.select(*keys, "_part", before.alias("_before"))
+    total = sums.groupBy(*keys).agg(F.sum("_sum").alias("_total"))
+    along = F.col("_before") + F.sum("_step").over(w.rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    share = F.round(along / F.when(F.col("_total") > 0, F.col("_total")).otherwise(1.0), 9)
+    placed = parts.join(starts, [*keys, "_part"]).join(total, [*keys]).withColumn("_bucket", F.floor(share * n))
+    # the first point of a bucket: of a bucket over several ranges, the one of the first range
+    row = F.row_number().over(Window.partitionBy(*keys, "_part", "_bucket").orderBy(x, y))
+    firsts = placed.groupBy(*keys, "_bucket").agg(F.min("_part").alias("_first"))
+    chosen = placed.withColumn("_row", row).filter((F.col("_row") == 1) | (F.col(x) == F.col("_end"))).join(firsts, [*keys, "_bucket"])
+    return chosen.filter((F.col(x) == F.col("_end")) | (F.col("_part") == F.col("_first"))).select(*curve.columns)
 
 
 def subsample(reads: DataFrame, fraction: float, name: str = "name") -> DataFrame:
-    """Reads by a hash of their name, so mates stay together."""
-    return reads.filter(F.pmod(F.crc32(F.col(name).cast("binary")), F.lit(1_000_000)) < int(fraction * 1_000_000))
+    """Reads by a digest of their name, so mates stay together (W22). A read without a name is left out."""
+    part = F.conv(F.substring(F.md5(F.col(name).cast("binary")), 1, 8), 16, 10).cast("long")
+    return reads.filter(part % 1_000_000 < int(fraction * 1_000_000))
 
 
 def top_k(df: DataFrame, keys: list[str], order: list, k: int) -> DataFrame:

@@ -2,17 +2,15 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
-import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import scalar as S
-from .graph import connected_components
+from .graph import checkpoint, connected_components
 from .numbering import numbered
 
 EDGE = ["bead1", "umi1", "bead2", "umi2"]
+_GAP, _BLANK = "\x01", "\x02"
 
 
 def canonical(edges: DataFrame) -> DataFrame:
@@ -47,45 +45,62 @@ def unmerged_beads(beads: DataFrame, barcode_map: DataFrame) -> DataFrame:
     return beads.select("bead").distinct().join(barcode_map.select("bead"), "bead", "left_anti")
 
 
-def _cluster(batches: Iterator[pd.DataFrame], threshold: int) -> Iterator[pd.DataFrame]:
-    """Directional clusters of one bead pair's UMI pairs: a takes b if they differ in at most threshold places and
-    n_a >= 2 n_b - 1, from the commonest down, as the published rule has it."""
-    for pdf in batches:
-        rows = []
-        for bead1, bead2, items in pdf.itertuples(index=False):
-            items = sorted(((-x["n"], x["umi1"], x["umi2"]) for x in items))
-            taken: set[int] = set()
-            for i, (n, a1, a2) in enumerate(items):
-                if i in taken:
-                    continue
-                taken.add(i)
-                todo = [i]
-                rows.append((bead1, a1, bead2, a2, a1, a2, -n))
-                while todo:
-                    k = todo.pop()
-                    for j in range(len(items)):
-                        m, b1, b2 = items[j]
-                        near = len(items[k][1]) == len(b1) and len(items[k][2]) == len(b2) and sum(x != y for x, y in zip(items[k][1] + items[k][2], b1 + b2, strict=True)) <= threshold
-                        if j not in taken and near and -items[k][0] >= 2 * -m - 1:
-                            taken.add(j)
-                            todo.append(j)
-                            rows.append((bead1, b1, bead2, b2, a1, a2, -m))
-        yield pd.DataFrame(rows, columns=[*EDGE, "to1", "to2", "n"])
+def _masked(umis: Column, places: int) -> Column:
+    """The pair of UMIs with so many places left blank, in all ways."""
+    blank = lambda s: F.transform(F.filter(F.sequence(F.lit(1), F.length(s)), lambda i: ~F.substring(s, i, F.lit(1)).isin(_GAP, _BLANK)), lambda i: F.overlay(s, F.lit(_BLANK), i, F.lit(1)))
+    out = F.array(umis)
+    for _ in range(places):
+        out = F.array_distinct(F.flatten(F.transform(out, lambda s: F.when(F.size(blank(s)) > 0, blank(s)).otherwise(F.array(s)))))
+    return out
+
+
+def umi_links(counts: DataFrame, threshold: int = 1) -> DataFrame:
+    """(a, b): UMI pairs of one bead pair that differ in at most ``threshold`` places, of equal lengths, where n_a >= 2 n_b - 1.
+    counts: (node, n), node a struct with bead1, bead2, umi1 and umi2.
+
+    Pairs that differ in few places are equal with these places left blank, so they meet in one key. A key holds no more
+    pairs than the alphabet has letters (to the power of the threshold), and a bead pair is spread over its keys.
+    """
+    n = F.col("node")
+    umis = F.concat(n["umi1"], F.lit(_GAP), n["umi2"])
+    keyed = counts.select("node", "n", F.explode(_masked(umis, threshold)).alias("key"))
+    met = keyed.groupBy(n["bead1"].alias("bead1"), n["bead2"].alias("bead2"), "key").agg(F.collect_list(F.struct("node", "n")).alias("met")).filter(F.size("met") > 1)
+    both = met.select("met", F.explode("met").alias("a")).select("a", F.explode("met").alias("b"))
+    links = both.filter((F.col("a.node") != F.col("b.node")) & (F.col("a.n") >= 2 * F.col("b.n") - 1)).select(F.col("a.node").alias("a"), F.col("b.node").alias("b"), F.col("a.n").alias("na"), F.col("b.n").alias("nb"))
+    return links if threshold == 1 else links.distinct()
 
 
 def correct_edge_umis(edges: DataFrame, threshold: int = 1) -> DataFrame:
     """(bead1, umi1, bead2, umi2, n, corrected): UMI pairs after directional correction, n edges each.
 
-    Bead pairs with a single UMI pair bypass Python; the others travel as one row per pair, with distinct UMI pairs.
+    From the commonest down, a UMI pair takes what it reaches by links and nobody has taken; of equal counts the first by
+    UMIs goes first. So each belongs to the first of all that reach it, which rounds of joins find: counts fall by half
+    along a link unless both are 1, and UMI pairs of count 1 are put together as components. Null beads and UMIs count as
+    values that differ from all others; an empty table gives an empty table.
     """
     n = canonical(edges).groupBy(*EDGE).agg(F.count("*").alias("n"))
-    pairs = n.groupBy("bead1", "bead2").agg(F.collect_list(F.struct("umi1", "umi2", "n")).alias("items"))
-    one = pairs.filter(F.size("items") == 1).select("bead1", F.col("items")[0]["umi1"].alias("umi1"), "bead2", F.col("items")[0]["umi2"].alias("umi2"), F.col("items")[0]["n"].alias("n"), F.lit(0).cast("long").alias("moved"))
-    t = edges.schema["bead1"].dataType.simpleString()
-    many = pairs.filter(F.size("items") > 1).mapInPandas(lambda it: _cluster(it, threshold), f"bead1 {t}, umi1 string, bead2 {t}, umi2 string, to1 string, to2 string, n long")
-    moved = (F.col("umi1") != F.col("to1")) | (F.col("umi2") != F.col("to2"))
-    many = many.select("bead1", F.col("to1").alias("umi1"), "bead2", F.col("to2").alias("umi2"), "n", F.when(moved, F.col("n")).otherwise(0).alias("moved"))
-    return one.unionByName(many).groupBy(*EDGE).agg(F.sum("n").alias("n"), F.sum("moved").alias("corrected"))
+    # in order of nodes the commoner comes first
+    node = F.struct("bead1", "bead2", (-F.col("n")).alias("less"), "umi1", "umi2").alias("node")
+    links = checkpoint(umi_links(n.dropna(subset=EDGE).select(node, "n"), threshold))
+    ones = connected_components(links.filter("na = 1 and nb = 1").select("a", "b"))
+    rare = links.filter("nb = 1 and na > 1").join(ones.select(F.col("node").alias("b"), "component"), "b", "left").select("a", F.coalesce("component", "b").alias("b"))
+    common = links.filter("nb > 1").select("a", "b")
+    first, was = checkpoint(common.select(F.col("b").alias("node")).union(links.filter("na > 1").select("a")).distinct().select("node", F.col("node").alias("to"))), None
+    while True:
+        told = common.join(first, F.col("a") == F.col("node")).select(F.col("b").alias("node"), "to")
+        first = checkpoint(first.union(told).groupBy("node").agg(F.min("to").alias("to")))
+        mark = first.agg(F.sum(F.xxhash64("node", "to").cast("decimal(38,0)"))).first()[0]
+        if mark == was:
+            break
+        was = mark
+    reached = rare.join(first, F.col("a") == F.col("node")).groupBy("b").agg(F.min("to").alias("to"))
+    # a pair of count 1: by its component, or alone
+    alone = reached.join(ones, F.col("b") == F.col("node"), "left").select(F.coalesce("node", "b").alias("node"), "to")
+    members = ones.join(reached.select(F.col("b").alias("component"), "to"), "component", "left").select("node", F.coalesce("to", "component").alias("to"))
+    found = members.union(alone.join(members.select("node"), "node", "left_anti")).union(first)
+    done = n.select(*EDGE, "n", node).join(found, "node", "left").withColumn("to", F.coalesce("to", "node"))
+    moved = F.when(F.col("node") != F.col("to"), F.col("n")).otherwise(0)
+    return done.groupBy("bead1", F.col("to.umi1").alias("umi1"), "bead2", F.col("to.umi2").alias("umi2")).agg(F.sum("n").alias("n"), F.sum(moved).alias("corrected")).select(*EDGE, "n", "corrected")
 
 
 def merge_beads(edges: DataFrame, least: int = 3) -> DataFrame:

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import math
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -11,6 +13,9 @@ from ..functions import scalar as S
 from .graph import connected_components, first_independent_set
 from .numbering import numbered
 
+#: Beads of a site that meet in one join key, at most twice as many.
+BLOCK = 1024
+
 
 def nc_filter(frags: DataFrame, most: int = 6) -> DataFrame:
     """Rows of fragments (chr, start, stop) that occur at most so often (G3); n_rows has how often.
@@ -31,14 +36,26 @@ def sites(frags: DataFrame, method: str = "both", digits: int = 0) -> DataFrame:
     return frags.select("chr", "bead", F.explode(S.cut_sites("start", "stop", method)).alias("s")).select("chr", F.col("s.side").alias("side"), S.round_site("s.pos", digits).alias("pos"), "bead")
 
 
-def site_pairs(at: DataFrame) -> DataFrame:
+def site_pairs(at: DataFrame, block: int = BLOCK) -> DataFrame:
     """(b1, b2, n): how often rows of two beads meet at a site, b1 > b2.
 
-    Rows are first counted by site and bead, so a pair comes once per site, with the product of its counts.
+    Rows are first counted by site and bead, so a pair comes once per site, with the product of its counts. The beads of a
+    site with more than ``block`` of them are dealt to blocks, and each pair of blocks is a join key of its own: no key
+    holds more than two blocks, whatever a site holds. Rows with a null bead meet nothing.
     """
-    n = at.groupBy("chr", "side", "pos", "bead").agg(F.count("*").alias("k"))
-    a, b = n.withColumnsRenamed({"bead": "b1", "k": "k1"}), n.withColumnsRenamed({"bead": "b2", "k": "k2"})
-    return a.join(b, ["chr", "side", "pos"]).filter("b1 > b2").select("b1", "b2", (F.col("k1") * F.col("k2")).alias("n"))
+    site = ["chr", "side", "pos"]
+    n = at.filter("bead is not null").groupBy(*site, "bead").agg(F.count("*").alias("k"))
+    # hot sites are looked up by several keys each, so that the look-up is no hot key itself
+    salts = 16
+    salt = lambda: F.pmod(F.xxhash64("bead", F.lit(1)), F.lit(salts)).cast("int").alias("_salt")
+    hot = n.groupBy(*site).agg(F.count("*").alias("_beads")).filter(F.col("_beads") > block)
+    hot = hot.select(*site, F.ceil(F.col("_beads") / block).cast("int").alias("_m"), F.explode(F.sequence(F.lit(0), F.lit(salts - 1))).alias("_salt"))
+    dealt = n.select("*", salt()).join(hot, [*site, "_salt"], "left").withColumn("_m", F.coalesce("_m", F.lit(1)))
+    dealt = dealt.withColumn("_g", F.pmod(F.xxhash64("bead"), F.col("_m")).cast("int"))
+    a = dealt.select(*site, F.col("_g").alias("_i"), F.explode(F.sequence(F.col("_g"), F.col("_m") - 1)).alias("_j"), F.col("bead").alias("x1"), F.col("k").alias("k1"))
+    b = dealt.select(*site, F.explode(F.sequence(F.lit(0), F.col("_g"))).alias("_i"), F.col("_g").alias("_j"), F.col("bead").alias("x2"), F.col("k").alias("k2"))
+    pairs = a.join(b, [*site, "_i", "_j"]).filter((F.col("_i") < F.col("_j")) | (F.col("x1") > F.col("x2")))
+    return pairs.select(F.greatest("x1", "x2").alias("b1"), F.least("x1", "x2").alias("b2"), (F.col("k1") * F.col("k2")).alias("n"))
 
 
 def pair_counts(pairs: DataFrame, least: int = 4) -> DataFrame:
@@ -75,19 +92,28 @@ def mode(df: DataFrame, x: str) -> DataFrame:
 def density(df: DataFrame, x: str, bandwidth: float = 0.1, points: int = 10_000) -> DataFrame:
     """(i, x, density): a Gaussian kernel density of log10 x on an even grid from minimum to maximum.
 
-    Values are first counted in cells of a 50th of the bandwidth; a cell adds to the grid points within five bandwidths.
+    Values are counted at the two grid points beside them, in shares by distance; that is the part that grows with the
+    table. What is convolved with the kernel, cut at five bandwidths, has a row a grid point at most. Values that are null or
+    not above 0 are left out; an empty table gives no grid, and a single value a grid of one point.
     """
     v = df.filter(F.col(x) > 0).select(F.log10(x).alias("v"))
-    cell = bandwidth / 50
-    span = v.agg(F.min("v").alias("lo"), F.max("v").alias("hi"), F.count("*").alias("n"))
-    counted = v.groupBy(F.round(F.col("v") / cell).alias("c")).agg(F.count("*").alias("k")).crossJoin(F.broadcast(span))  # one row
-    step = F.when(F.col("hi") > F.col("lo"), (F.col("hi") - F.col("lo")) / (points - 1)).otherwise(1.0)
-    c = counted.withColumn("at", F.col("c") * cell).withColumn("step", step)
-    lo = F.greatest(F.lit(0), F.ceil((F.col("at") - 5 * bandwidth - F.col("lo")) / F.col("step")))
-    hi = F.least(F.lit(points - 1), F.floor((F.col("at") + 5 * bandwidth - F.col("lo")) / F.col("step")))
-    g = c.withColumn("i", F.explode(F.sequence(lo.cast("int"), F.greatest(hi, lo).cast("int")))).withColumn("x", F.col("lo") + F.col("i") * F.col("step"))
-    z = (F.col("x") - F.col("at")) / bandwidth
-    return g.groupBy("i").agg(F.min("x").alias("x"), (F.sum(F.col("k") * F.exp(-z * z / 2)) / F.max("n") / (bandwidth * math.sqrt(2 * math.pi))).alias("density"))
+    span = v.agg(F.min("v").alias("lo"), F.max("v").alias("hi"), F.count("*").alias("n")).filter("n > 0").select("lo", "n", ((F.col("hi") - F.col("lo")) / (points - 1)).alias("step"))
+    place = F.when(F.col("step") > 0, (F.col("v") - F.col("lo")) / F.col("step")).otherwise(0.0)
+    beside = v.crossJoin(F.broadcast(span)).select(place.alias("p"), "lo", "n", "step").select("lo", "n", "step", F.least(F.floor("p"), F.lit(points - 1)).alias("c"), (F.col("p") - F.floor("p")).alias("f"))  # one row
+    counted = beside.groupBy("lo", "n", "step", "c").agg(F.sum(1 - F.col("f")).alias("here"), F.sum("f").alias("next"))
+
+    def convolved(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
+        lo, n, step = key
+        size = points if step > 0 else 1
+        k, c = np.zeros(size + 1), pdf["c"].to_numpy()
+        np.add.at(k, c, pdf["here"].to_numpy())
+        np.add.at(k, c + 1, pdf["next"].to_numpy())
+        reach = min(size, math.ceil(5 * bandwidth / step)) if step > 0 else 0
+        z = np.arange(-reach, reach + 1) * step / bandwidth
+        total = np.convolve(k, np.where(np.abs(z) <= 5, np.exp(-z * z / 2), 0))[reach : reach + size]
+        return pd.DataFrame({"i": np.arange(size, dtype=np.int32), "x": lo + np.arange(size) * step, "density": total / n / (bandwidth * math.sqrt(2 * math.pi))})
+
+    return counted.groupBy("lo", "n", "step").applyInPandas(convolved, "i int, x double, density double")
 
 
 def density_threshold(grid: DataFrame, spread: float = 0.5, skip: float = 0.2, low: float = 1e-6, high: float = 0.5, fallback: float = 0.005) -> DataFrame:

@@ -1,7 +1,9 @@
 """Interval operators. Intervals are half open, [start, stop), unless ``closed`` is asked for.
 
-Spark has no range join of its own: both sides are dealt to bins, joined on contig and bin, and a pair counts only in the
-first bin that both touch, so no pair comes twice and no distinct is needed. A hot bin is a skewed equi-join key, which
+Spark has no range join of its own. Here an interval has a level by its length: bins of a level are at least as wide as its
+intervals, so each touches two of them at most. An interval is placed in the bins of its own level, and sought by shorter ones
+in their bins of that level; how many rows it becomes depends on the number of levels, not on its length. A pair counts only
+in the first bin that both touch, so no pair comes twice and no distinct is needed. A hot bin is a skewed equi-join key, which
 adaptive execution splits.
 """
 
@@ -10,26 +12,54 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from .graph import checkpoint
 from .numbering import in_ranges
 
+#: Bins of a level are so many times as wide as those of the level below.
+FACTOR = 8
 
-def _binned(df: DataFrame, size: int, closed: bool) -> DataFrame:
+
+def _levelled(df: DataFrame, size: int, closed: bool) -> DataFrame:
+    """df with the last base of each interval and its level: the first whose bins are as wide as the interval."""
     last = F.col("stop") if closed else F.greatest(F.col("stop") - 1, F.col("start"))
-    first = F.floor(F.col("start") / size)
-    return df.withColumn("_first", first).withColumn("_bin", F.explode(F.sequence(first, F.floor(last / size))))
+    level = F.greatest(F.ceil(F.log(float(FACTOR), (last - F.col("start") + 1) / size)), F.lit(0)).cast("int")
+    return df.withColumn("_last", last).withColumn("_level", F.coalesce(level, F.lit(0)))
+
+
+def _placed(df: DataFrame, others: DataFrame, size: int, longer: bool) -> DataFrame:
+    """A row of df for each bin in which it can meet a row of others (both levelled): at its own level the others of lower
+    levels, and at each higher level of others those of that level. Rows of one level meet on one of the two sides only:
+    where ``longer`` is set, the others'."""
+    levels = F.broadcast(others.agg(F.sort_array(F.collect_set("_level")).alias("_levels")))  # one row, of some 20 levels at most
+    higher = F.filter("_levels", lambda x: (x >= F.col("_level")) if longer else (x > F.col("_level")))
+    own = F.exists("_levels", lambda x: (x < F.col("_level")) if longer else (x <= F.col("_level")))
+    # the side whose rows are placed at their own level: of a pair the longer one, and of equals the others
+    ways = F.concat(F.transform(higher, lambda x: F.struct(F.lit(longer).alias("by"), x.alias("at"))), F.when(own, F.array(F.struct(F.lit(not longer).alias("by"), F.col("_level").alias("at")))).otherwise(F.array()))
+
+    def bins(way: Column) -> Column:
+        width = F.pow(F.lit(float(FACTOR)), way["at"]).cast("long") * size
+        first = F.floor(F.col("start") / width)
+        return F.transform(F.sequence(first, F.floor(F.col("_last") / width)), lambda b: F.struct(way["by"].alias("by"), way["at"].alias("at"), first.alias("first"), b.alias("bin")))
+
+    spread = df.crossJoin(levels).withColumn("_p", F.explode(F.flatten(F.transform(ways, bins))))
+    return spread.select("*", *[F.col(f"_p.{c}").alias(f"_{c}") for c in ("by", "at", "first", "bin")]).drop("_levels", "_p", "_last", "_level")
 
 
 def overlap_join(left: DataFrame, right: DataFrame, bin_size: int = 1000, closed: bool = False, ends_only: bool = False, keys: tuple[str, ...] = ("chr",)) -> DataFrame:
     """Pairs of overlapping intervals (J9). Columns of right get the prefix r_; keys stay once.
 
-    ends_only (J10) asks that an end of the left interval lies inside the right one.
+    ends_only (J10) asks that an end of the left interval lies inside the right one. Rows with a null key, start or stop
+    meet nothing; repeated rows meet each time; an empty side gives an empty table.
     """
-    a = _binned(left, bin_size, closed)
-    b = _binned(right, bin_size, closed).select(*keys, *[F.col(c).alias(f"r_{c}") for c in right.columns if c not in keys], F.col("_first").alias("_rfirst"), "_bin")
+    fine = " and ".join(f"{c} is not null" for c in (*keys, "start", "stop"))
+    a, b = (_levelled(df.filter(fine), bin_size, closed) for df in (left, right))
+    pa = _placed(a, b, bin_size, True).withColumnRenamed("_first", "_lfirst")
+    pb = _placed(b, a, bin_size, False)
+    pb = pb.select(*keys, *[F.col(c).alias(f"r_{c}") for c in right.columns if c not in keys], F.col("_first").alias("_rfirst"), "_by", "_at", "_bin")
     meets = (F.col("start") <= F.col("r_stop")) & (F.col("r_start") <= F.col("stop")) if closed else (F.col("start") < F.col("r_stop")) & (F.col("r_start") < F.col("stop"))
     if ends_only:
         meets &= (F.col("start") >= F.col("r_start")) | (F.col("stop") <= F.col("r_stop"))
-    return a.join(b, [*keys, "_bin"]).filter(meets & (F.col("_bin") == F.greatest("_first", "_rfirst"))).drop("_bin", "_first", "_rfirst")
+    return pa.join(pb, [*keys, "_by", "_at", "_bin"]).filter(meets & (F.col("_bin") == F.greatest("_lfirst", "_rfirst"))).drop("_by", "_at", "_bin", "_lfirst", "_rfirst")
 
 
 def touching(left: DataFrame, right: DataFrame, **how) -> DataFrame:
@@ -40,7 +70,10 @@ def touching(left: DataFrame, right: DataFrame, **how) -> DataFrame:
 
 def drop_blocklisted(frags: DataFrame, blocklist: DataFrame, name: str = "read_name", **how) -> DataFrame:
     """Fragments whose read name touches no blocked interval anywhere."""
-    return frags.join(touching(frags, blocklist, **how).select(name).distinct(), name, "left_anti").select(*frags.columns)
+    keys = how.get("keys", ("chr",))
+    ends = frags.select(*dict.fromkeys([*keys, "start", "stop", name]))  # names are made distinct, not whole rows
+    hit = overlap_join(ends, blocklist.select(*keys, "start", "stop"), **how).select(name).distinct()
+    return frags.join(hit, name, "left_anti").select(*frags.columns)
 
 
 def assign_features(reads: DataFrame, features: DataFrame, min_share: float = 0.8, stranded: bool = True, bin_size: int = 1000) -> DataFrame:
@@ -103,23 +136,30 @@ def slop(df: DataFrame, half: int, sizes: DataFrame, full_only: bool = True) ->
     return w.select("chr", "start", "stop", *[c for c in df.columns if c not in ("chr", "pos")]).distinct()
 
 
-def clean_peaks(summits: DataFrame, blocklist: DataFrame, sizes: DataFrame, half: int = 125, min_score: float = 2.0, n: int | None = None, drop_contigs: tuple[str, ...] = ("chrY", "chrM", "MT"), save=lambda df, i: df.checkpoint()) -> DataFrame:
+def clean_peaks(summits: DataFrame, blocklist: DataFrame, sizes: DataFrame, half: int = 125, min_score: float = 2.0, n: int | None = None, drop_contigs: tuple[str, ...] = ("chrY", "chrM", "MT"), save=checkpoint) -> DataFrame:
     """Fixed-width peaks around summits (chr, pos, name, score) that overlap neither a blocked interval nor a better peak.
 
     Rounds go on until no neighbours overlap: in each, a peak that overlaps a better neighbour goes; of equal scores the
-    later one goes (W12). min_score is -log10 of the allowed false discovery rate.
+    later one goes, in order of starts and names (W12). min_score is -log10 of the allowed false discovery rate. Peaks are
+    dealt to sorted ranges once; a range's first and last peak see those of the ranges beside it. A summit with a null
+    position or score is left out; an empty table gives an empty table. save(df, round) cuts the lineage of a round.
     """
-    w = Window.partitionBy("chr").orderBy("start", "name")
+    w, by_part = Window.partitionBy("chr", "_part").orderBy("start", "name"), Window.partitionBy("chr").orderBy("_part")
     p = summits.filter((F.col("score") >= min_score) & ~F.col("chr").isin(*drop_contigs)).join(sizes, "chr")
     p = p.withColumn("start", F.col("pos") - half).withColumn("stop", F.col("pos") + half).filter("start >= 0 and stop <= length").select("chr", "start", "stop", "name", "score")
-    p = save(drop_blocklisted(p, blocklist, name="name"), 0)
-    for i in range(1, 1000):
-        before, after = F.lag(F.struct("stop", "score")).over(w), F.lead(F.struct("start", "score")).over(w)
+    p = in_ranges(drop_blocklisted(p, blocklist, name="name"), ["chr", "start", "name"], "_part")
+    for i in range(1, 1 << 20):
+        row, key = F.struct("start", "stop", "score"), F.struct("start", "name")
+        edges = p.groupBy("chr", "_part").agg(F.min_by(row, key).alias("_head"), F.max_by(row, key).alias("_tail"))  # a row a range
+        edges = edges.select("chr", "_part", F.lag("_tail").over(by_part).alias("_prev"), F.lead("_head").over(by_part).alias("_next"))
+        at = p.join(edges, ["chr", "_part"])
+        before, after = F.coalesce(F.lag(row).over(w), F.col("_prev")), F.coalesce(F.lead(row).over(w), F.col("_next"))
         worse = ((before["stop"] > F.col("start")) & (before["score"] >= F.col("score"))) | ((after["start"] < F.col("stop")) & (after["score"] > F.col("score")))
-        kept = save(p.withColumn("_worse", F.coalesce(worse, F.lit(False))), i)
-        p = kept.filter("not _worse").drop("_worse")
-        if kept.filter("_worse").isEmpty():
+        judged = save(at.select(*p.columns, F.coalesce(worse, F.lit(False)).alias("_worse")), i)
+        p = judged.filter("not _worse").drop("_worse")
+        if judged.filter("_worse").isEmpty():
             break
+    p = p.drop("_part")
     return p.orderBy(F.desc("score"), "chr", "start").limit(n) if n else p
 
 

@@ -132,11 +132,11 @@ METRICS = """metrics_long AS (SELECT (user_id % 20)::VARCHAR AS sample, event_ty
 
 
 def doc_reads(spark, d) -> DataFrame:
-    """Reads with a packed name: plate and bead, UMI, number; letters of texts as bases."""
+    """Reads with a packed name: plate and bead, UMI, number; letters of texts as bases. Qualities are 40, 31, 20 and 10 by base."""
     t = F.upper(F.regexp_replace("text", "[^a-zA-Z]", ""))
     seq = F.translate(F.translate(t, "BDEFHIJKLM", "ACGTACGTAC"), "NOPQRSUVWXYZ", "GTACGTACGTAC")
-    return table(spark, d, "documents").select(F.lower("source").alias("sample"), F.concat_ws("_", F.concat(F.lit("BEAD"), F.lpad((F.col("doc_id") % 23).cast("string"), 4, "0")), F.col("lang"), F.col("doc_id").cast("string")).alias("name"), seq.alias("seq"), F.regexp_replace(seq, "[ACGT]", "I").alias("qual"))
+    return table(spark, d, "documents").select(F.lower("source").alias("sample"), F.concat_ws("_", F.concat(F.lit("BEAD"), F.lpad((F.col("doc_id") % 23).cast("string"), 4, "0")), F.col("lang"), F.col("doc_id").cast("string")).alias("name"), seq.alias("seq"), F.translate(seq, "ACGT", "I@5+").alias("qual"))
 
 
-DOC_READS = """doc_reads AS (SELECT lower(source) AS sample, 'BEAD' || lpad((doc_id % 23)::VARCHAR, 4, '0') || '_' || lang || '_' || doc_id AS name, seq, regexp_replace(seq, '[ACGT]', 'I', 'g') AS qual
+DOC_READS = """doc_reads AS (SELECT lower(source) AS sample, 'BEAD' || lpad((doc_id % 23)::VARCHAR, 4, '0') || '_' || lang || '_' || doc_id AS name, seq, translate(seq, 'ACGT', 'I@5+') AS qual
   FROM (SELECT *, translate(translate(upper(regexp_replace(text, '[^a-zA-Z]', '', 'g')), 'BDEFHIJKLM', 'ACGTACGTAC'), 'NOPQRSUVWXYZ', 'GTACGTACGTAC') AS seq FROM documents))"""

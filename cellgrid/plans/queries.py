@@ -95,12 +95,13 @@ def deconvolution_metrics(spark, d):
 
 @query()
 def jaccard_density(spark, d):
-    return merge_atac.density(merge_atac.bead_pair_jaccard(A.frag(spark, d)), "jaccard_frag", points=1000)
+    return merge_atac.density(merge_atac.bead_pair_jaccard(A.frag(spark, d)), "jaccard_frag")
 
 
 @query()
 def density_threshold(spark, d):
-    return merge_atac.density_threshold(jaccard_density(spark, d))
+    t = merge_atac.density_threshold(jaccard_density(spark, d))
+    return t.select(F.round("raw", 9).alias("raw"), F.round("safe", 9).alias("safe"))
 
 
 @query(f"WITH {A.FRAG} SELECT DISTINCT bead, bead AS droplet, 1::BIGINT AS n_beads FROM frag")
@@ -588,10 +589,10 @@ def beads_of_reads(spark, d):
     return atac.beads_of_reads(A.doc_reads(spark, d))
 
 
-_CYCLE = f"WITH {A.DOC_READS}, x AS (SELECT unnest(string_split(seq, '')) AS base, unnest(range(length(seq))) AS pos FROM doc_reads WHERE seq <> '')"
+_CYCLE = f"WITH {A.DOC_READS}, x AS (SELECT unnest(string_split(seq, '')) AS base, ascii(unnest(string_split(qual, ''))) - 33 AS code, unnest(range(length(seq))) AS pos FROM doc_reads WHERE seq <> '')"
 
 
-@query(_CYCLE + " SELECT pos::INT AS pos, count(*) AS n, 40.0::DOUBLE AS mean_quality, " + ", ".join(f"avg((base = '{b}')::INT) AS \"{b}\"" for b in "ACGTN") + " FROM x GROUP BY pos")
+@query(_CYCLE + " SELECT pos::INT AS pos, count(*) AS n, avg(code) AS mean_quality, " + ", ".join(f"avg((base = '{b}')::INT) AS \"{b}\"" for b in "ACGTN") + " FROM x GROUP BY pos")
 def read_qc(spark, d):
     return atac.read_qc(A.doc_reads(spark, d).filter("seq <> ''"))
 

@@ -44,7 +44,8 @@ def annotate_cell(spark, d):
     return atac.annotate_cell(A.frag(spark, d), _beads(spark, d)).select("chr", "start", "stop", "bead", "support", "cell")
 
 
-@query(f"WITH {A.PAIRS}, {_BEADS} SELECT name, flag, cell FROM pairs JOIN b USING (bead) WHERE name IN (SELECT name FROM pairs WHERE mapq >= 40)")
+@query(f"""WITH {A.PAIRS}, {_BEADS}, good AS MATERIALIZED (SELECT DISTINCT name AS good_name FROM pairs WHERE mapq >= 40), hit AS MATERIALIZED (SELECT name, flag, cell FROM pairs JOIN b USING (bead))
+SELECT name, flag, cell FROM hit JOIN good ON name = good_name""")
 def keep_deduped(spark, d):
     p = A.pairs(spark, d)
     return atac.keep_deduped(p, _beads(spark, d), p.filter("mapq >= 40")).select("name", "flag", "cell")
@@ -92,10 +93,9 @@ def debarcode_counts(spark, d):
 # scalar functions
 
 
-@query("""WITH q AS (SELECT doc_id, length(t) AS n, t FROM (SELECT doc_id, upper(regexp_replace(text, '[^a-zA-Z]', '', 'g')) AS t FROM documents)),
-c AS (SELECT doc_id, n, i, sum(56 - (ascii(substr(t, i::INT, 1)) - 33)) OVER (PARTITION BY doc_id ORDER BY i DESC) AS s FROM (SELECT *, unnest(range(1, n + 1)) AS i FROM q)),
-k AS (SELECT *, max((s < 0)::INT) OVER (PARTITION BY doc_id ORDER BY i DESC) AS done FROM c)
-SELECT q.doc_id, coalesce((SELECT arg_max(i - 1, (s, i)) FROM k WHERE k.doc_id = q.doc_id AND done = 0 AND s > 0), n)::INT AS keep FROM q""")
+@query("""WITH q AS (SELECT doc_id, upper(regexp_replace(text, '[^a-zA-Z]', '', 'g')) AS t FROM documents), x AS (SELECT doc_id, length(t) AS n, unnest(range(length(t), 0, -1)) AS i, unnest(list_reverse(string_split(t, ''))) AS c FROM q WHERE t <> ''),
+s AS (SELECT doc_id, n, i, sum(56 - (ascii(c) - 33)) OVER (PARTITION BY doc_id ORDER BY i DESC) AS s FROM x), k AS (SELECT *, min(s) OVER (PARTITION BY doc_id ORDER BY i DESC) AS low FROM s)
+SELECT doc_id, coalesce(arg_max(i - 1, (s, i)) FILTER (low >= 0 AND s > 0), any_value(n))::INT AS keep FROM k GROUP BY doc_id UNION ALL SELECT doc_id, 0 FROM q WHERE t = ''""")
 def quality_cut(spark, d):
     t = F.upper(F.regexp_replace("text", "[^a-zA-Z]", ""))
     return A.table(spark, d, "documents").select("doc_id", S.quality_cut(t, 56).alias("keep"))
@@ -212,16 +212,43 @@ ORACLE_SQL["kneedle_recall"] = Q._RANKED + """, r2 AS (SELECT r.* FROM r JOIN k
 z2 AS (SELECT *, (rank - min(rank) OVER s)::DOUBLE / (max(rank) OVER s - min(rank) OVER s) AS x, (cum_fraction - min(cum_fraction) OVER s) / (max(cum_fraction) OVER s - min(cum_fraction) OVER s) AS y FROM r2 WINDOW s AS (PARTITION BY sample))
 SELECT sample, arg_max(rank, round(y - x, 12) - rank * 1e-15) AS knee FROM z2 GROUP BY sample"""
 
-_JAC = Q._SITES + ", v AS (SELECT log10(jaccard_frag) AS v FROM j WHERE jaccard_frag > 0), m AS (SELECT min(v) AS lo, max(v) AS hi, count(*) AS n FROM v), cells AS (SELECT round(v / 0.002::DOUBLE) * 0.002::DOUBLE AS a, count(*) AS k FROM v GROUP BY 1)"
+_JAC = Q._SITES + """, v AS (SELECT log10(jaccard_frag) AS v FROM j WHERE jaccard_frag > 0), m AS (SELECT min(v) AS lo, max(v) AS hi, count(*) AS n, (max(v) - min(v)) / 9999 AS step FROM v),
+q AS (SELECT (v - lo) / step AS q FROM v, m), w AS (SELECT least(floor(q), 9999)::INT AS c, q - floor(q) AS f FROM q), cells AS (SELECT c, sum(k) AS k FROM (SELECT c, 1 - f AS k FROM w UNION ALL SELECT c + 1, f FROM w) GROUP BY c HAVING sum(k) > 0),
+d AS (SELECT i::INT AS i, any_value(lo + i * step) AS x, sum(k * exp(-((i - c) * step / 0.1::DOUBLE) * ((i - c) * step / 0.1::DOUBLE) / 2)) / any_value(n) / (0.1::DOUBLE * sqrt(2 * pi())) AS density
+  FROM range(10000) t(i), m, cells WHERE abs((i - c) * step / 0.1::DOUBLE) <= 5 GROUP BY i)"""
 
 
-@query(_JAC + """, g AS (SELECT i, lo + i * ((hi - lo) / 999) AS x, n FROM m, range(1000) t(i))
-SELECT i::INT AS i, round(any_value(x), 9) AS x, round(sum(k * exp(-((x - a) / 0.1::DOUBLE) * ((x - a) / 0.1::DOUBLE) / 2)) / any_value(n) / (0.1::DOUBLE * sqrt(2 * pi())), 7) AS density FROM g, cells WHERE abs(x - a) <= 0.5 GROUP BY i""")
+@query(_JAC + " SELECT i, round(x, 9) AS x, round(density, 7) AS density FROM d")
 def jaccard_density_rounded(spark, d):
-    g = merge_atac.density(merge_atac.bead_pair_jaccard(A.frag(spark, d)), "jaccard_frag", points=1000)
+    g = Q.jaccard_density(spark, d)
     return g.select("i", F.round("x", 9).alias("x"), F.round("density", 7).alias("density"))
 
 
+ORACLE_SQL["density_threshold"] = _JAC + """, l AS (SELECT *, lag(density) OVER o AS before, lead(density) OVER o AS after, max(density) OVER () AS peak FROM d WINDOW o AS (ORDER BY i)),
+t AS (SELECT pow(10, arg_max(x, i)) AS raw FROM l WHERE density < before AND density <= after AND i >= 0.2 * 9999 AND density < 0.5 * peak)
+SELECT round(raw, 9) AS raw, round(CASE WHEN raw > 1e-6 AND raw < 0.5 THEN raw ELSE 0.005 END, 9) AS safe FROM t"""
+
+ORACLE_SQL["thin_curve"] = Q._RANKED + """, t AS (SELECT *, max(rank) OVER s AS last, greatest(max(rank) OVER s - min(rank) OVER s, 1e-12) AS s0, greatest(max(cum_fraction) OVER s - min(cum_fraction) OVER s, 1e-12) AS s1 FROM r WINDOW s AS (PARTITION BY sample)),
+g AS (SELECT *, coalesce(sqrt(pow((rank - lag(rank) OVER o) / s0, 2) + pow((cum_fraction - lag(cum_fraction) OVER o) / s1, 2)), 0) AS step FROM t WINDOW o AS (PARTITION BY sample ORDER BY rank, cum_fraction)),
+b AS (SELECT *, floor(round(sum(step) OVER (PARTITION BY sample ORDER BY rank, cum_fraction ROWS UNBOUNDED PRECEDING) / sum(step) OVER (PARTITION BY sample), 9) * 100) AS bucket FROM g)
+SELECT sample, barcode, n, rank, fraction, cum_fraction FROM b QUALIFY rank = last OR row_number() OVER (PARTITION BY sample, bucket ORDER BY rank, cum_fraction) = 1"""
+
+ORACLE_SQL["subsample"] = f"WITH {A.PAIRS} SELECT name, flag FROM pairs WHERE ('0x' || substr(md5(name), 1, 8))::BIGINT % 1000000 < 100000"
+
+ORACLE_SQL["clean_peaks"] = f"""WITH RECURSIVE {A.PEAKS}, {Q.SIZES}, c AS (SELECT chr, (start + stop) // 2 - 125 AS start, (start + stop) // 2 + 125 AS stop, name, score FROM peaks),
+k AS (SELECT c.* FROM c JOIN sizes USING (chr) WHERE score >= 2 AND start >= 0 AND stop <= length AND NOT EXISTS (SELECT 1 FROM peaks p WHERE p.score > 1400 AND p.chr = c.chr AND c.start < p.stop AND p.start + 200 < c.stop)),
+l AS (SELECT chr, list({{'start': start, 'stop': stop, 'name': name, 'score': score}} ORDER BY start, name) AS l FROM k GROUP BY chr UNION ALL
+  SELECT chr, n FROM (SELECT chr, l, list_filter(l, lambda x, i: NOT (coalesce(i > 1 AND l[i - 1].stop > x.start AND l[i - 1].score >= x.score, false) OR coalesce(l[i + 1].start < x.stop AND l[i + 1].score > x.score, false))) AS n FROM l) WHERE len(n) < len(l))
+SELECT chr, x.start AS start, x.stop AS stop, x.name AS name, x.score AS score FROM (SELECT chr, unnest(arg_min(l, len(l))) AS x FROM l GROUP BY chr)"""
+
+ORACLE_SQL["correct_edge_umis"] = f"""WITH RECURSIVE {A.EDGES}, {A.CANON}, u AS (SELECT *, count(*) AS n FROM canon GROUP BY ALL), k AS (SELECT *, row_number() OVER (PARTITION BY bead1, bead2 ORDER BY n DESC, umi1, umi2) AS r FROM u),
+near AS (SELECT a.bead1, a.bead2, a.r AS ra, b.r AS rb, a.umi1 AS a1, b.umi1 AS b1, a.umi2 AS a2, b.umi2 AS b2 FROM k a JOIN k b ON a.bead1 = b.bead1 AND a.bead2 = b.bead2 AND a.r <> b.r AND a.n >= 2 * b.n - 1 AND length(a.umi1) = length(b.umi1) AND length(a.umi2) = length(b.umi2)),
+link AS (SELECT bead1, bead2, ra, rb FROM near WHERE CASE WHEN length(a1) = length(b1) AND length(a2) = length(b2) THEN hamming(a1, b1) + hamming(a2, b2) <= 1 ELSE false END),
+reach AS (SELECT bead1, bead2, rb AS node, ra AS first FROM link UNION SELECT reach.bead1, reach.bead2, rb, first FROM reach JOIN link ON reach.bead1 = link.bead1 AND reach.bead2 = link.bead2 AND node = ra),
+t AS (SELECT k.*, least(coalesce(f.first, r), r) AS head FROM k LEFT JOIN (SELECT bead1, bead2, node, min(first) AS first FROM reach GROUP BY ALL) f ON k.bead1 = f.bead1 AND k.bead2 = f.bead2 AND k.r = f.node)
+SELECT t.bead1, h.umi1, t.bead2, h.umi2, sum(t.n)::BIGINT AS n, coalesce(sum(t.n) FILTER (t.r <> t.head), 0)::BIGINT AS corrected FROM t JOIN k h ON t.bead1 = h.bead1 AND t.bead2 = h.bead2 AND t.head = h.r GROUP BY ALL"""
+
+
 @query(f"WITH {A.FRAG}, b AS (SELECT DISTINCT bead FROM frag) SELECT bead, 'DemoS1BC' || lpad((row_number() OVER (ORDER BY bead))::VARCHAR, length((SELECT count(*) FROM b)::VARCHAR)::INT, '0') || 'N1' AS cell, 1::BIGINT AS n_beads FROM b")
 def unmerged_cell_names(spark, d):
     return merge_atac.number_cells(merge_atac.merge_none(A.frag(spark, d)), "Demo_S1")

@@ -9,18 +9,29 @@ from ..operators.numbering import numbered
 
 
 def read_fastq(spark: SparkSession, path: str | list[str]) -> DataFrame:
-    """(name, seq, qual, path) of FASTQ files in any store that Spark reads.
+    """(name, seq, qual, path) of FASTQ files with records of four lines, in any store that Spark reads.
 
     Text is split where a line starts with @, which a quality line may do as well: such a record comes in two pieces, of
-    three lines and of one, and only these pieces are ordered within their file and put together again.
+    three lines and of one. Only these pieces are ordered, within their split of the file, and put together again; what a
+    split's end has torn meets over the splits of the file, two pieces each at most.
     """
     text = spark.read.option("lineSep", "\n@").text(path)
-    lines = F.split(F.regexp_replace(F.regexp_replace("value", "^@", ""), "\n$", ""), "\n")
-    pieces = text.select(lines.alias("l"), F.input_file_name().alias("path"), F.monotonically_increasing_id().alias("_i"))
-    w = Window.partitionBy("path").orderBy("_i")
-    torn = pieces.filter(F.size("l") < 4).withColumn("_next", F.lead("l").over(w)).filter(F.size("l") == 3)
-    torn = torn.select(F.concat("l", F.array(F.concat(F.lit("@"), F.col("_next")[0]))).alias("l"), "path")
-    whole = pieces.filter(F.size("l") >= 4).select("l", "path").unionByName(torn)
+    place = F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_block_start").alias("_block"), F.monotonically_increasing_id().alias("_i")
+    lines = F.split(F.regexp_replace("value", "\n$", ""), "\n")
+    # the first piece of a file still has its @; a piece of one line is the rest of a quality, and keeps it
+    named = F.when(F.size("l") > 1, F.concat(F.array(F.regexp_replace(F.col("l")[0], "^@", "")), F.slice("l", 2, 3))).otherwise(F.col("l"))
+    pieces = text.select(lines.alias("l"), *place).withColumn("l", named)
+
+    def met(torn: DataFrame, *keys: str) -> DataFrame:
+        w = Window.partitionBy("path", *keys).orderBy("_block", "_i")
+        after, before = F.lead("l").over(w), F.lag("l").over(w)
+        return torn.withColumn("_next", F.when((F.size("l") == 3) & (F.size(after) == 1), after)).withColumn("_used", F.coalesce((F.size("l") == 1) & (F.size(before) == 3), F.lit(False)))
+
+    within = met(pieces.filter(F.size("l") < 4), "_block")
+    across = met(within.filter(F.col("_next").isNull() & ~F.col("_used")).drop("_next", "_used"))
+    torn = within.unionByName(across).filter(F.col("_next").isNotNull())
+    mended = torn.select(F.concat("l", F.array(F.concat(F.lit("@"), F.col("_next")[0]))).alias("l"), "path")
+    whole = pieces.filter(F.size("l") >= 4).select("l", "path").unionByName(mended)
     return whole.select(F.split(F.col("l")[0], " ")[0].alias("name"), F.col("l")[1].alias("seq"), F.col("l")[3].alias("qual"), "path")
 
 
