@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 
 from pyspark.sql import DataFrame, SparkSession
@@ -9,9 +10,11 @@ from pyspark.sql import functions as F
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that the cluster shares; one is set here only where nobody has, as in tests."""
+    """The folder that the cluster shares. One is set here only where nobody has and all runs on this machine, as in tests."""
     if path := spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir():
         return path
+    if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
+        raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
     spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="spark-"))
     return spark.sparkContext.getCheckpointDir()
 
@@ -46,15 +49,27 @@ def connected_components(edges: DataFrame) -> DataFrame:
 def first_independent_set(nodes: DataFrame, edges: DataFrame) -> DataFrame:
     """Nodes of the lexicographically first maximal independent set. nodes: (node, rank), edges: (a, b).
 
-    In each round a node joins if all neighbours of smaller rank are out, and its neighbours go out. Ranks are distinct.
+    A node is in if all its neighbours of smaller rank are out. One without such neighbours is in at once; one with a single
+    undecided one is the opposite of it, and so chains of these are decided together, by pointers that double in length.
+    A round takes in what is decided so and drops its neighbours. Ranks are distinct; an empty table gives an empty one.
     """
     both = edges.filter("a <> b").select("a", "b").union(edges.filter("a <> b").select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct()
     ranked = both.join(nodes.select(F.col("node").alias("a"), F.col("rank").alias("ra")), "a").join(nodes.select(F.col("node").alias("b"), F.col("rank").alias("rb")), "b")
     left, heads = checkpoint(nodes.select("node", "rank")), None
     ranked = checkpoint(ranked)
     while not left.isEmpty():
-        blocked = ranked.filter("rb < ra").select(F.col("a").alias("node")).distinct()
-        new = checkpoint(left.join(blocked, "node", "left_anti"))
+        before = ranked.filter("rb < ra").groupBy(F.col("a").alias("node")).agg(F.count("*").alias("d"), F.min("b").alias("to"))
+        at = checkpoint(left.join(before, "node", "left"))
+        jump = at.filter("d = 1").select("node", "to", F.lit(True).alias("odd"))
+        while True:
+            further = jump.select(F.col("node").alias("to"), F.col("to").alias("far"), F.col("odd").alias("more"))
+            jump = checkpoint(jump.join(further, "to", "left").select("node", F.coalesce("far", "to").alias("to"), (F.col("odd") != F.coalesce("more", F.lit(False))).alias("odd"), F.col("far").isNotNull().alias("moved")))
+            if jump.filter("moved").isEmpty():
+                break
+            jump = jump.drop("moved")
+        free = at.filter("d is null").select("node", "rank")
+        even = jump.filter("not odd").join(free.select(F.col("node").alias("to")), "to", "left_semi").select("node")
+        new = checkpoint(free.union(at.select("node", "rank").join(even, "node", "left_semi")))
         heads = new if heads is None else heads.union(new)
         out = ranked.join(new.select(F.col("node").alias("a")), "a", "left_semi").select(F.col("b").alias("node")).union(new.select("node")).distinct()
         left = checkpoint(left.join(out, "node", "left_anti"))

@@ -731,10 +731,6 @@ def bead_filt_summary(spark, d):
     return metrics.bead_filt_summary(o.groupBy("sample", "ti", "cell").agg(F.count("*").alias("frags")), o.groupBy("sample", "ti").agg(F.count("*").alias("reads")))
 
 
-def _kinds(spark, d):
-    return sorted(r[0] for r in A.table(spark, d, "events").select("event_type").distinct().limit(100).collect())  # kinds of event
-
-
 @query(f"WITH {A.METRICS}, p AS (SELECT sample, sum(value) FILTER (metric = 'click') AS click, sum(value) FILTER (metric = 'view') AS view FROM metrics_long GROUP BY sample) SELECT sample, click, view, round(100 * view / click, 2) AS view_pct FROM p")
 def funnel(spark, d):
     return metrics.funnel(A.metrics_long(spark, d), ["click", "view"])

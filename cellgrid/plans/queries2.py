@@ -249,6 +249,24 @@ t AS (SELECT k.*, least(coalesce(f.first, r), r) AS head FROM k LEFT JOIN (SELEC
 SELECT t.bead1, h.umi1, t.bead2, h.umi2, sum(t.n)::BIGINT AS n, coalesce(sum(t.n) FILTER (t.r <> t.head), 0)::BIGINT AS corrected FROM t JOIN k h ON t.bead1 = h.bead1 AND t.bead2 = h.bead2 AND t.head = h.r GROUP BY ALL"""
 
 
+# the greedy star merge in order of counts: heads by a walk over the beads, droplets as what the edges of heads join
+_MERGED = Q._SITES.replace("WITH ", "WITH RECURSIVE ", 1) + """, cut AS (SELECT quantile_cont(jaccard_frag, 0.99) AS cut FROM j WHERE jaccard_frag > 0), g AS (SELECT barc1 AS a, barc2 AS b FROM j, cut WHERE jaccard_frag > 0 AND jaccard_frag >= cut),
+k AS (SELECT bead, row_number() OVER (ORDER BY n DESC, bead) AS r FROM c), e AS (SELECT x.r AS a, y.r AS b FROM g JOIN k x ON a = x.bead JOIN k y ON b = y.bead UNION SELECT y.r, x.r FROM g JOIN k x ON a = x.bead JOIN k y ON b = y.bead),
+near AS (SELECT r, coalesce(list(b) FILTER (b IS NOT NULL), []) AS near FROM k LEFT JOIN e ON a = r GROUP BY r),
+walk AS (SELECT 0::BIGINT AS i, []::BIGINT[] AS heads UNION ALL SELECT i + 1, CASE WHEN list_has_any(near, heads) THEN heads ELSE list_append(heads, r) END FROM walk JOIN near ON r = i + 1),
+h AS (SELECT unnest(arg_max(heads, i)) AS r FROM walk), t AS (SELECT a, b FROM e WHERE a IN (FROM h) OR b IN (FROM h)),
+reach AS (SELECT r AS a, r AS b FROM k UNION SELECT reach.a, t.b FROM reach JOIN t ON reach.b = t.a), comp AS (SELECT a AS r, min(b) AS g FROM reach GROUP BY a),
+d AS (SELECT g, max(r) FILTER (r IN (FROM h)) AS head, count(*) AS n_beads FROM comp GROUP BY g),
+merged AS (SELECT k.bead, hk.bead AS droplet, n_beads FROM comp JOIN k USING (r) JOIN d USING (g) JOIN k hk ON hk.r = d.head)"""
+
+ORACLE_SQL["merge_by_jaccard"] = _MERGED + " SELECT * FROM merged"
+ORACLE_SQL["merged_cell_names"] = _MERGED + """, x AS (SELECT droplet, n_beads, row_number() OVER (ORDER BY n_beads DESC, droplet) AS number FROM (SELECT DISTINCT droplet, n_beads FROM merged))
+SELECT bead, 'DemoS1BC' || lpad(number::VARCHAR, (SELECT length(max(number)::VARCHAR) FROM x)::INT, '0') || 'N' || n_beads AS cell, n_beads FROM merged JOIN x USING (droplet, n_beads)"""
+ORACLE_SQL["deconvolution_metrics"] = _MERGED + """, v AS (SELECT (SELECT count(*) FROM j WHERE jaccard_frag > 0)::DOUBLE AS p, (SELECT count(*) FROM g)::DOUBLE AS a, (SELECT max(jaccard_frag) FROM j)::DOUBLE AS hi,
+  (SELECT count(DISTINCT droplet) FROM merged)::DOUBLE AS d, (SELECT count(*) FROM merged)::DOUBLE AS b, (SELECT count(*) FROM merged WHERE n_beads > 1)::DOUBLE AS m, (SELECT sum(n) FROM c)::DOUBLE AS f)
+SELECT unnest(['pairs_scored', 'pairs_above_threshold', 'highest_jaccard', 'droplets', 'beads', 'beads_in_multiplets', 'fragments']) AS metric, unnest([p, a, hi, d, b, m, f]) AS value FROM v"""
+
+
 @query(f"WITH {A.FRAG}, b AS (SELECT DISTINCT bead FROM frag) SELECT bead, 'DemoS1BC' || lpad((row_number() OVER (ORDER BY bead))::VARCHAR, length((SELECT count(*) FROM b)::VARCHAR)::INT, '0') || 'N1' AS cell, 1::BIGINT AS n_beads FROM b")
 def unmerged_cell_names(spark, d):
     return merge_atac.number_cells(merge_atac.merge_none(A.frag(spark, d)), "Demo_S1")

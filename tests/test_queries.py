@@ -5,7 +5,7 @@ import os
 import duckdb
 import pytest
 
-from cellgrid.plans import queries2  # noqa: F401  it registers more
+from cellgrid.plans import queries2, queries3  # noqa: F401  they register more
 from cellgrid.plans.queries import ORACLE_SQL, QUERIES
 
 TABLES = "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels conversations".split()

@@ -9,8 +9,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from cellgrid.functions import scalar as S
-from cellgrid.operators import barcodes, edges, merge_atac, ranges
-from cellgrid.sources import files
+from cellgrid.operators import barcodes, edges, graph, merge_atac, ranges
+from cellgrid.sources import files, reports
 
 INTERVAL = "chr string, start long, stop long, id long"
 
@@ -208,3 +208,48 @@ def test_fastq_in_splits(spark, tmp_path, split):
         spark.conf.set("spark.sql.files.maxPartitionBytes", was[0])
         spark.conf.set("spark.sql.files.openCostInBytes", was[1])
     assert sorted(got) == sorted(want)
+
+
+def test_independent_set_of_a_long_chain(spark, monkeypatch):
+    """A chain of falling counts is decided by doubling, not link by link."""
+    n, cuts = 3000, []
+    cut = graph.checkpoint
+    monkeypatch.setattr(graph, "checkpoint", lambda df, _=0: (cuts.append(1), cut(df))[1])
+    nodes = spark.createDataFrame([(i, i) for i in range(n)] + [(n + 5, n + 5)], "node long, rank long")
+    links = spark.createDataFrame([(i + 1, i) for i in range(n - 1)] + [(7, 7), (3, 2)], "a long, b long")
+    assert sorted(r.node for r in graph.first_independent_set(nodes, links).collect()) == [*range(0, n, 2), n + 5]
+    assert len(cuts) <= 40
+
+
+@pytest.mark.parametrize("seed", range(3))
+def test_independent_set_of_random_graphs(spark, seed):
+    rng = random.Random(seed)
+    n = 60
+    links = {(a, b) for a in range(n) for b in [rng.randrange(n) for _ in range(rng.randrange(3))] if a != b}
+    rank = rng.sample(range(n), n)
+    got = {r.node for r in graph.first_independent_set(spark.createDataFrame(list(enumerate(rank)), "node long, rank long"), spark.createDataFrame(sorted(links), "a long, b long")).collect()}
+    want: set[int] = set()
+    for v in sorted(range(n), key=lambda v: rank[v]):
+        if not any((v, u) in links or (u, v) in links for u in want):
+            want.add(v)
+    assert got == want
+
+
+def test_report_sections(spark, tmp_path):
+    head = "# tool 1.0\n## METRICS CLASS\tx.Y\n\nCATEGORY\tTOTAL_READS\tPCT_PF\tLIBRARY\n"
+    (tmp_path / "a.b_summary.txt").write_text(head + "FIRST_OF_PAIR\t10\t0.5\tlib\nSECOND_OF_PAIR\t8\t\nPAIR\t18\t1\tlib\textra\n\n## HISTOGRAM\tInteger\r\ninsert_size\tAll_Reads.fr_count\tAll_Reads.rf_count\n20\t5\t0\n30\t2\t1\n")
+    (tmp_path / "c_summary.txt").write_text("## METRICS CLASS\tdup\nLIBRARY\tREADS\tPERCENT_DUPLICATION\nlib\t10\t0.25\n\n## HISTOGRAM\n")
+    (tmp_path / "d_summary.txt").write_text("no section\nA\tB\n")
+    s = reports.read_sections(spark, str(tmp_path))
+    assert sorted(tuple(r) for r in reports.alignment_summary(s).collect()) == sorted(
+        [("a", "alignment_summary", m, "total_reads", float(n)) for m, n in (("r1", 10), ("r2", 8), ("pair", 18))] + [("a", "alignment_summary", "r1", "pct_pf", 50.0), ("a", "alignment_summary", "pair", "pct_pf", 100.0)]
+    )
+    assert sorted(tuple(r) for r in reports.insert_size_histogram(s).collect()) == [("a", 20, "fr_count", 5), ("a", 20, "rf_count", 0), ("a", 30, "fr_count", 2), ("a", 30, "rf_count", 1)]
+    assert {tuple(r) for r in reports.one_row_metrics(s).filter("sample = 'c_summary'").collect()} == {("c_summary", "reads", 10.0), ("c_summary", "percent_duplication", 25.0)}
+    assert s.filter("sample = 'd_summary'").count() == 0
+
+
+def test_contig_counts(spark, tmp_path):
+    (tmp_path / "s1_idxstats.txt").write_text("chr1\t1000\t12\t3\n*\t0\t0\t7\nbroken line\n")
+    got = reports.tidy_contig_counts(reports.contig_counts(spark, str(tmp_path))).collect()
+    assert {(r.metric, r.value) for r in got} == {("chr1_contig_length", 1000.0), ("chr1_reads_aligned", 12.0), ("chr1_reads_unaligned", 3.0), ("*_contig_length", 0.0), ("*_reads_aligned", 0.0), ("*_reads_unaligned", 7.0)}
