@@ -8,6 +8,8 @@ from __future__ import annotations
 
 import html as entities
 import re
+import sys
+import unicodedata
 from collections.abc import Iterator
 
 import pandas as pd
@@ -38,27 +40,48 @@ CLOSES = {
 }
 #: Any other start tag, or text, closes an open head.
 IN_HEAD = frozenset("base basefont bgsound head html link meta noframes noscript script style template title".split())
-DEEPEST = 100  # elements that are nested deeper become siblings
+#: Elements that are nested deeper become siblings, as in browsers; what hides text does so at any depth.
+DEEPEST = 512
+#: Keywords of two properties of CSS. A declaration with another value doesn't count.
+DISPLAY = frozenset("none block inline inline-block flow-root flex inline-flex grid inline-grid list-item contents table inline-table table-row table-cell table-row-group table-header-group table-footer-group table-column table-column-group table-caption ruby run-in initial inherit unset revert".split())
+VISIBILITY = frozenset("visible hidden collapse initial inherit unset revert".split())
 
-_MARK = re.compile(r"<!--.*?(?:-->|\Z)|<[!?][^>]*>?|</([a-zA-Z][^\s/>]*+)[^>]*>?|<([a-zA-Z][^\s/>]*+)((?:[^>\"']++|\"[^\"]*+\"|'[^']*+'|[\"'])*+)>?", re.S)
+_MARK = re.compile(r"<!--(?:-?>|.*?(?:--!?>|\Z))|<[!?][^>]*>?|</([a-zA-Z][^\s/>]*+)[^>]*>?|<([a-zA-Z][^\s/>]*+)((?:[^>\"']++|\"[^\"]*+\"|'[^']*+'|[\"'])*+)>?", re.S)
 _ATTRIBUTE = re.compile(r"([^\s\"'<>/=]+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?")
-_HIDDEN = re.compile(r"(?:^|;)\s*(?:display\s*:\s*none|visibility\s*:\s*(?:hidden|collapse))\b", re.I)
-_UNPAINTED = re.compile(r"(?:^|;)\s*visibility\s*:\s*(?:hidden|collapse)\b", re.I)
-_PAINTED = re.compile(r"(?:^|;)\s*visibility\s*:\s*visible\b", re.I)
+_COMMENT = re.compile(r"/\*.*?(?:\*/|\Z)", re.S)
 _SPACE = re.compile(r"[ \t\n\r\f]+")
 
 
 class Node:
-    __slots__ = ("attrs", "kids", "tag")
+    __slots__ = ("attrs", "flat", "kids", "tag")
 
     def __init__(self, tag: str, attrs: dict[str, str]):
         self.tag, self.attrs, self.kids = tag, attrs, []
+        self.flat: dict[str, int] = {}  # open elements in it that became siblings, by tag
 
 
 def _attributes(text: str) -> dict[str, str]:
     return {m[1].lower(): entities.unescape(m[2] or m[3] or m[4] or "") for m in _ATTRIBUTE.finditer(text)} if text.strip(" /") else {}
 
 
+def style_of(attrs: dict[str, str]) -> dict[str, str]:
+    """display and visibility of a style attribute: the last declaration counts, but an important one before others."""
+    out: dict[str, str] = {}
+    if "style" in attrs:
+        important = set()
+        for declaration in _COMMENT.sub(" ", attrs["style"]).lower().split(";"):
+            name, _, value = declaration.partition(":")
+            name, value = name.strip(), value.strip()
+            first = re.sub(r"\s*!\s*important$", "", value)
+            if first.split(" ")[0] in {"display": DISPLAY, "visibility": VISIBILITY}.get(name, ()):
+                if first != value:
+                    important.add(name)
+                elif name in important:
+                    continue
+                out[name] = first
+    return out
+
+
 def build(page: str) -> Node:
     root = Node("#root", {})
     stack, at = [root], 0
@@ -83,6 +106,9 @@ def build(page: str) -> Node:
         at = m.end()
         if m[1]:
             tag = m[1].lower()
+            if stack[-1].flat.get(tag):
+                stack[-1].flat[tag] -= 1
+                continue
             if tag == "p" and not any(n.tag == "p" for n in stack):
                 stack[-1].kids.append(Node("p", {}))
             close({tag}, {"table", "#root"} if tag not in ("table", "html", "body", "div", "section", "article") else frozenset())
@@ -106,24 +132,28 @@ def build(page: str) -> Node:
                 end = re.compile(rf"</{re.escape(tag)}\b[^>]*>?|\Z", re.I).search(page, at)
                 node.kids.append(entities.unescape(page[at : end.start()]) if tag in ("textarea", "title") else page[at : end.start()])
                 at = end.end()
-            elif tag not in VOID and len(stack) < DEEPEST:
-                stack.append(node)
+            elif tag not in VOID:
+                # deeper than twice that, all stands in something hidden
+                if len(stack) < DEEPEST or (len(stack) < 2 * DEEPEST and not visible(node)):
+                    stack.append(node)
+                else:
+                    stack[-1].flat[tag] = stack[-1].flat.get(tag, 0) + 1
     return root
 
 
 def _unhide(node: Node, painted: bool = True) -> bool:
     """Settles visibility, which is inherited: an unpainted element that holds a painted one stays, without its own text.
     Says whether anything of the node is painted."""
-    style = node.attrs.get("style", "")
-    unpainted = bool(_UNPAINTED.search(style))
-    painted = (painted or bool(_PAINTED.search(style))) and not unpainted
+    own = style_of(node.attrs).get("visibility")
+    unpainted = own in ("hidden", "collapse")
+    painted = (painted or own == "visible") and not unpainted
     held = [_unhide(k, painted) for k in node.kids if isinstance(k, Node)]
     if painted:
         return True
     node.kids = [k for k in node.kids if isinstance(k, Node)]
     if any(held):
         if unpainted:
-            node.attrs["style"] = _UNPAINTED.sub("", style)
+            node.attrs["style"] += ";visibility:inherit!important"
         node.attrs.pop("alt", None)
         node.attrs.pop("value", None)
         return True
@@ -133,7 +163,23 @@ def _unhide(node: Node, painted: bool = True) -> bool:
 
 def visible(node: Node) -> bool:
     a = node.attrs
-    return not (node.tag in UNSEEN or "hidden" in a or (a and _HIDDEN.search(a.get("style", ""))) or (node.tag == "input" and a.get("type", "").lower() == "hidden"))
+    if node.tag in UNSEEN or "hidden" in a or (node.tag == "dialog" and "open" not in a) or (node.tag == "input" and a.get("type", "").lower() == "hidden"):
+        return False
+    style = style_of(a)
+    return style.get("display") != "none" and style.get("visibility") not in ("hidden", "collapse")
+
+
+def width_of(text: str) -> int:
+    """Columns that a text takes: wide characters take two, marks that are set on others none."""
+    if text.isascii():
+        return len(text)
+    return sum(0 if unicodedata.combining(c) else 2 if unicodedata.east_asian_width(c) in "WF" else 1 for c in text)
+
+
+def _number(text: str) -> int | None:
+    """An integer as HTML reads it: white space, a sign and digits; what follows is ignored."""
+    m = re.match(r"[ \t\n\r\f]*([+-]?[0-9]{1,18})", text)
+    return int(m[1]) if m else None
 
 
 class _Lines:
@@ -211,17 +257,18 @@ def _table(node: Node) -> list[str]:
             if isinstance(k, Node) and k.tag in ("td", "th") and visible(k):
                 while len(cells) in taken:
                     cells.append([])
-                down, wide = _span(k, "rowspan", 65_534), min(_span(k, "colspan", 1000), 100)
+                down, wide = _span(k, "rowspan", 65_534), _span(k, "colspan", 1000)
                 if down > 1:
                     after |= dict.fromkeys(range(len(cells), len(cells) + wide), down - 1)
                 cells.append(lines_of(k))
                 cells += [[]] * (wide - 1)
         taken = {c: n - 1 for c, n in taken.items() if n > 1} | after
         grid.append(cells)
-    widths = [max((len(x) for cells in grid if i < len(cells) for x in cells[i]), default=0) for i in range(max(map(len, grid), default=0))]
+    widths = [max((width_of(x) for cells in grid if i < len(cells) for x in cells[i]), default=0) for i in range(max(map(len, grid), default=0))]
     for cells in grid:
         for i in range(max(map(len, cells), default=0)):
-            out.append(" | ".join((c[i] if i < len(c) else "").ljust(w) for c, w in zip(cells, widths, strict=False)).rstrip())
+            shown = [c[i] if i < len(c) else "" for c in cells]
+            out.append(" | ".join(x + " " * (w - width_of(x)) for x, w in zip(shown, widths, strict=False)).rstrip())
     # what stands in a table outside its cells is visible too: it goes before, as browsers do
     loose = _Lines()
     _outside(node, loose)
@@ -259,11 +306,15 @@ def _render(node: Node, out: _Lines, keep: bool = False) -> None:
     elif tag == "table":
         out.put(_table(node), True)
     elif tag in ("ul", "ol", "menu", "dir"):
-        lines, start = [], attrs.get("start", "1")
-        number = int(start) if start.isascii() and start.isdigit() else 1
+        back = tag == "ol" and "reversed" in attrs
+        lines, number = [], _number(attrs.get("start", ""))
+        if number is None:
+            number = sum(isinstance(k, Node) and k.tag == "li" and visible(k) for k in node.kids) if back else 1
         for k in node.kids:
             if isinstance(k, Node) and k.tag == "li" and visible(k):
-                mark, number = (f"{number}. ", number + 1) if tag == "ol" else ("- ", number)
+                own = _number(k.attrs.get("value", "")) if tag == "ol" else None
+                number = number if own is None else own
+                mark, number = (f"{number}. ", number + (-1 if back else 1)) if tag == "ol" else ("- ", number)
                 item = lines_of(k)
                 lines += [(mark if i == 0 else " " * len(mark)) + x if x else x for i, x in enumerate(item)]
             else:
@@ -293,6 +344,7 @@ def lines_of(node: Node) -> list[str]:
 
 
 def render(page: str | None) -> str:
+    sys.setrecursionlimit(max(sys.getrecursionlimit(), 20 * DEEPEST))  # a few calls for each level
     root = build(page) if page else Node("#root", {})
     if page and "visibility" in page.lower():
         _unhide(root)
@@ -304,7 +356,7 @@ def extract(pages: DataFrame) -> DataFrame:
     """(page_id, text, n_lines) for each row of pages (page_id, html, ...).
 
     A null or empty page has an empty text and no lines. Broken markup never fails: unknown and unclosed tags are read as
-    browsers read them. Pages are read whole; elements nested deeper than 100 become siblings. Repeated rows and null ids
+    browsers read them. Pages are read whole; elements nested deeper than 512 become siblings, but what is hidden stays so. Repeated rows and null ids
     are kept as they are, other columns are not read, and an empty table gives an empty table.
     """
 

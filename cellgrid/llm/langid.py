@@ -19,10 +19,16 @@ from .ftrl import SAMPLE_ROWS, Leader, epochs, in_one_task, labelled_sample
 BITS = 15
 ORDERS = 3
 UNKNOWN = "und"
-_LETTER = re.compile(r"[^\W\d_]")
+_WORDY = re.compile(r"[^\W\d_]")
 _ODD = np.uint64(0x9E3779B97F4A7C15)
 
 
+def has_letter(text: str) -> bool:
+    """Numerals such as a half or a superscript two are word characters, but no letters."""
+    m = _WORDY.search(text)
+    return bool(m) and (m[0].isalpha() or any(map(str.isalpha, text)))
+
+
 def gram_counts(text: str | None) -> np.ndarray:
     """Counts of hashed character n-grams of one to three characters, in lower case."""
     if not text:
@@ -62,8 +68,11 @@ def _softmax(x: np.ndarray) -> np.ndarray:
     return e / e.sum(axis=-1, keepdims=True)
 
 
-def _fit(idf: np.ndarray, names: list[str], passes: int):
+def _fit(idf: np.ndarray, passes: int):
+    """Weights, biases with the languages of the sample, and the temperature, as rows (feature, output, value, name)."""
+
     def fit(sample: pd.DataFrame) -> pd.DataFrame:
+        names = sorted(set(sample["label"]))
         y = sample["label"].map({x: i for i, x in enumerate(names)}).to_numpy()
         rows = [_row(t, idf) for t in sample["text"]]
         leader = Leader(1 << BITS, len(names), alpha=0.5, l1=0.01, l2=0.01)
@@ -79,7 +88,7 @@ def _fit(idf: np.ndarray, names: list[str], passes: int):
         nll = [-np.log(np.maximum(_softmax(out / t)[np.arange(len(out)), y[aside]], 1e-12)).sum() for t in options]
         temperature = options[int(np.argmin(nll))] if len(out) else 1.0
         f, k = np.nonzero(w)
-        return pd.DataFrame({"feature": [*f, *[-1] * len(names), -2], "output": [*k, *range(len(names)), 0], "value": [*w[f, k], *b, temperature]})
+        return pd.DataFrame({"feature": [*f, *[-1] * len(names), -2], "output": [*k, *range(len(names)), 0], "value": [*w[f, k], *b, temperature], "name": [*[None] * len(f), *names, None]})
 
     return fit
 
@@ -95,7 +104,6 @@ def language_id(docs: DataFrame, rows: int = SAMPLE_ROWS, passes: int = 2) -> Da
     held = F.coalesce(F.crc32(F.col("id").cast("string").cast("binary")) % 4 == 2, F.lit(False))
     d = docs.select(F.col("doc_id").alias("id"), F.col("text").cast("string").alias("text"), F.col("lang").cast("string").alias("label"))
     seen = d.filter(~held & F.col("id").isNotNull() & F.col("label").isNotNull() & F.col("text").isNotNull())
-    names = [r["label"] for r in seen.select("label").distinct().orderBy("label").limit(1000).collect()]  # languages, not documents
     counts = document_frequencies(seen)
     total = max([r["n"] for r in counts if r["feature"] < 0], default=0)
     idf = np.full(1 << BITS, np.log(1 + total) + 1)
@@ -103,10 +111,12 @@ def language_id(docs: DataFrame, rows: int = SAMPLE_ROWS, passes: int = 2) -> Da
         if r["feature"] >= 0:
             idf[r["feature"]] = np.log((1 + total) / (1 + r["n"])) + 1
     idf = idf.astype(np.float32)
-    model = in_one_task(labelled_sample(d.select("id", "text").filter("text is not null"), seen.select("id", "label"), rows), _fit(idf, names, passes), "feature long, output int, value double") if names else []
+    sample = labelled_sample(d.select("id", "text").filter("text is not null"), seen.select("id", "label"), rows)
+    model = in_one_task(sample, _fit(idf, passes), "feature long, output int, value double, name string")
 
     f, k, v = ([r[i] for r in model if r[0] >= 0] for i in range(3))
-    b = np.array([r[2] for r in sorted((r for r in model if r[0] == -1), key=lambda r: r[1])])
+    learned = sorted((r for r in model if r[0] == -1), key=lambda r: r[1])  # the languages of the sample
+    names, b = [r[3] for r in learned], np.array([r[2] for r in learned])
     temperature = next((r[2] for r in model if r[0] == -2), 1.0)
     f, k, v = np.array(f, np.int64), np.array(k, np.int64), np.array(v, np.float32)
 
@@ -116,7 +126,7 @@ def language_id(docs: DataFrame, rows: int = SAMPLE_ROWS, passes: int = 2) -> Da
         for pdf in batches:
             best, score = [], []
             for text in pdf["text"]:
-                if not names or not text or not _LETTER.search(text):
+                if not names or not text or not has_letter(text):
                     best.append(UNKNOWN)
                     score.append(0.0)
                     continue
