@@ -1,8 +1,10 @@
 """Exact inner-product top-k by a ball tree in each shard.
 
-Vectors are dealt to shards of bounded size and each shard becomes one ball tree. A block of queries visits a tree's
-nodes in the order of their upper bound q.c + |q| r and leaves out those that cannot reach the current k-th score. The
-first shard that a block searches fixes a k-th score for each of its queries; all other shards start from it.
+Vectors are dealt to shards of bounded size by the centres they are nearest to, and each shard becomes one ball tree. A block
+of queries visits a tree's nodes in the order of their upper bound q.c + |q| r and leaves out those that cannot reach the
+current k-th score. Queries of a block share the centre with the highest bound; the first shard that a block searches is of
+that centre and fixes a k-th score for each of its queries. It is then sent to those shards only whose centre's bound
+reaches the k-th score of one of its queries, and starts from these scores there.
 """
 
 from __future__ import annotations
@@ -16,8 +18,13 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from .common import Scratch
+from .negatives import above, codebook, nearest
+
 K, EVERY = 20, 20
 SHARD, LEAF, BLOCK = 8192, 128, 512
+#: Most centres, and rows that they are learned from.
+CENTRES, SAMPLE = 256, 4096
 FOUND = "block long, query_id long, vec_id long, score long"
 
 
@@ -115,40 +122,76 @@ def top_k(vectors: DataFrame, is_query: Column, k: int = K) -> DataFrame:
     a candidate as often as it occurs, but asked once; a query meets no row of its own id. With fewer than k candidates
     all are returned, and an empty table gives an empty table.
     """
+    scratch = Scratch(vectors.sparkSession)
     v = vectors.filter("vec_id is not null and size(v) > 0").select(F.col("vec_id").cast("long").alias("vec_id"), "v")
-    n, asked = v.agg(F.count("*"), F.count_if(is_query)).first()
-    shards, blocks = max(1, -(-n // SHARD)), max(1, -(-asked // BLOCK))
+    n, width = v.agg(F.count("*"), F.coalesce(F.max(F.size("v")), F.lit(0))).first()
+    sample = [r[0] for r in v.orderBy(F.xxhash64("vec_id"), "vec_id").limit(SAMPLE).select("v").collect()]
+    fill = lambda vs: np.pad(m := _matrix(list(vs)), ((0, 0), (0, width - m.shape[1])))
+    centres = codebook(fill(sample), min(CENTRES, max(1, -(-n // SHARD)))) if n else np.zeros((1, 0))
+
+    def assign(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in batches:
+            c, d = nearest(fill(pdf["v"]).astype(np.float64), centres)
+            yield pdf.assign(c=c, d=d)
+
+    rows = scratch.save(v.mapInPandas(assign, "vec_id long, v array<long>, c int, d double"), "rows")
+    pieces, radius = np.ones(len(centres), np.int64), np.zeros(len(centres))
+    for c, size, far in rows.groupBy("c").agg(F.count("*"), F.max("d")).collect():  # a row a centre
+        pieces[c], radius[c] = -(-size // SHARD), far
+    start = np.cumsum(pieces) - pieces
+    of = lambda values, c: F.element_at(F.array(*[F.lit(int(x)) for x in values]), c + 1)
+
+    def bounds(q: np.ndarray) -> np.ndarray:
+        """(queries, centres): no row of a centre scores more."""
+        q = q.astype(np.float64)
+        return above(q @ centres.T + np.sqrt((q**2).sum(axis=1))[:, None] * radius)
 
     def plant(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values("vec_id", kind="stable")
         return pd.DataFrame({"shard": [key[0]], "tree": [pickle.dumps(build(pdf["vec_id"].to_numpy(np.int64), _matrix(list(pdf["v"]))))]})
 
+    def home_of(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in batches:
+            yield pd.DataFrame({"vec_id": pdf["vec_id"], "v": pdf["v"], "home": bounds(fill(pdf["v"])).argmax(axis=1)})
+
     def gather(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
+        home, part = key
         pdf = pdf.drop_duplicates("vec_id").sort_values("vec_id")
-        return pd.DataFrame({"block": [key[0]], "block_ids": [pdf["vec_id"].to_numpy(np.int64)], "block_x": [pickle.dumps(_matrix(list(pdf["v"])))]})
-
-    trees = v.withColumn("shard", F.pmod(F.xxhash64("vec_id"), F.lit(shards))).groupBy("shard").applyInPandas(plant, "shard long, tree binary")
-    asks = v.filter(is_query).withColumn("block", F.pmod(F.xxhash64("vec_id", F.lit(1)), F.lit(blocks))).groupBy("block").applyInPandas(gather, "block long, block_ids array<long>, block_x binary")
-    first = F.pmod("block", F.lit(shards))
+        return pd.DataFrame({"block": [(home << 32) + part], "first": [start[home] + part % pieces[home]], "block_ids": [pdf["vec_id"].to_numpy(np.int64)], "block_x": [pickle.dumps(_matrix(list(pdf["v"])))]})
+
+    shard = of(start, F.col("c")) + F.pmod("_at", of(pieces, F.col("c")))
+    dealt = rows.withColumn("_at", F.monotonically_increasing_id()).select("vec_id", "v", shard.alias("shard"))
+    trees = scratch.save(dealt.groupBy("shard").applyInPandas(plant, "shard long, tree binary"), "trees")
+    asked = scratch.save(rows.filter(is_query).select("vec_id", "v").mapInPandas(home_of, "vec_id long, v array<long>, home int"), "asked")
+    blocks = np.ones(len(centres), np.int64)
+    for c, size in asked.groupBy("home").count().collect():  # a row a centre
+        blocks[c] = -(-size // BLOCK)
+    part = F.pmod(F.xxhash64("vec_id", F.lit(1)), of(blocks, F.col("home")))
+    asks = scratch.save(asked.groupBy(F.col("home").cast("long").alias("home"), part.alias("part")).applyInPandas(gather, "block long, first long, block_ids array<long>, block_x binary"), "asks")
     run = "block", "tree", "block_ids", "block_x", "floors"
-    home = asks.withColumn("shard", first).withColumn("floors", F.lit(None).cast("binary")).join(trees, "shard").select(*run).mapInPandas(_packed, FOUND)
+    home = asks.withColumn("floors", F.lit(None).cast("binary")).join(trees, F.col("first") == F.col("shard")).select(*run).mapInPandas(_packed, FOUND)
+    home = scratch.save(home, "home")
 
-    def bounds(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
-        kth = pdf.groupby("query_id")["score"].agg(lambda s: s.nlargest(k).iloc[-1] if len(s) >= k else np.iinfo(np.int64).min)
-        return pd.DataFrame({"block": [key[0]], "floor_ids": [kth.index.to_numpy(np.int64)], "floor": [kth.to_numpy(np.int64)]})
+    def kth(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
+        least = pdf.groupby("query_id")["score"].agg(lambda s: s.nlargest(k).iloc[-1] if len(s) >= k else np.iinfo(np.int64).min)
+        return pd.DataFrame({"block": [key[0]], "floor_ids": [least.index.to_numpy(np.int64)], "floor": [least.to_numpy(np.int64)]})
 
-    floors = home.groupBy("block").applyInPandas(bounds, "block long, floor_ids array<long>, floor array<long>")
+    floors = home.groupBy("block").applyInPandas(kth, "block long, floor_ids array<long>, floor array<long>")
 
-    def aligned(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def route(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        """A row for each further shard that one of the block's queries may find something in."""
         for pdf in batches:
-            out = []
-            for block, block_ids, block_x, ids, floor in pdf.itertuples(index=False):
+            for block, first, block_ids, block_x, ids, floor in pdf.itertuples(index=False):
                 known = dict(zip(ids, floor, strict=True)) if ids is not None else {}
-                out.append((block, block_ids, block_x, pickle.dumps(np.array([known.get(i, np.iinfo(np.int64).min) for i in block_ids], np.int64))))
-            yield pd.DataFrame(out, columns=["block", "block_ids", "block_x", "floors"])
-
-    shared = asks.join(floors, "block", "left").select("block", "block_ids", "block_x", "floor_ids", "floor").mapInPandas(aligned, "block long, block_ids array<long>, block_x binary, floors binary")
-    others = shared.withColumn("shard", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(shards - 1).cast("long")))).filter(F.col("shard") != first)
+                least = np.array([known.get(i, np.iinfo(np.int64).min) for i in block_ids], np.int64)
+                open_ = np.flatnonzero((bounds(fill(pickle.loads(block_x))) >= least[:, None]).any(axis=0))
+                shards = np.array([s for c in open_ for s in range(start[c], start[c] + pieces[c]) if s != first], np.int64)
+                for at in range(0, len(shards), 64):  # a few copies of a block at a time
+                    some = shards[at : at + 64]
+                    yield pd.DataFrame({"block": block, "block_ids": [block_ids] * len(some), "block_x": [block_x] * len(some), "floors": [pickle.dumps(least)] * len(some), "shard": some})
+
+    shared = asks.join(floors, "block", "left").select("block", "first", "block_ids", "block_x", "floor_ids", "floor")
+    others = shared.mapInPandas(route, "block long, block_ids array<long>, block_x binary, floors binary, shard long")
     found = home.unionByName(others.join(trees, "shard").select(*run).mapInPandas(_packed, FOUND))
     rank = F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id"))
     return found.withColumn("rank", rank).filter(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")

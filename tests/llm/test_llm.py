@@ -590,6 +590,22 @@ def test_top_k_matches_brute_force(spark):
     assert topk.top_k(spark.createDataFrame(rows[:3], "vec_id long, v array<long>"), F.col("vec_id") % 2 == 0).count() == 4
 
 
+def test_top_k_of_groups_far_apart(spark, monkeypatch):
+    """Most shards hold nothing for a block, and copies of one vector fill several shards."""
+    monkeypatch.setattr(topk, "SHARD", 30)
+    rng = np.random.default_rng(4)
+    x = np.concatenate([1000 * np.eye(4, dtype=int)[rng.integers(0, 4, 200)] + rng.integers(-9, 10, (200, 4)), np.tile([1000, 0, 0, 0], (100, 1))])
+    df = spark.createDataFrame([(i, [int(v) for v in x[i]]) for i in range(300)] + [(0, [int(v) for v in x[0]])], "vec_id long, v array<long>").withColumns({"c": F.lit(1), "shard": F.lit("s"), "block": F.lit(2)})
+    got = {(r.query_id, r.rank): (r.vec_id, r.score) for r in topk.top_k(df, F.col("vec_id") % 10 == 0, 3).collect()}
+    ids = [*range(300), 0]
+    x = np.concatenate([x, x[:1]])
+    want = {}
+    for q in range(0, 300, 10):
+        s = sorted((-int(x[q] @ x[i]), ids[i]) for i in range(301) if ids[i] != q)[:3]
+        want |= {(q, k + 1): (i, -v) for k, (v, i) in enumerate(s)}
+    assert got == want
+
+
 def test_embedding_vectors(spark):
     rows = [(1, [0.5, -0.01]), (2, None), (3, [1.0, None]), (4, [float("nan"), 1.0]), (5, [float("inf"), 1.0])]
     got = topk.embedding_vectors(spark.createDataFrame(rows, "vec_id long, embedding array<float>")).collect()
@@ -599,7 +615,7 @@ def test_embedding_vectors(spark):
 @pytest.mark.parametrize("name", sorted(queries.ORACLE_SQL))
 def test_sql(spark, data, name):
     con = duckdb.connect()
-    for t in ("documents", "labels", "pages", "embeddings"):
+    for t in ("documents", "labels", "pages", "embeddings", "conversations"):
         con.execute(f"create view {t} as select * from '{data}/{t}.parquet'")
     df = queries.QUERIES[name](spark, data)
     want = con.sql(queries.ORACLE_SQL[name])
