@@ -138,19 +138,32 @@ def mapping_by_species(alignments: DataFrame, unique_mapq: int = 255) -> DataFra
     return alignments.groupBy(S.species_of_contig("contig").alias("species")).agg(F.count_if(F.col("mapq") == unique_mapq).alias("unique_reads"), F.count_if(F.col("mapq") != unique_mapq).alias("multi_reads"))
 
 
-def saturation(counts: DataFrame, points: int = 25, seed: int = 1) -> DataFrame:
+def saturation(counts: DataFrame, points: int = 25, seed: int = 1, total_reads: DataFrame | None = None, depth: int = 50_000) -> DataFrame:
     """(sample, fraction, median_features, n): median features per cell at even depths, drawn without replacement.
 
     Each UMI of a (cell, feature) has a uniform draw; a feature is seen at fraction f if its least draw is at most f. The
     least of n uniforms is 1 - (1 - u) ** (1 / n), so one draw per matrix entry is enough and nothing is exploded. Cells
     without a feature at a depth stay in the median.
+
+    total_reads: (sample, reads). With it a row also has mean_depth, the reads per cell at its fraction, and a sample that
+    has at least ``depth`` reads per cell has a row at that depth besides. A sample without reads there has null depths.
     """
     u = (F.conv(F.substring(F.md5(F.concat_ws("|", F.lit(str(seed)), "sample", "cell", "gene")), 1, 13), 16, 10).cast("double") + 0.5) / 2.0**52
     least = 1 - F.pow(1 - u, 1 / F.col("n"))
     d = counts.withColumn("_least", least)
-    per = d.groupBy("sample", "cell").agg(*[F.count_if(F.col("_least") <= (i + 1) / points).alias(f"f{i}") for i in range(points)])
-    rows = F.explode(F.array(*[F.struct(F.lit((i + 1) / points).alias("fraction"), F.col(f"f{i}").alias("features")) for i in range(points)])).alias("r")
-    return per.select("sample", rows).groupBy("sample", "r.fraction").agg(F.median("r.features").alias("median_features"), F.count("*").alias("cells"))
+    even = [F.count_if(F.col("_least") <= (i + 1) / points).alias(f"f{i}") for i in range(points)]
+    if total_reads is None:
+        per = d.groupBy("sample", "cell").agg(*even)
+        rows = F.explode(F.array(*[F.struct(F.lit((i + 1) / points).alias("fraction"), F.col(f"f{i}").alias("features")) for i in range(points)])).alias("r")
+        return per.select("sample", rows).groupBy("sample", "r.fraction").agg(F.median("r.features").alias("median_features"), F.count("*").alias("cells"))
+    cells = counts.select("sample", "cell").distinct().groupBy("sample").agg(F.count("*").alias("_cells"))
+    mean = cells.join(total_reads, "sample", "left").select("sample", (F.col("reads") / F.col("_cells")).alias("_mean"))  # a row a sample
+    at = F.when(F.col("_mean") >= depth, depth / F.col("_mean"))
+    per = d.join(mean, "sample").groupBy("sample", "cell", "_mean").agg(*even, F.count_if(F.col("_least") <= at).alias("_f"))
+    kinds = [F.struct(F.lit((i + 1) / points).alias("fraction"), F.col(f"f{i}").alias("features"), ((i + 1) / points * F.col("_mean")).alias("depth")) for i in range(points)]
+    extra = F.when(at.isNotNull(), F.array(F.struct(at.alias("fraction"), F.col("_f").alias("features"), F.lit(float(depth)).alias("depth")))).otherwise(F.array())
+    rows = per.select("sample", F.explode(F.concat(F.array(*kinds), extra)).alias("r"))
+    return rows.groupBy("sample", "r.fraction", F.round("r.depth").cast("long").alias("mean_depth")).agg(F.median("r.features").alias("median_features"), F.count("*").alias("cells"))
 
 
 def species_mix(cells: DataFrame, a: str, b: str, threshold: float = 0.9) -> DataFrame:

@@ -8,7 +8,7 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from ..functions import scalar as S
-from ..operators import adt, atac, checks, merge_atac, metrics, ml
+from ..operators import adt, atac, checks, merge_atac, metrics, ml, rna
 from ..sources import files
 from . import adapters as A
 from . import queries as Q
@@ -249,6 +249,21 @@ t AS (SELECT k.*, least(coalesce(f.first, r), r) AS head FROM k LEFT JOIN (SELEC
 SELECT t.bead1, h.umi1, t.bead2, h.umi2, sum(t.n)::BIGINT AS n, coalesce(sum(t.n) FILTER (t.r <> t.head), 0)::BIGINT AS corrected FROM t JOIN k h ON t.bead1 = h.bead1 AND t.bead2 = h.bead2 AND t.head = h.r GROUP BY ALL"""
 
 
+@query(f"""WITH {A.CELL_GENE}, l AS (SELECT *, 1 - pow(1 - (('0x' || substr(md5('1|' || sample || '|' || cell || '|' || gene), 1, 13))::BIGINT + 0.5::DOUBLE) / 4503599627370496::DOUBLE, 1.0::DOUBLE / n) AS least FROM cell_gene),
+m AS (SELECT (SELECT count(*) FROM lineitem)::DOUBLE / count(DISTINCT cell) AS mean FROM cell_gene), f AS (SELECT i / 25.0::DOUBLE AS fraction, round(i / 25.0::DOUBLE * mean)::BIGINT AS mean_depth FROM range(1, 26) t(i), m UNION ALL SELECT 20 / mean, 20 FROM m WHERE mean >= 20),
+c AS (SELECT sample, cell, fraction, mean_depth, count(*) FILTER (least <= fraction) AS k FROM l, f GROUP BY ALL) SELECT sample, round(fraction, 9) AS fraction, mean_depth, median(k) AS median_features, count(*) AS cells FROM c GROUP BY ALL""")
+def saturation_at_depth(spark, d):
+    reads = A.table(spark, d, "lineitem").agg(F.count("*").alias("reads")).select(F.lit("s1").alias("sample"), "reads")
+    out = rna.saturation(A.cell_gene(spark, d), total_reads=reads, depth=20)
+    return out.withColumn("fraction", F.round("fraction", 9))
+
+
+@query(f"WITH {A.FRAG} SELECT chr, start, stop, bead, support FROM frag")
+def dedup_bead(spark, d):
+    f = A.frag(spark, d)
+    return merge_atac.dedup_bead(f.unionByName(f.filter("support > 2")).unionByName(f))
+
+
 # the greedy star merge in order of counts: heads by a walk over the beads, droplets as what the edges of heads join
 _MERGED = Q._SITES.replace("WITH ", "WITH RECURSIVE ", 1) + """, cut AS (SELECT quantile_cont(jaccard_frag, 0.99) AS cut FROM j WHERE jaccard_frag > 0), g AS (SELECT barc1 AS a, barc2 AS b FROM j, cut WHERE jaccard_frag > 0 AND jaccard_frag >= cut),
 k AS (SELECT bead, row_number() OVER (ORDER BY n DESC, bead) AS r FROM c), e AS (SELECT x.r AS a, y.r AS b FROM g JOIN k x ON a = x.bead JOIN k y ON b = y.bead UNION SELECT y.r, x.r FROM g JOIN k x ON a = x.bead JOIN k y ON b = y.bead),
