@@ -14,7 +14,11 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .common import Scratch
+
 LEAST_BYTES = 1000
+#: Keys that a digest's headers are dealt to, and bytes of payloads in an archive of records of mean size.
+SALTS, ARCHIVE_BYTES = 16, 64 << 20
 DATE = "2024-01-01T00:00:00Z"
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 EOL = "\r\n"
@@ -29,17 +33,22 @@ def _record_id(key: Column) -> Column:
 def resolve(records: DataFrame, least_bytes: int = LEAST_BYTES) -> DataFrame:
     """Adds record_type and refers_to (an id) to records (id, payload_digest, payload_bytes, ...).
 
-    Only digests with several records meet again, each as one row: headers are grouped by digest with partial maxima, so
-    payloads are not moved and a digest that a third of the records share is no hot key.
+    Headers only are shuffled by digest: each digest's largest id by partial maxima, and the headers that revisit it by
+    several keys a digest, so that one which a third of the records share is no hot key. Payloads meet the decisions by
+    their own ids.
     """
     heads = records.filter(F.col("payload_bytes") >= least_bytes).select("payload_digest", "id")
-    firsts = heads.groupBy("payload_digest").agg(F.max("id").alias("first"), F.count("*").alias("k")).filter("k > 1").drop("k")
-    revisit = (F.col("payload_bytes") >= least_bytes) & F.col("first").isNotNull() & ~F.col("first").eqNullSafe(F.col("id"))
-    return records.join(firsts, "payload_digest", "left").withColumn("record_type", F.when(revisit, "revisit").otherwise("response")).withColumn("refers_to", F.when(revisit, F.col("first"))).drop("first")
+    firsts = heads.groupBy("payload_digest").agg(F.max("id").alias("first"), F.count("*").alias("k")).filter("k > 1 and first is not null")
+    firsts = firsts.select("payload_digest", "first", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("salt"))
+    salted = heads.distinct().withColumn("salt", F.pmod(F.xxhash64("id"), F.lit(SALTS)).cast("int"))
+    revisits = salted.join(firsts, ["payload_digest", "salt"]).filter(~F.col("id").eqNullSafe(F.col("first"))).select(F.col("payload_digest").alias("d"), F.col("id").alias("i"), "first")
+    met = records.join(revisits, F.col("id").eqNullSafe(F.col("i")) & (F.col("payload_digest") == F.col("d")), "left")
+    return met.withColumn("record_type", F.when(F.col("first").isNotNull(), "revisit").otherwise("response")).withColumnRenamed("first", "refers_to").drop("i", "d")
 
 
 def write_archives(records: DataFrame, path: str, date: str = DATE, compression: str = "gzip") -> None:
-    """records: id, uri, payload (strings), payload_digest, payload_bytes, record_type, refers_to. All headers are new."""
+    """records: id, uri, payload (strings), payload_digest, payload_bytes, record_type, refers_to. All headers are new. An archive is read as one
+    value, so it holds as many records as ARCHIVE_BYTES has place for at their mean size."""
     line = lambda name, value: F.coalesce(F.concat(F.lit(f"{name}: "), value, F.lit(EOL)), F.lit(""))
     clean = F.regexp_replace("uri", r"[\x00-\x20\x7f]+", "%20")
     is_revisit = F.col("record_type") == "revisit"
@@ -58,7 +67,9 @@ def write_archives(records: DataFrame, path: str, date: str = DATE, compression:
     )
     length = (F.octet_length(http) + F.when(is_revisit, 0).otherwise(F.col("payload_bytes"))).cast("string")
     record = F.concat(head, length, F.lit(EOL * 2), http, F.when(is_revisit, "").otherwise(F.col("payload")))
-    records.select(record.alias("value")).write.option("lineSep", EOL * 2).option("compression", compression).option("maxRecordsPerFile", 20_000).text(path)
+    mean = records.agg(F.avg("payload_bytes")).first()[0] or 0.0
+    most = int(max(1, min(20_000, ARCHIVE_BYTES / (mean + 1000))))
+    records.select(record.alias("value")).write.option("lineSep", EOL * 2).option("compression", compression).option("maxRecordsPerFile", most).text(path)
 
 
 def _headers(block: bytes) -> dict[str, str]:
@@ -67,13 +78,15 @@ def _headers(block: bytes) -> dict[str, str]:
 
 
 def parse(content: bytes) -> Iterator[tuple[dict[str, str], bytes]]:
-    """Headers and block of each record; lengths decide, so a payload may hold any bytes."""
+    """Headers and block of each record; lengths decide, so a payload may hold any bytes. A record that is cut off, or whose
+    length is missing or no number, raises a ValueError: what follows it can't be told from its payload."""
     data = gzip.decompress(content) if content[:2] == b"\x1f\x8b" else content
     at = 0
     while (at := data.find(b"WARC/", at)) >= 0:
-        end = data.index(b"\r\n\r\n", at)
-        head = _headers(data[at:end])
-        size = int(head["content-length"])
+        end = data.find(b"\r\n\r\n", at)
+        head = _headers(data[at:end]) if end >= 0 else {}
+        if not head.get("content-length", "").isdecimal() or end + 4 + (size := int(head["content-length"])) > len(data):
+            raise ValueError(f"malformed WARC record at byte {at}")
         yield head, data[end + 4 : end + 4 + size]
         at = end + 4 + size
 
@@ -120,7 +133,9 @@ def archive_pages(pages: DataFrame, path: str, least_bytes: int = LEAST_BYTES) -
     """
     kind = pages.schema["page_id"].dataType
     write_archives(resolve(page_records(pages), least_bytes), path)
-    found = read_archives(pages.sparkSession, path).withColumn("page_id", F.col("page_id").cast(kind))
+    # archives are parsed once; what is kept of them are headers
+    read = read_archives(pages.sparkSession, path)
+    found = Scratch(pages.sparkSession).save(read, "read").withColumn("page_id", F.col("page_id").cast(kind))
     back = found.filter("record_type = 'response' and page_id is not null").select(F.col("record_id").alias("refers_to_record"), F.col("page_id").alias("refers_to")).distinct()
     wanted = found.filter("record_type = 'revisit'").join(back, "refers_to_record", "left")
     rest = found.filter("record_type <> 'revisit'").withColumn("refers_to", F.lit(None).cast(kind))

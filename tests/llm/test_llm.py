@@ -366,6 +366,26 @@ def test_archives(spark, tmp_path):
 # classifiers
 
 
+def test_malformed_archives_raise(spark, tmp_path):
+    good = b"WARC/1.1\r\nWARC-Type: response\r\nContent-Length: 4\r\n\r\nabcd\r\n\r\n"
+    assert [block for _, block in warc.parse(good * 2)] == [b"abcd"] * 2
+    for bad in (good[:-7], good.replace(b": 4", b": x"), good.replace(b"Content-Length: 4\r\n", b""), b"WARC/1.1\r\nWARC-Type: r"):
+        with pytest.raises(ValueError, match="malformed"):
+            list(warc.parse(good + bad))
+
+
+def test_a_digest_of_most_pages(spark, tmp_path):
+    """One payload fills a third of the pages, with repeated rows, null ids and columns of the operator's own names."""
+    body = "x" * 1500
+    rows = [(i, "u", body) for i in range(40)] + [(39, "v", body), (None, "u", body), (None, None, None)] + [(100 + i, "u", f"{i} " * 700) for i in range(60)] + [(200, "u", "small"), (201, "u", "small")]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string").withColumns({"id": F.lit(1), "first": F.lit("f"), "salt": F.lit(0)})
+    got = warc.archive_pages(pages, str(tmp_path / "w")).collect()
+    assert len(got) == len(rows) and all(r.intact for r in got)
+    kinds = collections.Counter((r.page_id, r.record_type, r.refers_to) for r in got if r.page_id is None or r.page_id < 100)
+    assert kinds == collections.Counter([(i, "revisit", 39) for i in range(39)] + [(39, "response", None)] * 2 + [(None, "revisit", 39), (None, "response", None)])
+    assert all(r.record_type == "response" for r in got if r.page_id and r.page_id >= 100)
+
+
 def test_toxicity_held_out(spark):
     rng = random.Random(9)
     bad = ["zog" + x for x in ("ab", "cd", "ef")]
