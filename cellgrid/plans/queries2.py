@@ -321,3 +321,20 @@ SELECT sample, round(pow(10.0::DOUBLE, any_value(tx) - arg_max(rx, (y - x, -rx))
 ORACLE_SQL["inflection"] = _LOGLOG + """, g AS (SELECT sample, floor(lx / greatest(tx, 1e-9::DOUBLE) * 50) AS b, avg(lx) AS lx, avg(ly) AS ly FROM c GROUP BY ALL),
 s AS (SELECT sample, b, lx, (lead(ly) OVER w - lag(ly) OVER w) / (lead(lx) OVER w - lag(lx) OVER w) AS s FROM g WINDOW w AS (PARTITION BY sample ORDER BY b))
 SELECT sample, round(pow(10.0::DOUBLE, arg_min(lx, (s, b))))::BIGINT AS inflection FROM s WHERE s IS NOT NULL GROUP BY sample"""
+
+# components: each node takes the least label of its neighbours until none changes
+ORACLE_SQL["merge_beads"] = """WITH RECURSIVE e AS (SELECT DISTINCT a.l_partkey::VARCHAR AS a, b.l_partkey::VARCHAR AS b FROM lineitem a JOIN lineitem b ON a.l_orderkey = b.l_orderkey AND a.l_partkey <> b.l_partkey),
+cc(node, label) USING KEY (node) AS (SELECT DISTINCT a, a FROM e UNION SELECT e.b, min(cc.label) FROM cc JOIN e ON cc.node = e.a JOIN recurring.cc AS old ON old.node = e.b WHERE cc.label < old.label GROUP BY e.b)
+SELECT node AS bead, label AS droplet, count(*) OVER (PARTITION BY label) AS n_beads FROM cc"""
+
+_ISLANDS = "sum(CASE WHEN start = prev THEN 0 ELSE 1 END) OVER (PARTITION BY {0} ORDER BY start) AS island FROM (SELECT *, lag(stop) OVER (PARTITION BY {0} ORDER BY start) AS prev FROM {1})"
+
+ORACLE_SQL["build_saf"] = f"""WITH p AS (SELECT 'G' || p_partkey // 4 AS gene_id, 'chr' || ((p_partkey // 4) % 5) AS chr, CASE WHEN (p_partkey // 4) % 2 = 0 THEN '+' ELSE '-' END AS strand, (p_size > 30)::INT AS exon, p_partkey * 40 AS start, p_partkey * 40 + p_size AS stop FROM part),
+g AS (SELECT gene_id, chr, strand, min(start) AS start, max(stop) AS stop FROM p GROUP BY ALL), z AS (SELECT chr, max(stop) + 100 AS length FROM g GROUP BY chr),
+v AS (SELECT gene_id, chr, strand, unnest([start, stop]) AS pos, unnest([1, -1]) * exon AS x, unnest([1, -1]) * (1 - exon) AS u, 0 AS g FROM p UNION ALL SELECT gene_id, chr, strand, unnest([start, stop]), 0, 0, unnest([1, -1]) FROM g),
+w AS (SELECT gene_id, chr, strand, pos AS start, lead(pos) OVER o AS stop, sum(sum(x)) OVER o AS x, sum(sum(u)) OVER o AS u, sum(sum(g)) OVER o AS g FROM v GROUP BY gene_id, chr, strand, pos WINDOW o AS (PARTITION BY gene_id, chr, strand ORDER BY pos)),
+c AS (SELECT gene_id || '_' || CASE WHEN u > 0 THEN 'UTR' WHEN x > 0 THEN 'EXON' ELSE 'INTRON' END AS name, chr, strand, start, stop FROM w WHERE stop > start AND g > 0),
+n AS (SELECT chr, strand, pos AS start, lead(pos) OVER o AS stop, sum(sum(a)) OVER o AS a, sum(sum(b)) OVER o AS b FROM (SELECT chr, strand, unnest([start, stop]) AS pos, unnest([1, -1]) AS a, 0 AS b FROM g
+  UNION ALL SELECT chr, strand, unnest([0, length]), 0, unnest([1, -1]) FROM z, (SELECT unnest(['+', '-']) AS strand)) GROUP BY chr, strand, pos WINDOW o AS (PARTITION BY chr, strand ORDER BY pos)),
+i AS (SELECT * FROM c UNION ALL SELECT 'INTERGENIC', chr, strand, start, stop FROM n WHERE stop > start AND a = 0 AND b > 0)
+SELECT name, chr, min(start)::BIGINT AS start, max(stop)::BIGINT AS stop, strand FROM (SELECT *, {_ISLANDS.format("name, chr, strand", "i")}) GROUP BY name, chr, strand, island"""

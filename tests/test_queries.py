@@ -9,8 +9,6 @@ from cellgrid.plans import queries2, queries3  # noqa: F401  they register more
 from cellgrid.plans.queries import ORACLE_SQL, QUERIES
 
 TABLES = "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels conversations".split()
-#: Rounds of joins with a checkpoint each; checked on small graphs in test_operators.
-SLOW = {"merged_cell_names", "deconvolution_metrics"}
 
 
 def plain(rows, columns):
@@ -33,7 +31,7 @@ def db(data):
     return con
 
 
-@pytest.mark.parametrize("name", sorted(set(QUERIES) - SLOW))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query(spark, data, db, name):
     df = QUERIES[name](spark, data)
     rows = [tuple(r) for r in df.collect()]
