@@ -90,14 +90,15 @@ def merge_intervals(df: DataFrame, keys: list[str]) -> DataFrame:
     """(keys, start, stop, n): unions of overlapping or adjacent intervals of each key (W13); an empty table gives none.
 
     A contig is swept in sorted ranges: each starts from the farthest stop of the ranges before it, and the pieces that a
-    union has in several ranges are put together at the end.
+    union has in several ranges are put together at the end. Equal intervals are counted first, so that many of them are
+    one row and not one range.
     """
-    at = in_ranges(df.select(*keys, "start", "stop"), [*keys, "start", "stop"], "_part")
+    at = in_ranges(df.groupBy(*keys, "start", "stop").agg(F.count("*").alias("_n")), [*keys, "start", "stop"], "_part")
     w, over = Window.partitionBy(*keys, "_part").orderBy("start", "stop"), Window.partitionBy(*keys).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
     parts = at.groupBy(*keys, "_part").agg(F.max("stop").alias("_top")).select(*keys, "_part", F.max("_top").over(over).alias("_before"))
     reach = F.greatest("_before", F.max("stop").over(w.rowsBetween(Window.unboundedPreceding, -1)))
     new = at.join(parts, [*keys, "_part"]).withColumn("_new", F.when(F.col("start") <= reach, 0).otherwise(1)).withColumn("_piece", F.sum("_new").over(w))
-    pieces = new.groupBy(*keys, "_part", "_piece").agg(F.min("start").alias("start"), F.max("stop").alias("stop"), F.count("*").alias("n"))
+    pieces = new.groupBy(*keys, "_part", "_piece").agg(F.min("start").alias("start"), F.max("stop").alias("stop"), F.sum("_n").alias("n"))
     ahead = pieces.groupBy(*keys, "_part").agg(F.max("_piece").alias("_k")).select(*keys, "_part", F.coalesce(F.sum("_k").over(over), F.lit(0)).alias("_ahead"))
     islands = pieces.join(ahead, [*keys, "_part"]).withColumn("_island", F.col("_ahead") + F.col("_piece"))
     return islands.groupBy(*keys, "_island").agg(F.min("start").alias("start"), F.max("stop").alias("stop"), F.sum("n").alias("n")).drop("_island")
