@@ -5,6 +5,7 @@ import math
 import random
 import re
 from html.parser import HTMLParser
+from types import SimpleNamespace
 
 import duckdb
 import numpy as np
@@ -12,7 +13,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from cellgrid.llm import decontam, html, langid, mixing, neardup, passages, quality, queries, topk, toxicity, warc
-from cellgrid.llm.common import Scratch, hashed_words, shingle_set, shingle_sets, table, word_hashes, words
+from cellgrid.llm.common import Scratch, hashed_words, shared_dir, shingle_set, shingle_sets, table, word_hashes, words
 
 WORDS = [a + b + c for a in "bdfgklmn" for b in "aeiou" for c in ("st", "rn", "l", "nd", "p")]
 DOC = "doc_id long, text string, lang string, source string"
@@ -49,6 +50,14 @@ def components(sets):
     return {i: find(i) for i in sets}
 
 
+def test_a_cluster_needs_a_shared_folder():
+    session = lambda master, path: SimpleNamespace(conf=SimpleNamespace(get=lambda k, d: path), sparkContext=SimpleNamespace(getCheckpointDir=lambda: None, master=master))
+    assert shared_dir(session("yarn", "store://x")) == "store://x"
+    for master in ("yarn", "local-cluster[3,2,1000]"):
+        with pytest.raises(ValueError, match="checkpoint"):
+            shared_dir(session(master, None))
+
+
 # words
 
 
