@@ -3,6 +3,7 @@
 import itertools
 import math
 import random
+from types import SimpleNamespace
 
 import numpy as np
 import pytest
@@ -253,3 +254,11 @@ def test_contig_counts(spark, tmp_path):
     (tmp_path / "s1_idxstats.txt").write_text("chr1\t1000\t12\t3\n*\t0\t0\t7\nbroken line\n")
     got = reports.tidy_contig_counts(reports.contig_counts(spark, str(tmp_path))).collect()
     assert {(r.metric, r.value) for r in got} == {("chr1_contig_length", 1000.0), ("chr1_reads_aligned", 12.0), ("chr1_reads_unaligned", 3.0), ("*_contig_length", 0.0), ("*_reads_aligned", 0.0), ("*_reads_unaligned", 7.0)}
+
+
+def test_a_cluster_needs_a_shared_folder():
+    session = lambda master, path: SimpleNamespace(conf=SimpleNamespace(get=lambda k, d: path), sparkContext=SimpleNamespace(getCheckpointDir=lambda: None, master=master))
+    assert graph.shared_dir(session("yarn", "store://x")) == "store://x"
+    for master in ("yarn", "local-cluster[3,2,1000]"):
+        with pytest.raises(ValueError, match="checkpoint"):
+            graph.shared_dir(session(master, None))
