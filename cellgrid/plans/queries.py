@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from ..functions import scalar as S
 from ..operators import adt, atac, barcodes, checks, edges, merge_atac, metrics, ml, ranges, rna
+from ..operators.graph import checkpoint
 from . import adapters as A
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -71,8 +72,9 @@ def mode_of_support(spark, d):
 
 def _merged(spark, d):
     f = A.frag(spark, d)
-    pairs = merge_atac.bead_pair_jaccard(f)
-    counts = merge_atac.dedup_bead(merge_atac.nc_filter(f)).groupBy("bead").agg(F.count("*").alias("n"))
+    # both are read by every round of the merge
+    pairs = checkpoint(merge_atac.bead_pair_jaccard(f))
+    counts = checkpoint(merge_atac.dedup_bead(merge_atac.nc_filter(f)).groupBy("bead").agg(F.count("*").alias("n")))
     cut = pairs.agg(F.percentile("jaccard_frag", F.lit(0.99))).first()[0] or 0.0
     return merge_atac.merge_by_jaccard(counts, pairs, cut), pairs, counts, cut
 
