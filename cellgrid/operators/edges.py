@@ -2,6 +2,11 @@
 
 from __future__ import annotations
 
+from collections import Counter
+from collections.abc import Iterator
+from itertools import combinations
+
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -11,6 +16,10 @@ from .numbering import numbered
 
 EDGE = ["bead1", "umi1", "bead2", "umi2"]
 _GAP, _BLANK = "\x01", "\x02"
+#: Edges of a bead pair that one row holds.
+HELD = 4096
+#: Edges that are compared each with each, in columns.
+FEW = 16
 
 
 def canonical(edges: DataFrame) -> DataFrame:
@@ -70,15 +79,84 @@ def umi_links(counts: DataFrame, threshold: int = 1) -> DataFrame:
     return links if threshold == 1 else links.distinct()
 
 
-def correct_edge_umis(edges: DataFrame, threshold: int = 1) -> DataFrame:
+def _directional(met: list[str], threshold: int) -> list[tuple[str, int, int]]:
+    """(UMI pair, n, corrected) of one bead pair's edges, each written as umi1, gap, umi2."""
+    n, keys = Counter(met), {}
+    for u in n:
+        at = [i for i, c in enumerate(u) if c != _GAP]
+        own = []
+        for blank in combinations(at, min(threshold, len(at))):
+            s = list(u)
+            for i in blank:
+                s[i] = _BLANK
+            own.append("".join(s))
+        keys[u] = own
+    same: dict[str, list[str]] = {}
+    for u, own in keys.items():
+        for k in own:
+            same.setdefault(k, []).append(u)
+    out, taken = [], set()
+    for u in sorted(n, key=lambda u: (-n[u], u.split(_GAP))):
+        if u in taken:
+            continue
+        taken.add(u)
+        reach, total = [u], 0
+        for x in reach:
+            total += n[x]
+            for k in keys[x]:
+                for y in same[k]:
+                    if y not in taken and n[x] >= 2 * n[y] - 1:
+                        taken.add(y)
+                        reach.append(y)
+        out.append((u, total, total - n[u]))
+    return out
+
+
+def _corrected(edges: DataFrame, threshold: int) -> DataFrame:
+    """correct_edge_umis for canonical edges without nulls, where a row holds the edges of a bead pair.
+
+    Few edges without a link among them stay in columns; the others are put together one bead pair at a time."""
+    met = edges.groupBy("bead1", "bead2").agg(F.collect_list(F.concat("umi1", F.lit(_GAP), "umi2")).alias("met"))
+    # what differs in few places is no farther by edits
+    near = lambda a, b: (a < b) & (F.length(a) == F.length(b)) & (F.levenshtein(a, b) <= threshold)
+    own = F.array_distinct("met")
+    linked = (F.size("met") > 1) & ((F.size("met") > FEW) | F.exists(own, lambda a: F.exists(own, lambda b: near(a, b))))
+    alone = F.transform(own, lambda u: F.struct(u.alias("u"), F.size(F.filter("met", lambda x: x == u)).cast("long").alias("n"), F.lit(0).cast("long").alias("corrected")))
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in batches:
+            rows = [(a, b, *r) for a, b, m in zip(pdf["bead1"], pdf["bead2"], pdf["met"], strict=True) for r in _directional(list(m), threshold)]
+            yield pd.DataFrame(rows, columns=["bead1", "bead2", "u", "n", "corrected"])
+
+    b1, b2 = (f"{c} {edges.schema[c].dataType.simpleString()}" for c in ("bead1", "bead2"))
+    both = met.filter(~linked).select("bead1", "bead2", F.explode(alone).alias("r")).select("bead1", "bead2", "r.*").union(met.filter(linked).mapInPandas(run, f"{b1}, {b2}, u string, n long, corrected long"))
+    return both.select("bead1", F.substring_index("u", _GAP, 1).alias("umi1"), "bead2", F.substring_index("u", _GAP, -1).alias("umi2"), "n", "corrected")
+
+
+def correct_edge_umis(edges: DataFrame, threshold: int = 1, held: int = HELD) -> DataFrame:
     """(bead1, umi1, bead2, umi2, n, corrected): UMI pairs after directional correction, n edges each.
 
     From the commonest down, a UMI pair takes what it reaches by links and nobody has taken; of equal counts the first by
-    UMIs goes first. So each belongs to the first of all that reach it, which rounds of joins find: counts fall by half
-    along a link unless both are 1, and UMI pairs of count 1 are put together as components. Null beads and UMIs count as
-    values that differ from all others; an empty table gives an empty table.
+    UMIs goes first. Bead pairs of at most ``held`` edges come in one row each, and their edges move once. Those with
+    more edges, or with nulls, go by masked keys. Null beads and UMIs count as values that differ from all others; an empty
+    table gives an empty table.
+    """
+    c = canonical(edges).select(*EDGE)
+    sizes = c.groupBy("bead1", "bead2").agg(F.count("*").alias("k"), F.count_if(F.col("umi1").isNull() | F.col("umi2").isNull()).alias("nulls"))
+    rest = checkpoint(sizes.filter(f"k > {held} or nulls > 0 or bead1 is null or bead2 is null").select(F.col("bead1").alias("r1"), F.col("bead2").alias("r2")))
+    if rest.isEmpty():
+        return _corrected(c, threshold)
+    among = F.col("bead1").eqNullSafe(F.col("r1")) & F.col("bead2").eqNullSafe(F.col("r2"))
+    return _corrected(c.join(rest, among, "left_anti"), threshold).union(_corrected_by_keys(c.join(rest, among, "left_semi"), threshold))
+
+
+def _corrected_by_keys(edges: DataFrame, threshold: int) -> DataFrame:
+    """correct_edge_umis for canonical edges, where a bead pair is spread over masked keys.
+
+    Each UMI pair belongs to the first of all that reach it, which rounds of joins find: counts fall by half along a link
+    unless both are 1, and UMI pairs of count 1 are put together as components.
     """
-    n = canonical(edges).groupBy(*EDGE).agg(F.count("*").alias("n"))
+    n = edges.groupBy(*EDGE).agg(F.count("*").alias("n"))
     # in order of nodes the commoner comes first
     node = F.struct("bead1", "bead2", (-F.col("n")).alias("less"), "umi1", "umi2").alias("node")
     links = checkpoint(umi_links(n.dropna(subset=EDGE).select(node, "n"), threshold))

@@ -262,3 +262,17 @@ def test_a_cluster_needs_a_shared_folder():
     for master in ("yarn", "local-cluster[3,2,1000]"):
         with pytest.raises(ValueError, match="checkpoint"):
             graph.shared_dir(session(master, None))
+
+
+@pytest.mark.parametrize("threshold", [1, 2])
+def test_umi_correction_by_rows_and_by_keys(spark, threshold, monkeypatch):
+    """Bead pairs of few edges need no masked keys, and both ways give the same rows."""
+    rng = random.Random(7)
+    umi = lambda: "".join(rng.choice("AC") for _ in range(4))
+    rows = [(f"b{rng.randrange(3)}", umi(), f"c{rng.randrange(3)}", rng.choice(["G", "GG", "T"])) for _ in range(400)] + [("x", "A", "y", None), (None, "A", "y", "A")]
+    e = spark.createDataFrame(rows, edges.EDGE)
+    mixed, by_keys = (sorted(map(tuple, edges.correct_edge_umis(e, threshold, held).collect()), key=str) for held in (50, 0))
+    assert mixed == by_keys and any(r[5] for r in mixed)
+    monkeypatch.setattr(edges, "umi_links", None)
+    few = e.dropna()
+    assert sorted(map(tuple, edges.correct_edge_umis(few, threshold).collect()), key=str) == [r for r in by_keys if None not in r]
