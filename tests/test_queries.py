@@ -49,3 +49,8 @@ def test_droplets_that_share_a_name(spark, tmp_path):
     df = QUERIES["barcode_map_round_trip"](spark, str(tmp_path))
     want = con.sql(ORACLE_SQL["barcode_map_round_trip"])
     assert plain([tuple(r) for r in df.collect()], df.columns) == plain(want.fetchall(), want.columns)
+
+
+def test_columns_that_differ_in_case_are_written(spark, data, tmp_path):
+    QUERIES["read_qc"](spark, data).write.parquet(f"{tmp_path}/out")
+    assert spark.conf.get("spark.sql.caseSensitive") == "false"
