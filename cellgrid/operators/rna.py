@@ -33,23 +33,25 @@ def expression_summary(reads: DataFrame, mito: tuple[str, ...] = ("chrM", "MT"),
     With species, names of contigs carry them, and each gets its reads and UMIs.
     """
     is_mito = F.element_at(F.split("contig", r"\."), -1).isin(*mito)
-    f, g = F.col("feature"), F.col("gene")
-    pseudo = g.isin("INTRON", "INTERGENIC")
-    n = lambda c, name: F.count_if(c).alias(name)
+    f, g, status = F.col("feature"), F.col("gene"), F.col("status")
     assigned = g.isNotNull() & ~g.startswith("Unassigned")
-    more = [x for s in species or [] for x in (n(F.col("contig").startswith(f"{s}."), f"input_{s}_reads"), F.countDistinct(F.when(F.col("contig").startswith(f"{s}.") & assigned, F.struct("contig", "gene", "umi"))).alias(f"{s}_umi"))]
-    return reads.groupBy("cell").agg(
-        F.count("*").alias("input_reads"),
-        F.countDistinct(F.when(assigned, F.struct("contig", "gene"))).alias("genes"),
-        F.countDistinct(F.when(assigned, F.struct("contig", "gene", "umi"))).alias("umi"),
-        F.countDistinct(F.when(assigned & ~pseudo, F.struct("contig", "gene", "umi"))).alias("transcripts"),
-        n(assigned & ~pseudo, "genic_reads"), n(f == "EXON", "coding_reads"), n(f == "UTR", "utr_reads"),
-        n((f == "INTRON") | (g == "INTRON"), "intronic_reads"), n((f == "INTERGENIC") | (g == "INTERGENIC"), "intergenic_reads"),
-        n(F.col("ribosomal"), "rRNA_reads"), n(is_mito & ~F.col("ribosomal"), "mitochondrial_reads"),
-        n(F.col("status") == "Unassigned_Ambiguity", "unassigned_ambiguous_reads"),
-        n(F.col("status") == "Unassigned_MappingQuality", "unassigned_low_mapping_qual_reads"),
-        n(F.col("status").startswith("Unassigned") & ~F.col("status").isin("Unassigned_Ambiguity", "Unassigned_MappingQuality"), "unassigned_other_reads"),
-        *more,
+    genic = assigned & ~g.isin("INTRON", "INTERGENIC")
+    classes = {
+        "input_reads": F.lit(True), "coding_reads": f == "EXON", "utr_reads": f == "UTR", "intronic_reads": (f == "INTRON") | (g == "INTRON"),
+        "intergenic_reads": (f == "INTERGENIC") | (g == "INTERGENIC"), "rRNA_reads": F.col("ribosomal"), "_other_reads": ~F.col("ribosomal"),
+        "unassigned_ambiguous_reads": status == "Unassigned_Ambiguity", "unassigned_low_mapping_qual_reads": status == "Unassigned_MappingQuality",
+        "unassigned_other_reads": status.startswith("Unassigned") & ~status.isin("Unassigned_Ambiguity", "Unassigned_MappingQuality"),
+    }
+    sums = [F.sum(c).alias(c) for c in classes]
+    # reads move once, and so do the sums of a cell's genes: UMIs are told apart where their gene's reads are
+    umis = reads.repartition("cell", "contig", "gene").groupBy("cell", "contig", "gene", "umi").agg(*[F.count_if(c).alias(name) for name, c in classes.items()])
+    genes = umis.groupBy("cell", "contig", "gene").agg(F.count("*").alias("_umis"), *sums)
+    zero = lambda where, c, name: F.coalesce(F.sum(F.when(where, F.col(c))), F.lit(0)).cast("long").alias(name)
+    more = [x for s in species or [] for x in (zero(F.col("contig").startswith(f"{s}."), "input_reads", f"input_{s}_reads"), zero(F.col("contig").startswith(f"{s}.") & assigned, "_umis", f"{s}_umi"))]
+    return genes.groupBy("cell").agg(
+        F.sum("input_reads").alias("input_reads"), F.count_if(assigned).alias("genes"), zero(assigned, "_umis", "umi"), zero(genic, "_umis", "transcripts"), zero(genic, "input_reads", "genic_reads"),
+        *[F.sum(c).alias(c) for c in classes if c not in ("input_reads", "_other_reads") and not c.startswith("unassigned")],
+        zero(is_mito, "_other_reads", "mitochondrial_reads"), *[F.sum(c).alias(c) for c in classes if c.startswith("unassigned")], *more,
     )
 
 

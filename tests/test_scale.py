@@ -10,7 +10,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from cellgrid.functions import scalar as S
-from cellgrid.operators import barcodes, edges, graph, merge_atac, ranges
+from cellgrid.operators import barcodes, edges, graph, merge_atac, ml, ranges, rna
 from cellgrid.sources import files, reports
 
 INTERVAL = "chr string, start long, stop long, id long"
@@ -283,3 +283,47 @@ def test_gaps_behind_the_contigs_end(spark):
     sizes = spark.createDataFrame([("a", 10), ("b", 10), ("c", 10)], "chr string, length long")
     got = sorted(map(tuple, ranges.complement_intervals(df, sizes, ["chr"]).collect()))
     assert got == [("a", 0, 3), ("a", 5, 12), ("a", 14, 20), ("b", 0, 2), ("b", 4, 10), ("c", 0, 10)]
+
+
+def test_vectors_are_made_once(spark):
+    made = spark.sparkContext.accumulator(0)
+
+    @F.udf("array<double>")
+    def values(i):
+        made.add(1)
+        return [float(i % 7), float(i % 5), float(i % 3)]
+
+    v = spark.range(60).select(F.col("id").cast("string").alias("cell"), ml.array_to_vector(values("id")).alias("v"))
+    assert ml.cluster(ml.pca(v, 2), 3).count() == 60
+    assert made.value == 60
+
+
+def test_cells_are_summed_without_copies_of_reads(spark):
+    """No row is made for each kind of distinct count."""
+    rows = [("c", "hs.1", "G", "EXON", "Assigned", "u", False), ("c", "hs.1", "G", "UTR", "Assigned", "u", True), ("c", "hs.2", "G", "EXON", "Assigned", "u", False), ("c", "hs.MT", "INTRON", "INTRON", "Assigned", None, False), ("d", "mm.1", None, None, "Unassigned_X", "u", False)]
+    df = rna.expression_summary(spark.createDataFrame(rows, "cell string, contig string, gene string, feature string, status string, umi string, ribosomal boolean"), species=["hs", "mm"])
+    assert "Expand" not in df._jdf.queryExecution().executedPlan().toString()
+    got = {r.cell: r for r in df.collect()}
+    assert [got["c"][x] for x in ("input_reads", "genes", "umi", "transcripts", "genic_reads", "mitochondrial_reads", "rRNA_reads", "hs_umi", "mm_umi")] == [4, 3, 3, 2, 3, 1, 1, 3, 0]
+    assert [got["d"][x] for x in ("input_reads", "genes", "umi", "unassigned_other_reads", "input_mm_reads", "mm_umi")] == [1, 0, 0, 1, 1, 0]
+
+
+def test_bases_are_trimmed_in_arrays(spark):
+    df = spark.createDataFrame([(1, "I" * 5 + "#" * 3), (2, ""), (3, None)], "i int, q string").select("i", S.quality_cut("q").alias("keep"))
+    assert "ArrowEvalPython" in df._jdf.queryExecution().executedPlan().toString()
+    assert dict(map(tuple, df.collect())) == {1: 5, 2: 0, 3: None}
+
+
+def test_tags_are_parsed_without_patterns(spark):
+    tags = {"a_EXON,b_INTRON": ("a", "EXON", 1), "a_EXON,a_UTR": ("a", "UTR", 1), "a_b_UTR": ("a_b", "UTR", 1), "EXON": ("EXON", None, 0), "a_INTRON": ("INTRON", None, 0), None: (None, None, 0)}
+    df = spark.createDataFrame([(t,) for t in tags], "t string").select("t", S.assign_feature("t").alias("a")).select("t", "a.*")
+    assert "regexp" not in df._jdf.queryExecution().executedPlan().toString()
+    assert {r[0]: tuple(r)[1:] for r in df.collect()} == tags
+
+
+def test_shares_in_peaks_by_whole_intervals(spark):
+    """Fragments are told apart by all their columns, not by a digest."""
+    frags = spark.createDataFrame([("a", 0, 10, "c", "x"), ("a", 0, 10, "c", "y"), ("a", 0, 50, "c", "x"), ("a", 90, 95, "c", "x")], "chr string, start long, stop long, cell string, read_name string")
+    df = ranges.frip_by_cell(spark.createDataFrame([("a", 5, 8), ("a", 40, 45)], "chr string, start long, stop long"), frags)
+    assert "xxhash64" not in df._jdf.queryExecution().executedPlan().toString()
+    assert [tuple(r) for r in df.collect()] == [("c", 3, 2, 2 / 3)]
