@@ -10,6 +10,8 @@ from pyspark.ml.functions import array_to_vector
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from .graph import checkpoint
+
 
 def log_normalize(counts: DataFrame, scale: float = 1e4) -> DataFrame:
     """Adds x = log1p(n * scale / depth of the cell) (K1)."""
@@ -35,7 +37,8 @@ def feature_vectors(counts: DataFrame, features: list[str], x: str = "x") -> Dat
 
 
 def pca(vectors: DataFrame, k: int) -> DataFrame:
-    """(cell, pcs) (K3)."""
+    """(cell, pcs) (K3). The vectors are read by each pass of the fits here and after, so they are kept."""
+    vectors = checkpoint(vectors)
     return PCA(k=k, inputCol="v", outputCol="pcs").fit(vectors).transform(vectors).select("cell", "pcs")
 
 
