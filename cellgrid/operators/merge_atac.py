@@ -40,22 +40,22 @@ def site_pairs(at: DataFrame, block: int = BLOCK) -> DataFrame:
     """(b1, b2, n): how often rows of two beads meet at a site, b1 > b2.
 
     Rows are first counted by site and bead, so a pair comes once per site, with the product of its counts. The beads of a
-    site with more than ``block`` of them are dealt to blocks, and each pair of blocks is a join key of its own: no key
-    holds more than two blocks, whatever a site holds. Rows with a null bead meet nothing.
+    site move to one place once, where they are counted and put in one row. Those of a site with more than ``block`` of them
+    are dealt to blocks instead, and each pair of blocks is a join key of its own: no row or key holds more than two blocks,
+    whatever a site holds. Rows with a null bead meet nothing.
     """
     site = ["chr", "side", "pos"]
     n = at.filter("bead is not null").groupBy(*site, "bead").agg(F.count("*").alias("k"))
-    # hot sites are looked up by several keys each, so that the look-up is no hot key itself
-    salts = 16
-    salt = lambda: F.pmod(F.xxhash64("bead", F.lit(1)), F.lit(salts)).cast("int").alias("_salt")
-    hot = n.groupBy(*site).agg(F.count("*").alias("_beads")).filter(F.col("_beads") > block)
-    hot = hot.select(*site, F.ceil(F.col("_beads") / block).cast("int").alias("_m"), F.explode(F.sequence(F.lit(0), F.lit(salts - 1))).alias("_salt"))
-    dealt = n.select("*", salt()).join(hot, [*site, "_salt"], "left").withColumn("_m", F.coalesce("_m", F.lit(1)))
+    n = n.withColumn("_beads", F.count("*").over(Window.partitionBy(*site)))
+    met = n.filter(F.col("_beads").between(2, block)).groupBy(*site).agg(F.sort_array(F.collect_list(F.struct("bead", "k"))).alias("met"))
+    each = met.select("met", F.posexplode("met").alias("i", "a")).filter("i > 0").select("a", F.explode(F.slice("met", F.lit(1), F.col("i"))).alias("b"))
+    few = each.select(F.col("a.bead").alias("b1"), F.col("b.bead").alias("b2"), (F.col("a.k") * F.col("b.k")).alias("n"))
+    dealt = n.filter(F.col("_beads") > block).withColumn("_m", F.ceil(F.col("_beads") / block).cast("int"))
     dealt = dealt.withColumn("_g", F.pmod(F.xxhash64("bead"), F.col("_m")).cast("int"))
     a = dealt.select(*site, F.col("_g").alias("_i"), F.explode(F.sequence(F.col("_g"), F.col("_m") - 1)).alias("_j"), F.col("bead").alias("x1"), F.col("k").alias("k1"))
     b = dealt.select(*site, F.explode(F.sequence(F.lit(0), F.col("_g"))).alias("_i"), F.col("_g").alias("_j"), F.col("bead").alias("x2"), F.col("k").alias("k2"))
     pairs = a.join(b, [*site, "_i", "_j"]).filter((F.col("_i") < F.col("_j")) | (F.col("x1") > F.col("x2")))
-    return pairs.select(F.greatest("x1", "x2").alias("b1"), F.least("x1", "x2").alias("b2"), (F.col("k1") * F.col("k2")).alias("n"))
+    return few.union(pairs.select(F.greatest("x1", "x2").alias("b1"), F.least("x1", "x2").alias("b2"), (F.col("k1") * F.col("k2")).alias("n")))
 
 
 def pair_counts(pairs: DataFrame, least: int = 4) -> DataFrame:

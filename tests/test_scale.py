@@ -327,3 +327,11 @@ def test_shares_in_peaks_by_whole_intervals(spark):
     df = ranges.frip_by_cell(spark.createDataFrame([("a", 5, 8), ("a", 40, 45)], "chr string, start long, stop long"), frags)
     assert "xxhash64" not in df._jdf.queryExecution().executedPlan().toString()
     assert [tuple(r) for r in df.collect()] == [("c", 3, 2, 2 / 3)]
+
+
+def test_beads_of_a_site_move_once(spark):
+    """Where no site is hot, what meets is not looked up in a join."""
+    at = spark.createDataFrame([("c", "start", 5, "x"), ("c", "start", 5, "y"), ("c", "start", 5, "y"), ("c", "stop", 5, "x")], "chr string, side string, pos long, bead string")
+    df = merge_atac.site_pairs(at)
+    assert [tuple(r) for r in df.collect()] == [("y", "x", 2)]
+    assert df._jdf.queryExecution().optimizedPlan().toString().count("Join ") == 1
