@@ -30,8 +30,11 @@ def connected_components(edges: DataFrame) -> DataFrame:
     Alternating large-star and small-star steps; the minimum is joined back to the edges, so a hub is a skewed join key
     and never one task's group.
     """
-    nodes = edges.select(F.col("a").alias("node")).union(edges.select(F.col("b").alias("node"))).distinct()
-    now = checkpoint(edges.filter("a <> b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct())
+    down = F.col("a") > F.col("b")
+    # loops and nulls are kept for the list of nodes, so that edges are made once
+    first = checkpoint(edges.select(F.when(down, F.col("a")).otherwise(F.col("b")).alias("u"), F.when(down, F.col("b")).otherwise(F.col("a")).alias("v")).distinct())
+    nodes = first.select(F.col("u").alias("node")).union(first.select(F.col("v").alias("node"))).distinct()
+    now = first.filter("u <> v")
     was = None
     while True:
         near = now.union(now.select(F.col("v").alias("u"), F.col("u").alias("v")))

@@ -335,3 +335,17 @@ def test_beads_of_a_site_move_once(spark):
     df = merge_atac.site_pairs(at)
     assert [tuple(r) for r in df.collect()] == [("y", "x", 2)]
     assert df._jdf.queryExecution().optimizedPlan().toString().count("Join ") == 1
+
+
+def test_edges_of_components_are_made_once(spark):
+    made = spark.sparkContext.accumulator(0)
+
+    @F.udf("long")
+    def end(i):
+        made.add(1)
+        return i // 4 * 4
+
+    e = spark.range(12).select(F.col("id").alias("a"), end("id").alias("b")).union(spark.createDataFrame([(None, 40)], "a long, b long"))
+    got = {r.node: r.component for r in graph.connected_components(e).collect()}
+    assert got == {i: i // 4 * 4 for i in range(12)} | {None: None, 40: 40}
+    assert made.value == 12
