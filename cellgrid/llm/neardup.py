@@ -182,7 +182,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         b = sets.select(F.col("id").alias("b"), F.col("s").alias("sb"))
         na, nb = size.select(F.col("rep").alias("a"), F.col("n").alias("na")), size.select(F.col("rep").alias("b"), F.col("n").alias("nb"))
         near = pairs.join(na, "a").join(nb, "b").filter(f"least(na, nb) >= {NEAR} * greatest(na, nb)").select("a", "b").distinct()
-        return scratch.save(near.join(a, "a").join(b, "b").select("a", "b", "sa", "sb").mapInPandas(_confirm, f"a {t}, b {t}").distinct(), name)
+        return scratch.save(near.join(a, "a").join(b, "b").select("a", "b", "sa", "sb").mapInPandas(_confirm, f"a {t}, b {t}"), name)
 
     def likeliest(met_at: DataFrame) -> DataFrame:
         """Of the partners (p) that a class meets, the one that it meets in most buckets."""
@@ -207,9 +207,11 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
             item = F.struct(F.col("rep").alias("id"), "comp", "n", "registers", "s")
             part = F.pmod(F.xxhash64("rep"), F.greatest(F.lit(1), F.ceil(F.col("k") / BLOCK)))
             sized = some.join(main, "key").join(classes.select("rep", "n", "registers"), "rep")
-            whole = sized.filter((F.col("k") > HOT) & (F.col("n") <= WHOLE)).join(sets.select(F.col("id").alias("rep"), "s"), "rep")
-            rest_of = sized.filter((F.col("k") <= HOT) | (F.col("n") > WHOLE)).withColumn("s", F.lit(None).cast("binary"))
-            placed = whole.unionByName(rest_of).select("key", part.alias("part"), (F.col("comp") != F.col("main")).alias("other"), item.alias("item"))
+            whole = (F.col("rep") == F.col("own")) & (F.col("k") > HOT) & (F.col("n") <= WHOLE)
+            sized = sized.join(sets.select(F.col("id").alias("own"), "s"), whole, "left")
+            # saved, as it is read twice
+            placed = scratch.save(sized.select("key", part.alias("part"), (F.col("comp") != F.col("main")).alias("other"), item.alias("item")), "placed")
+            scratch.release()
             blocks = placed.groupBy("key", "part").agg(F.collect_list("item").alias("block"))
             rest = placed.filter("other").groupBy("key", "part").agg(F.collect_list("item").alias("rest"))
             pairs = rest.select("key", "rest").join(blocks.select("key", "block"), "key").select("rest", "block").mapInPandas(_across, f"a {t}, b {t}").distinct()
@@ -218,7 +220,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     reps = classes.select("c1", "c2", "rep").join(label.select(F.col("u").alias("rep"), "v"), "rep", "left").select("c1", "c2", F.coalesce("v", "rep").alias("component_id"))
     alone = F.when(F.col("n") > 0, F.coalesce("component_id", "id")).otherwise(F.col("id"))
     out = sketched.drop("registers").join(reps, ["c1", "c2"], "left").select("id", F.col("n").alias("n_shingles"), F.when(F.col("id").isNotNull(), alone).alias("component_id"))
-    scratch.drop("members", "sets", "apart-1", "apart-2", "links-0", "links-1", "links-2")
+    scratch.drop("members", "sets", "placed", "apart-1", "apart-2", "links-0", "links-1", "links-2")
     return out.select(F.col("id").alias(id_col), "n_shingles", "component_id", (F.col("id").isNull() | (F.col("id") == F.col("component_id"))).alias("kept"))
 
 

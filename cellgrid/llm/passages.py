@@ -376,6 +376,7 @@ def _labels(scratch: Scratch, found: DataFrame, classes: DataFrame) -> DataFrame
     main = some.groupBy("key", "comp").agg(F.count("*").alias("of")).groupBy("key").agg(F.max_by("comp", F.struct("of", "comp")).alias("main"))
     part = F.pmod(F.xxhash64("cls"), F.ceil(F.col("k") / BLOCK))
     blocked = some.join(main, "key").join(words, "cls").select("key", part.alias("part"), (F.col("comp") != F.col("main")).alias("other"), F.struct("cls", "comp", "words").alias("item"))
+    blocked = scratch.save(blocked, "blocked")  # it is read twice
     blocks = blocked.groupBy("key", "part").agg(F.collect_list("item").alias("block"))
     rest = blocked.filter("other").groupBy("key", "part").agg(F.collect_list("item").alias("rest"))
     pairs = rest.select("key", "rest").join(blocks.select("key", "block"), "key").select("rest", "block").mapInPandas(_across, "a long, b long").distinct()
@@ -442,7 +443,7 @@ def repeated_passages(docs: DataFrame) -> DataFrame:
     wider = now.join(moves, ["doc", "start", "stop", "keeper"], "left").withColumn("start", F.least("start", F.col("opening_at") - F.col("before"))).withColumn("stop", F.greatest("stop", F.col("last_at") + F.col("after"))).withColumn("cls", F.lit(None).cast("long")).withColumn("first", F.lit(None).cast(t))
     out = merged(wider, "wider")
     scratch.release()
-    scratch.drop("found", "classes", "words", "members", "links-0", "links-1", "links-2", "apart-1", "apart-2", "rare", "owner", "merged", "ends", "beside")
+    scratch.drop("found", "classes", "words", "members", "links-0", "links-1", "links-2", "apart-1", "apart-2", "rare", "blocked", "owner", "merged", "ends", "beside")
     return out.select(F.col("id").alias("doc_id"), "start", "stop", "passage", F.col("keeper").alias("keeper_doc_id"), (F.col("keeper") != F.col("id")).alias("removed"), F.col("doc").alias("text_digest"))
 
 

@@ -12,7 +12,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from cellgrid.llm import decontam, html, langid, mixing, neardup, passages, quality, queries, topk, toxicity, warc
+from cellgrid.llm import decontam, graph, html, langid, mixing, neardup, passages, quality, queries, topk, toxicity, warc
 from cellgrid.llm.common import Scratch, hashed_words, shared_dir, shingle_set, shingle_sets, table, word_hashes, words
 
 WORDS = [a + b + c for a in "bdfgklmn" for b in "aeiou" for c in ("st", "rn", "l", "nd", "p")]
@@ -50,6 +50,22 @@ def components(sets):
     return {i: find(i) for i in sets}
 
 
+@pytest.mark.parametrize("pairs, tables", [
+    ([(0, i) for i in range(1, 50)] + [(i, 200) for i in range(201, 230)] + [(5, 5), (None, 3)], 2),
+    ([(i * 37 % 101, (i + 1) * 37 % 101) for i in range(100)], 100),
+])
+def test_components_end_with_the_round_that_makes_stars(spark, pairs, tables):
+    scratch = Scratch(spark)
+    got = [(r.u, r.v) for r in graph.components(scratch, spark.createDataFrame(pairs, "a long, b long"), "c").collect()]
+    least = {x: x for p in pairs if None not in p for x in p}
+    for _ in least:
+        for a, b in pairs:
+            if a is not None:
+                least[a] = least[b] = min(least[a], least[b])
+    assert sorted(got) == sorted((x, y) for x, y in least.items() if x != y)
+    assert scratch.saved <= tables  # stars were gone through once more, to see that nothing changes
+
+
 def test_a_cluster_needs_a_shared_folder():
     session = lambda master, path: SimpleNamespace(conf=SimpleNamespace(get=lambda k, d: path), sparkContext=SimpleNamespace(getCheckpointDir=lambda: None, master=master))
     assert shared_dir(session("yarn", "store://x")) == "store://x"
