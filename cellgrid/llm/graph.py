@@ -9,8 +9,9 @@ from .common import Scratch
 
 
 def _least(near: DataFrame) -> DataFrame:
-    """near (u, v) with the least of u and its neighbours as m. It is joined back, so a hub's neighbours never meet in one task."""
-    return near.join(near.groupBy("u").agg(F.least("u", F.min("v")).alias("m")), "u")
+    """near (u, v) with the least of u and its neighbours as m. It is joined back, so a hub's neighbours never meet in one task.
+    A merge join, as in all loops over saved tables (see Scratch)."""
+    return near.join(near.groupBy("u").agg(F.least("u", F.min("v")).alias("m")).hint("merge"), "u")
 
 
 def _pairs(edges: DataFrame, *pairs: tuple[str, str]) -> DataFrame:

@@ -160,7 +160,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     neither be named nor be chosen. An empty table gives an empty table. Long texts are read whole.
     """
     spark: SparkSession = docs.sparkSession
-    scratch = Scratch(spark)
+    scratch = Scratch(spark, join="merge")
     kind = docs.schema[id_col].dataType
     docs = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
     t = kind.simpleString()

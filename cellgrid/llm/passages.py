@@ -400,7 +400,7 @@ def repeated_passages(docs: DataFrame) -> DataFrame:
     texts and rows without an id give no rows. Repeated rows of one document count once. An empty table gives an empty
     table. Texts are read whole, and columns other than the two are not read.
     """
-    scratch = Scratch(docs.sparkSession)
+    scratch = Scratch(docs.sparkSession, join="merge")
     t = docs.schema["doc_id"].dataType.simpleString()
     d = _with_digest(docs)
     bits = max(6, ((d.agg(F.sum(F.octet_length("text"))).first()[0] or 0) // PART).bit_length())

@@ -50,6 +50,20 @@ def components(sets):
     return {i: find(i) for i in sets}
 
 
+def test_loops_over_small_tables_leave_little_in_the_driver(spark):
+    """A round's joins broadcast nothing, and full collections do not follow each other at once."""
+    scratch = Scratch(spark, join="merge")
+    edges = scratch.save(spark.createDataFrame([(2, 1), (3, 2)], "u long, v long"), "edges")
+    plan = graph._round(edges)._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" in plan and "Broadcast" not in plan
+    beans = spark._jvm.java.lang.management.ManagementFactory.getGarbageCollectorMXBeans()
+    full = lambda: sum(b.getCollectionCount() for b in beans if re.search("Old|MarkSweep", b.getName()))
+    before = full()
+    for _ in range(3):
+        Scratch(spark).release()
+    assert full() - before <= 1
+
+
 @pytest.mark.parametrize("pairs, tables", [
     ([(0, i) for i in range(1, 50)] + [(i, 200) for i in range(201, 230)] + [(5, 5), (None, 3)], 2),
     ([(i * 37 % 101, (i + 1) * 37 % 101) for i in range(100)], 100),
