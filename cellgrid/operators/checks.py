@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .ranges import complement_intervals, merge_intervals, subtract_intervals
+from .ranges import merge_intervals, subtract_intervals
 
 
 def violations(df: DataFrame, rules: dict[str, Column]) -> DataFrame:
@@ -76,6 +76,6 @@ def build_saf(features: DataFrame, sizes: DataFrame) -> DataFrame:
     pure = subtract_intervals(exon, utr, keys)
     intron = subtract_intervals(gene, exon.unionByName(utr), keys)
     strands = sizes.select("chr", "length", F.explode(F.array(F.lit("+"), F.lit("-"))).alias("strand"))
-    space = complement_intervals(gene.select("chr", "strand", "start", "stop"), strands, ["chr", "strand"])
+    space = subtract_intervals(strands.select("chr", "strand", F.lit(0).cast("long").alias("start"), F.col("length").alias("stop")), gene.select("chr", "strand", "start", "stop"), ["chr", "strand"])
     named = [df.select(F.concat_ws("_", "gene_id", F.lit(k)).alias("name"), "chr", "start", "stop", "strand") for df, k in ((pure, "EXON"), (utr, "UTR"), (intron, "INTRON"))]
     return named[0].unionByName(named[1]).unionByName(named[2]).unionByName(space.select(F.lit("INTERGENIC").alias("name"), "chr", "start", "stop", "strand"))

@@ -54,3 +54,17 @@ def test_droplets_that_share_a_name(spark, tmp_path):
 def test_columns_that_differ_in_case_are_written(spark, data, tmp_path):
     QUERIES["read_qc"](spark, data).write.parquet(f"{tmp_path}/out")
     assert spark.conf.get("spark.sql.caseSensitive") == "false"
+
+
+def test_gaps_at_intervals_that_start_before_the_contig(spark, tmp_path):
+    """Unions over position 0, at it, before it and with a null end, and behind the contig's end."""
+    con, n = duckdb.connect(), QUERIES["complement_intervals"]
+    for i, keys in enumerate([[0, 4, 5, 9], [1, 2, 8], [-1, 0, 6], [-9, -7, 3, 40], [None, 4, 9], [0], [-7], [], [25, 30, 31]]):
+        d = f"{tmp_path}/{i}"
+        spark.createDataFrame([(k, 50, 1.0) for k in keys], "p_partkey long, p_size int, p_retailprice double").write.parquet(f"{d}/part.parquet")
+        spark.createDataFrame([(k,) for k in (3, 20)], "l_partkey long").write.parquet(f"{d}/lineitem.parquet")
+        for t in ("part", "lineitem"):
+            con.execute(f"create or replace view {t} as select * from '{d}/{t}.parquet/*.parquet'")
+        df = n(spark, d)
+        want = con.sql(ORACLE_SQL["complement_intervals"])
+        assert plain([tuple(r) for r in df.collect()], df.columns) == plain(want.fetchall(), want.columns), keys
