@@ -27,9 +27,14 @@ def canonical(edges: DataFrame) -> DataFrame:
     return edges.withColumn("_e", S.canonical_edge(*EDGE)).select(*[F.col(f"_e.{c}").alias(c) for c in EDGE], *[c for c in edges.columns if c not in EDGE])
 
 
+def _clean(edges: DataFrame) -> DataFrame:
+    """Edges whose UMIs hold no N."""
+    return edges.filter(~F.col("umi1").contains("N") & ~F.col("umi2").contains("N"))
+
+
 def edge_weights(edges: DataFrame, least: int = 3) -> DataFrame:
     """(bead1, bead2, weight): distinct UMI pairs without N, between different beads, at least so many."""
-    clean = canonical(edges.filter((F.col("bead1") != F.col("bead2")) & ~F.col("umi1").contains("N") & ~F.col("umi2").contains("N")))
+    clean = canonical(_clean(edges.filter("bead1 <> bead2")))
     return clean.groupBy("bead1", "bead2").agg(F.countDistinct("umi1", "umi2").alias("weight")).filter(F.col("weight") >= least)
 
 
@@ -187,7 +192,9 @@ def merge_beads(edges: DataFrame, least: int = 3) -> DataFrame:
     Beads that lose all edges stay as droplets of their own; beads whose edges all lead to themselves are absent.
     """
     proper = edges.filter("bead1 <> bead2")
-    kept = edge_weights(edges, least).select(F.col("bead1").alias("a"), F.col("bead2").alias("b"))
+    # a single edge without N is enough for a weight of 1, and components drop repeats
+    strong = edge_weights(edges, least) if least > 1 else _clean(proper)
+    kept = strong.select(F.col("bead1").alias("a"), F.col("bead2").alias("b"))
     loops = proper.select(F.col("bead1").alias("a")).union(proper.select("bead2")).distinct().select("a", F.col("a").alias("b"))
     comp = connected_components(kept.union(loops))
     return comp.join(comp.groupBy("component").agg(F.count("*").alias("n_beads")), "component").select(F.col("node").alias("bead"), F.col("component").alias("droplet"), "n_beads")

@@ -1,9 +1,11 @@
-"""Connected components and independent sets by rounds of joins, cut with checkpoints in the shared folder."""
+"""Connected components and independent sets by rounds of joins, cut with tables in the shared folder."""
 
 from __future__ import annotations
 
 import re
 import tempfile
+import time
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -24,24 +26,50 @@ def checkpoint(df: DataFrame, _: int = 0) -> DataFrame:
     return df.checkpoint()
 
 
+class Saved:
+    """Large tables of one call in the shared folder, in columns. Unlike with a checkpoint, the plan that made a table is gone once
+    it is written, and so the shuffle files behind it can go before the next step writes its own."""
+
+    released, EVERY = -10.0, 10  # by the clock of the process, by any call; seconds between two, as full collections in a row make the heap grow
+
+    def __init__(self, spark: SparkSession):
+        self.spark, self.root, self.n = spark, f"{shared_dir(spark).rstrip('/')}/saved-{uuid.uuid4().hex}", 0
+
+    def __call__(self, df: DataFrame) -> DataFrame:
+        self.n += 1
+        df.write.parquet(path := f"{self.root}/{self.n}")
+        if time.monotonic() - Saved.released >= self.EVERY:  # Spark deletes shuffle files when the driver's collector finds their handles
+            self.spark._jvm.System.gc()
+            Saved.released = time.monotonic()
+        return self.spark.read.schema(df.schema).parquet(path)
+
+    def drop(self, n: int) -> None:
+        """Removes the n-th table, which no later job reads."""
+        path = self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.root}/{n}")
+        path.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def connected_components(edges: DataFrame) -> DataFrame:
     """(node, component) for edges (a, b): the component is its smallest node. Loops keep their node as a component.
 
     Alternating large-star and small-star steps; the minimum is joined back to the edges, so a hub is a skewed join key
     and never one task's group.
     """
-    down = F.col("a") > F.col("b")
+    down, saved = F.col("a") > F.col("b"), Saved(edges.sparkSession)
     # loops and nulls are kept for the list of nodes, so that edges are made once
-    first = checkpoint(edges.select(F.when(down, F.col("a")).otherwise(F.col("b")).alias("u"), F.when(down, F.col("b")).otherwise(F.col("a")).alias("v")).distinct())
+    first = saved(edges.select(F.when(down, F.col("a")).otherwise(F.col("b")).alias("u"), F.when(down, F.col("b")).otherwise(F.col("a")).alias("v")).distinct())
     nodes = first.select(F.col("u").alias("node")).union(first.select(F.col("v").alias("node"))).distinct()
     now = first.filter("u <> v")
     was = None
     while True:
         near = now.union(now.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        large = near.join(near.groupBy("u").agg(F.least("u", F.min("v")).alias("m")), "u").filter("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
+        # repeats are left to the end of the round: to drop them here as well is one more shuffle of all edges
+        large = near.join(near.groupBy("u").agg(F.least("u", F.min("v")).alias("m")), "u").filter("v > u").select(F.col("v").alias("u"), F.col("m").alias("v"))
         least = large.groupBy("u").agg(F.min("v").alias("m"))
         small = large.join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).union(least.select("u", F.col("m").alias("v"))).filter("u > v").distinct()
-        now = checkpoint(small)
+        now = saved(small)
+        if saved.n > 2:  # the first table has the nodes
+            saved.drop(saved.n - 1)
         mark = now.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
         if mark == was or not mark[0]:
             break

@@ -3,6 +3,7 @@
 import itertools
 import math
 import random
+from pathlib import Path
 from types import SimpleNamespace
 
 import numpy as np
@@ -349,3 +350,25 @@ def test_edges_of_components_are_made_once(spark):
     got = {r.node: r.component for r in graph.connected_components(e).collect()}
     assert got == {i: i // 4 * 4 for i in range(12)} | {None: None, 40: 40}
     assert made.value == 12
+
+
+def tables_left(spark):
+    """Folders of the shared folder that hold parts of a table."""
+    return {str(p.parent) for p in Path(spark.conf.get("spark.checkpoint.dir")).rglob("part-*")}
+
+
+def test_rounds_of_components_leave_two_tables(spark):
+    before = tables_left(spark)
+    links = spark.range(500).select(F.col("id").alias("a"), (F.col("id") + 1).alias("b"))
+    assert {r.component for r in graph.connected_components(links).collect()} == {0}
+    assert len(tables_left(spark) - before) <= 2
+
+
+def test_one_clean_edge_joins_beads(spark):
+    rows = [("a", "A", "b", "C"), ("b", "NA", "c", "C"), ("c", "A", "d", None), ("e", "A", "f", "T"), ("f", "G", "e", "T"), ("f", "G", "f", "T")]
+    df = spark.createDataFrame(rows, edges.EDGE)
+    for least, pairs in ((1, {"a": "ab", "b": "ab", "e": "ef", "f": "ef"}), (2, {"e": "ef", "f": "ef"})):
+        want = {(x, pairs.get(x, x)[0], len(pairs.get(x, x))) for x in "abcdef"}
+        assert set(map(tuple, edges.merge_beads(df, least).collect())) == want
+        plan = edges.merge_beads(df, least)._jdf.queryExecution().optimizedPlan().toString()
+        assert "umi1" not in plan  # the components alone are read
