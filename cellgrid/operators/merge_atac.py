@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import scalar as S
-from .graph import connected_components, first_independent_set
+from .graph import Saved, connected_components, first_independent_set
 from .numbering import numbered
 
 #: Beads of a site that meet in one join key, at most twice as many.
@@ -20,10 +20,13 @@ BLOCK = 1024
 def nc_filter(frags: DataFrame, most: int = 6) -> DataFrame:
     """Rows of fragments (chr, start, stop) that occur at most so often (G3); n_rows has how often.
 
-    Counts are joined back rather than put in a window: a fragment with very many rows is then no single task's group.
+    Before rows move, each task leaves out what a fragment has beyond one row too many, so that one with very many rows is no
+    single task's group; then rows are counted where they are.
     """
     site = ["chr", "start", "stop"]
-    return frags.join(frags.groupBy(*site).agg(F.count("*").alias("n_rows")).filter(F.col("n_rows") <= most), site)
+    w = Window.partitionBy(*site)
+    few = frags.withColumn("_at", F.row_number().over(w.orderBy("start"))).filter(F.col("_at") <= most + 1)
+    return few.withColumn("n_rows", F.count("*").over(w)).filter(F.col("n_rows") <= most).select(*site, *[c for c in frags.columns if c not in site], "n_rows")
 
 
 def dedup_bead(frags: DataFrame) -> DataFrame:
@@ -39,18 +42,22 @@ def sites(frags: DataFrame, method: str = "both", digits: int = 0) -> DataFrame:
 def site_pairs(at: DataFrame, block: int = BLOCK) -> DataFrame:
     """(b1, b2, n): how often rows of two beads meet at a site, b1 > b2.
 
-    Rows are first counted by site and bead, so a pair comes once per site, with the product of its counts. The beads of a
-    site move to one place once, where they are counted and put in one row. Those of a site with more than ``block`` of them
-    are dealt to blocks instead, and each pair of blocks is a join key of its own: no row or key holds more than two blocks,
-    whatever a site holds. Rows with a null bead meet nothing.
+    Rows are counted by site and bead, so a pair comes once per site, with the product of its counts. The rows of a site
+    move to one place once, where they are counted and put in one row. Sites with more than ``block`` rows are looked for
+    before; their beads are dealt to blocks instead, and each pair of blocks is a join key of its own: no row or key holds
+    more than two blocks, whatever a site holds. Rows with a null bead or at no site meet nothing.
     """
-    site = ["chr", "side", "pos"]
-    n = at.filter("bead is not null").groupBy(*site, "bead").agg(F.count("*").alias("k"))
-    n = n.withColumn("_beads", F.count("*").over(Window.partitionBy(*site)))
-    met = n.filter(F.col("_beads").between(2, block)).groupBy(*site).agg(F.sort_array(F.collect_list(F.struct("bead", "k"))).alias("met"))
+    site, saved = ["chr", "side", "pos"], Saved(at.sparkSession)
+    at = at.dropna(subset=[*site, "bead"]).select(*site, "bead")
+    hot = saved(at.groupBy(*site).agg(F.count("*").alias("_rows")).filter(F.col("_rows") > block).select(*site))
+    cold = hot.isEmpty()
+    rest, many = (at, hot.withColumn("bead", F.lit(None).cast(at.schema["bead"].dataType))) if cold else (at.join(hot, site, "left_anti"), at.join(hot, site, "left_semi"))
+    counted = rest.repartition(*site).groupBy(*site, "bead").agg(F.count("*").alias("k"))
+    met = counted.groupBy(*site).agg(F.sort_array(F.collect_list(F.struct("bead", "k"))).alias("met"))
     each = met.select("met", F.posexplode("met").alias("i", "a")).filter("i > 0").select("a", F.explode(F.slice("met", F.lit(1), F.col("i"))).alias("b"))
     few = each.select(F.col("a.bead").alias("b1"), F.col("b.bead").alias("b2"), (F.col("a.k") * F.col("b.k")).alias("n"))
-    dealt = n.filter(F.col("_beads") > block).withColumn("_m", F.ceil(F.col("_beads") / block).cast("int"))
+    n = many.groupBy(*site, "bead").agg(F.count("*").alias("k")).withColumn("_beads", F.count("*").over(Window.partitionBy(*site)))
+    dealt = n.withColumn("_m", F.ceil(F.col("_beads") / block).cast("int"))
     dealt = dealt.withColumn("_g", F.pmod(F.xxhash64("bead"), F.col("_m")).cast("int"))
     a = dealt.select(*site, F.col("_g").alias("_i"), F.explode(F.sequence(F.col("_g"), F.col("_m") - 1)).alias("_j"), F.col("bead").alias("x1"), F.col("k").alias("k1"))
     b = dealt.select(*site, F.explode(F.sequence(F.lit(0), F.col("_g"))).alias("_i"), F.col("_g").alias("_j"), F.col("bead").alias("x2"), F.col("k").alias("k2"))
@@ -79,9 +86,21 @@ def jaccard(pairs: DataFrame, regularise: float = 0.05, digits: int = 5) -> Data
 
 def bead_pair_jaccard(frags: DataFrame, method: str = "both", most_rows: int = 6, least_both: int = 4, digits: int = 0) -> DataFrame:
     """The whole chain: G3, G4, J12, G9, J13, G10. frags: (chr, start, stop, bead, support)."""
-    d = dedup_bead(nc_filter(frags, most_rows))
-    counts = d.groupBy("bead").agg(F.count("*").alias("n"))
-    return jaccard(with_counts(pair_counts(site_pairs(sites(d, method, digits)), least_both), counts))
+    return scored(Saved(frags.sparkSession)(cleaned(frags, most_rows)), method, least_both, digits)
+
+
+def cleaned(frags: DataFrame, most_rows: int = 6) -> DataFrame:
+    """(chr, start, stop, bead) of G3 and G4: what sites and counts are taken of."""
+    return dedup_bead(nc_filter(frags, most_rows)).select("chr", "start", "stop", "bead")
+
+
+def bead_counts(clean: DataFrame) -> DataFrame:
+    return clean.groupBy("bead").agg(F.count("*").alias("n"))
+
+
+def scored(clean: DataFrame, method: str = "both", least_both: int = 4, digits: int = 0) -> DataFrame:
+    """The chain after G4. clean: (chr, start, stop, bead), a saved table, as it is read several times."""
+    return jaccard(with_counts(pair_counts(site_pairs(sites(clean, method, digits)), least_both), bead_counts(clean)))
 
 
 def mode(df: DataFrame, x: str) -> DataFrame:

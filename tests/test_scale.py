@@ -372,3 +372,38 @@ def test_one_clean_edge_joins_beads(spark):
         assert set(map(tuple, edges.merge_beads(df, least).collect())) == want
         plan = edges.merge_beads(df, least)._jdf.queryExecution().optimizedPlan().toString()
         assert "umi1" not in plan  # the components alone are read
+
+
+def test_rows_of_a_hot_fragment_stay_where_they_are(spark):
+    """Rows move once; a fragment with many rows sends one too many at most from each task. Null sites are sites of their own."""
+    rows = [("c", 1, 2, f"b{i}", 1) for i in range(500)] + [("c", 1, 3, f"b{i}", 1) for i in range(6)] + [("c", None, 3, "x", None), ("c", None, 3, "y", 1)]
+    df = spark.createDataFrame(rows, "chr string, start long, stop long, bead string, support long").repartition(3).localCheckpoint()
+    out = merge_atac.nc_filter(df)
+    assert sorted(map(tuple, out.collect()), key=str) == sorted([(*r, 6) for r in rows[500:506]] + [(*r, 2) for r in rows[506:]], key=str)
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "WindowGroupLimit" in plan and "Join" not in plan
+
+
+@pytest.mark.parametrize("block", [1024, 3])
+def test_fragments_of_a_chain_are_made_once(spark, block, monkeypatch):
+    made = spark.sparkContext.accumulator(0)
+
+    @F.udf("long")
+    def start(i):
+        made.add(1)
+        return i and 10 * i
+
+    monkeypatch.setattr(merge_atac.site_pairs, "__defaults__", (block,))
+    rows = [(i % 9, f"b{(i * i) % 11:02}") for i in range(300)] + [(None, "b01"), (None, "b02"), (2, None)]
+    df = spark.createDataFrame(sorted(set(rows), key=str), "i long, bead string").select(F.lit("c").alias("chr"), start("i").alias("start"), (F.length("bead") + F.xxhash64("bead", "i") % 3).alias("stop"), "bead", F.lit(1).alias("support"))
+    frags, made.value = [tuple(r) for r in df.collect()], 0
+    got = set(map(tuple, merge_atac.bead_pair_jaccard(df, most_rows=9, least_both=1).select("barc1", "barc2", "n_both").collect()))
+    want = {}
+    for side, at in (("start", 1), ("stop", 2)):
+        kept = [r for r in frags if sum(q[:3] == r[:3] for q in frags) <= 9]
+        for x, y in itertools.combinations([r for r in kept if r[3] and r[at] is not None], 2):
+            if x[at] == y[at] and x[3] != y[3]:
+                pair = max(x[3], y[3]), min(x[3], y[3])
+                want[pair] = want.get(pair, 0) + 1
+    assert got == {(*k, n) for k, n in want.items()}
+    assert made.value == len(frags)
