@@ -4,8 +4,9 @@ import os
 
 import duckdb
 import pytest
+from pyspark.sql import functions as F
 
-from cellgrid.plans import queries2, queries3  # noqa: F401  they register more
+from cellgrid.plans import adapters, queries2, queries3  # noqa: F401  they register more
 from cellgrid.plans.queries import ORACLE_SQL, QUERIES
 
 TABLES = "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels conversations".split()
@@ -68,3 +69,17 @@ def test_gaps_at_intervals_that_start_before_the_contig(spark, tmp_path):
         df = n(spark, d)
         want = con.sql(ORACLE_SQL["complement_intervals"])
         assert plain([tuple(r) for r in df.collect()], df.columns) == plain(want.fetchall(), want.columns), keys
+
+
+@pytest.mark.parametrize("name", ["merge_by_jaccard", "merged_cell_names", "deconvolution_metrics"])
+def test_fragments_of_a_merge_are_made_once(spark, data, name, monkeypatch):
+    made, frag = spark.sparkContext.accumulator(0), adapters.frag
+
+    @F.udf("long")
+    def seen(start):
+        made.add(1)
+        return start
+
+    monkeypatch.setattr(adapters, "frag", lambda *a: frag(*a).withColumn("start", seen("start")))
+    QUERIES[name](spark, data).collect()
+    assert made.value == frag(spark, data).count()
